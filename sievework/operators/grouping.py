@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,9 +28,11 @@ def any_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.dropDuplicates(list(keys))
 
 
-def on_same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Join condition under which NULL keys meet, as they do in GROUP BY."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal names, NULL keys meeting as they do in GROUP BY; the right side's keys go."""
+    aliased = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    met = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
+    return left.join(aliased, met, how).drop(*[f"_right_{k}" for k in keys])
 
 
 def repeated_keys(df: DataFrame, keys: Sequence[str], count_name: str = "n_rows") -> DataFrame:
@@ -41,7 +42,7 @@ def repeated_keys(df: DataFrame, keys: Sequence[str], count_name: str = "n_rows"
 def repeated_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Every row whose key occurs more than once, whole."""
     again = repeated_keys(df, keys).select(*keys)
-    return df.join(again, on_same(df, again, keys), "left_semi")
+    return join_on(df, again, keys, "left_semi")
 
 
 def repeated_members(
@@ -65,8 +66,8 @@ def repeated_members(
     again = repeated_keys(narrow, keys, count_name)
     shares = F.ceil(F.col(count_name) / F.lit(members_per_row))
     spread = (
-        narrow.join(again, on_same(narrow, again, keys))
-        .select(*[narrow[k] for k in keys], count_name, narrow[member].alias("_member"))
+        join_on(narrow, again, keys)
+        .withColumnRenamed(member, "_member")
         .withColumn("part", F.pmod(F.xxhash64("_member"), shares).cast("int"))
         .repartition(*keys, "part")
     )

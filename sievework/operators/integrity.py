@@ -8,23 +8,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import Contract
-from .grouping import on_same, repeated_keys
+from .grouping import join_on, repeated_keys
 
 
-def orphans(child: DataFrame, parent: DataFrame, keys: Mapping[str, str]) -> DataFrame:
+def orphans(child: DataFrame, parent: DataFrame, keys: Mapping[str, str], repeated_parents: bool = False) -> DataFrame:
     """Child rows, whole, whose key (child column: parent column) no parent has.
 
     A NULL key has no parent either. Written as an anti join: Spark keeps
-    LEFT JOIN ... IS NULL as an outer join with a filter.
+    LEFT JOIN ... IS NULL as an outer join with a filter. Where parent keys may repeat,
+    ``repeated_parents`` reduces them before the shuffle, so that a hot one costs a row per task.
     """
     known = parent.select(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(keys.values())])
-    met = [child[c] == known[f"_p{i}"] for i, c in enumerate(keys)]
+    if repeated_parents:
+        known = known.distinct()
+    met = [F.col(c) == F.col(f"_p{i}") for i, c in enumerate(keys)]
     return child.join(known, met, "left_anti")
 
 
 def childless(parent: DataFrame, child: DataFrame, keys: Mapping[str, str]) -> DataFrame:
     """Parent rows no child refers to (keys: parent column to child column)."""
-    return orphans(parent, child, keys)
+    return orphans(parent, child, keys, repeated_parents=True)
 
 
 def contract_counts(df: DataFrame, contract: Contract) -> DataFrame:
@@ -57,9 +60,8 @@ def with_violations(df: DataFrame, contract: Contract, name: str = "violations")
         return out
     again = repeated_keys(df, contract.key).select(*contract.key, F.lit(True).alias("_again"))
     key = F.lit("unique:" + ",".join(contract.key))
-    joined = out.join(again, on_same(out, again, contract.key), "left")
-    listed = F.when(F.col("_again"), F.array_append(out[name], key)).otherwise(out[name])
-    return joined.select(*[out[c] for c in df.columns], listed.alias(name))
+    listed = F.when(F.col("_again"), F.array_append(name, key)).otherwise(F.col(name))
+    return join_on(out, again, contract.key, "left").select(*df.columns, listed.alias(name))
 
 
 def split_by_contract(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import estimated_bytes
-from .grouping import on_same
+from .grouping import join_on
 
 # Up to this much input, one task can sort a whole group.
 WINDOW_BYTES = 256 << 20
@@ -44,8 +44,8 @@ def _rank_in_slices(df: DataFrame, group: Sequence[str], measure: str, name: str
         F.percentile_approx(measure, [i / slices for i in range(1, slices)], 100 * slices).alias("_borders")
     )
     placed = (
-        values.join(borders, on_same(values, borders, group), "left")
-        .select(*[values[g] for g in group], measure, "_peers", _slice(F.col(measure)).alias("_slice"))
+        join_on(values, borders, group, "left")
+        .select(*group, measure, "_peers", _slice(F.col(measure)).alias("_slice"))
         .repartition(*group, "_slice")
     )
     totals = placed.groupBy(*group, "_slice").agg(F.sum("_peers").alias("_total"))
@@ -58,11 +58,9 @@ def _rank_in_slices(df: DataFrame, group: Sequence[str], measure: str, name: str
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     ahead = placed.withColumn("_ahead", F.coalesce(F.sum("_peers").over(inside), F.lit(0)))
-    ranks = ahead.join(before, on_same(ahead, before, [*group, "_slice"])).select(
-        *[ahead[g] for g in group], ahead[measure], (F.col("_before") + F.col("_ahead") + 1).cast("int").alias(name)
-    )
-    keys = [*group, measure]
-    return df.join(ranks, on_same(df, ranks, keys)).select(*[df[c] for c in df.columns], name)
+    place = (F.col("_before") + F.col("_ahead") + 1).cast("int")
+    ranks = join_on(ahead, before, [*group, "_slice"]).select(*group, measure, place.alias(name))
+    return join_on(df, ranks, [*group, measure]).select(*df.columns, name)
 
 
 def _slice(value: Column) -> Column:

@@ -29,16 +29,12 @@ def upsert(target: DataFrame, changes: DataFrame, keys: Sequence[str], version:
     target is not shuffled; otherwise both sides are shuffled by key, each key once.
     """
     changes = pick_per_key(changes, keys, [F.col(version)], newest=True)
-    new = changes.select(*[F.col(k).alias(f"_n{i}") for i, k in enumerate(keys)], F.col(version).alias("_new"))
-    same_new = [target[k] == new[f"_n{i}"] for i, k in enumerate(keys)]
-    outdated = F.coalesce(target[version] <= new["_new"], target[version].isNull())
-    kept = target.join(new, [*same_new, outdated], "left_anti")
-
-    old = target.select(*[F.col(k).alias(f"_o{i}") for i, k in enumerate(keys)], F.col(version).alias("_old"))
-    same_old = [changes[k] == old[f"_o{i}"] for i, k in enumerate(keys)]
-    late = F.coalesce(old["_old"] > changes[version], old["_old"].isNotNull())
-    taken = changes.join(old, [*same_old, late], "left_anti")
-    return kept.unionByName(taken)
+    new = changes.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(version).alias("_v"))
+    old = target.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(version).alias("_v"))
+    met = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]
+    outdated = F.coalesce(F.col(version) <= F.col("_v"), F.col(version).isNull())
+    late = F.coalesce(F.col("_v") > F.col(version), F.col("_v").isNotNull())
+    return target.join(new, [*met, outdated], "left_anti").unionByName(changes.join(old, [*met, late], "left_anti"))
 
 
 def merge_into(spark, table: str, changes: DataFrame, keys: Sequence[str], version: str) -> None:

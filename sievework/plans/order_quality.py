@@ -61,15 +61,15 @@ def quarantine(orders: DataFrame, customers: DataFrame, items: DataFrame) -> tup
     """(usable orders, orders with an unknown customer or no items, with the reasons)."""
     known = customers.select(F.col("customer_id").alias("_c")).distinct()
     filled = items.select(F.col("order_id").alias("_o")).distinct()
-    seen = orders.join(known, orders["customer_id"] == F.col("_c"), "left").join(
-        filled, orders["order_id"] == F.col("_o"), "left"
+    seen = orders.join(known, F.col("customer_id") == F.col("_c"), "left").join(
+        filled, F.col("order_id") == F.col("_o"), "left"
     )
     reasons = F.concat_ws(
         ",",
         F.when(F.col("_c").isNull(), F.lit("unknown_customer")),
         F.when(F.col("_o").isNull(), F.lit("no_items")),
     )
-    marked = seen.select(*[orders[c] for c in orders.columns], reasons.alias("quarantine_reason"))
+    marked = seen.select(*orders.columns, reasons.alias("quarantine_reason"))
     return (
         marked.filter("quarantine_reason = ''").drop("quarantine_reason"),
         marked.filter("quarantine_reason <> ''"),

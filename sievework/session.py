@@ -51,5 +51,5 @@ def estimated_bytes(*frames) -> int:
     for frame in frames:
         leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()
         for i in range(leaves.size()):
-            total += int(leaves.apply(i).stats().sizeInBytes().toString())
+            total += int(str(leaves.apply(i).stats().sizeInBytes()))
     return total
