@@ -16,7 +16,7 @@ CORRUPT = "_corrupt_record"
 
 def unescape_commas(col: Column) -> Column:
     r"""Turn ``\,`` into ``,``; other escapes such as ``\n`` and ``\"`` stay."""
-    return F.regexp_replace(col, r"\\,", ",")
+    return F.replace(col, F.lit("\\,"), F.lit(","))
 
 
 def parse_list(col: Column, item_ddl: str) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,20 +16,31 @@ WHOLE_NUMBER = r"^-?\d+$"
 DAY_MINUTE_SHAPE = r"^\d{2}/\d{2}/\d{4} \d{2}:\d{2}$"
 
 
+def plausible(col: Column, fmt: str) -> Column:
+    """A condition every readable text meets: right length, separators in place.
+
+    A failed parse costs an exception, so hopeless text should not get that far. Only
+    fixed-width formats are guarded; a year may have more digits than four.
+    """
+    if not re.fullmatch(r"(?:dd|MM|yyyy|HH|mm|ss|[ /:.-])+", fmt):
+        return col.isNotNull()
+    return col.like(re.sub(r"[dMHms]", "_", fmt).replace("yyyy", "____%"))
+
+
 def moment(day: Column, time: Column, fmt: str = DAY_SECOND) -> Column:
     """Timestamp from a date text and a time text; NULL unless both are there and valid."""
-    return F.try_to_timestamp(F.concat_ws(" ", day, time), F.lit(fmt))
+    return timestamp_of(F.concat_ws(" ", day, time), fmt)
 
 
 def timestamp_of(col: Column, fmt: str | None = DAY_MINUTE) -> Column:
     """Timestamp from one text column; without a format, from ISO text or a native value."""
     if fmt is None:
         return col.try_cast("timestamp")
-    return F.try_to_timestamp(col, F.lit(fmt))
+    return F.when(plausible(col, fmt), F.try_to_timestamp(col, F.lit(fmt)))
 
 
 def date_of(col: Column, fmt: str = DAY) -> Column:
-    return F.try_to_date(col, fmt)
+    return F.when(plausible(col, fmt), F.try_to_date(col, fmt))
 
 
 def whole(col: Column) -> Column:

@@ -21,7 +21,7 @@ def is_sentinel(col: Column, sentinels: Iterable[str] = NULL_TEXT) -> Column:
 
 def blank_sentinel(col: Column, sentinels: Iterable[str] = NULL_TEXT) -> Column:
     """NULL for a sentinel, the untouched text otherwise."""
-    return F.when(~is_sentinel(col, sentinels), col)
+    return F.when(F.trim(col).isin(*sentinels), F.lit(None)).otherwise(col)
 
 
 def flag_tf(col: Column) -> Column:
@@ -49,4 +49,4 @@ def tidy_lower(col: Column, default: str | None = None) -> Column:
 
 def scientific_id(col: Column) -> Column:
     """True for an identifier a spreadsheet has already turned into ``1.5502E+13``."""
-    return F.coalesce(col.rlike(SCIENTIFIC_ID), F.lit(False))
+    return F.coalesce(col.contains("E+") & col.rlike(SCIENTIFIC_ID), F.lit(False))

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions import nested
 
-ITEMS, EXACT, ELEMENT, MENDED, OBJECT = "_items", "_exact", "_element", "_mended", "_object"
+ITEMS, EXACT, ELEMENT, OBJECT = "_items", "_exact", "_element", "_object"
+CLOSED, LOOSE = "_closed", "_loose"
 
 
 @dataclass(frozen=True)
@@ -45,9 +46,9 @@ def match_list(df: DataFrame, spec: ListSpec) -> DataFrame:
     tells that there were more.
     """
     df = df.withColumn(ITEMS, nested.parse_list(F.col(spec.source), spec.ddl))
-    df = df.withColumn(EXACT, nested.matching(F.col(ITEMS), spec.item_key, F.col(spec.key)))
+    df = df.withColumn(EXACT, _exact(spec))
     return df.withColumns({
-        spec.failed: nested.list_unreadable(F.col(spec.source), F.col(ITEMS)),
+        spec.failed: _list_failed(spec),
         spec.count: nested.hits(F.col(EXACT)),
         ELEMENT: nested.first(F.col(EXACT)),
     })
@@ -67,31 +68,56 @@ def first_rule(rules: Sequence[tuple[str, Column]]) -> Column:
     return out
 
 
-def exception_rules(items: ListSpec, obj: ObjectSpec) -> list[tuple[str, Column]]:
-    return [
-        (items.failed, F.col(items.failed)),
-        (items.no_match, F.col(items.count) == 0),
-        (items.duplicate, F.col(items.count) > 1),
-        (obj.failed, F.col(obj.failed)),
-    ]
+def found_exception(items: ListSpec, obj: ObjectSpec, failed: Column, count: Column, object_failed: Column) -> Column:
+    """The exception as found, before any repair."""
+    return first_rule([
+        (items.failed, failed), (items.no_match, count == 0), (items.duplicate, count > 1), (obj.failed, object_failed)
+    ])
 
 
 def mark_exceptions(df: DataFrame, items: ListSpec, obj: ObjectSpec) -> DataFrame:
-    """Add ``exception_type`` and ``has_exception``, as found before any repair."""
-    df = df.withColumn("exception_type", first_rule(exception_rules(items, obj)))
+    """Add ``exception_type`` and ``has_exception`` to a matched and parsed frame."""
+    found = found_exception(items, obj, F.col(items.failed), F.col(items.count), F.col(obj.failed))
+    df = df.withColumn("exception_type", found)
     return df.withColumn("has_exception", F.col("exception_type").isNotNull())
 
 
-def closed_list_hits(spec: ListSpec) -> Column:
+def _exact(spec: ListSpec) -> Column:
+    return nested.matching(F.col(ITEMS), spec.item_key, F.col(spec.key))
+
+
+def _list_failed(spec: ListSpec) -> Column:
+    return nested.list_unreadable(F.col(spec.source), F.col(ITEMS))
+
+
+def closed_list_hits(spec: ListSpec, failed: Column) -> Column:
     """Matches in a truncated list after closing it; only unreadable lists are parsed again."""
     again = nested.parse_closed_list(F.col(spec.source), spec.ddl)
-    return F.when(F.col(spec.failed), nested.matching(again, spec.item_key, F.col(spec.key)))
+    return F.when(failed, nested.matching(again, spec.item_key, F.col(spec.key)))
 
 
-def loose_hits(spec: ListSpec) -> Column:
+def loose_hits(spec: ListSpec, failed: Column, count: Column) -> Column:
     """Matches but for case and blanks, for readable lists without an exact match."""
-    wanted = ~F.col(spec.failed) & (F.col(spec.count) == 0)
-    return F.when(wanted, nested.matching(F.col(ITEMS), spec.item_key, F.col(spec.key), nested.alike))
+    loose = nested.matching(F.col(ITEMS), spec.item_key, F.col(spec.key), nested.alike)
+    return F.when(~failed & (count == 0), loose)
+
+
+def _retries(spec: ListSpec, failed: Column, count: Column) -> dict[str, Column]:
+    return {CLOSED: closed_list_hits(spec, failed), LOOSE: loose_hits(spec, failed, count)}
+
+
+def _settled(obj: ObjectSpec, found: Column, object_failed: Column, element: Column, reclassify: bool) -> dict[str, Column]:
+    """The final columns, from the exception as found and the two retries."""
+    one = [F.coalesce(F.array_size(c) == 1, F.lit(False)) for c in (CLOSED, LOOSE)]
+    left = first_rule([(obj.failed, object_failed)] if reclassify else [])
+    final = F.when(one[0] | one[1], left).otherwise(found)
+    return {
+        "exception_type": final,
+        "has_exception": final.isNotNull(),
+        "repair_attempted": found.isNotNull(),
+        "repaired": found.isNotNull() & final.isNull(),
+        ELEMENT: F.coalesce(nested.only(F.col(CLOSED)), nested.only(F.col(LOOSE)), element),
+    }
 
 
 def repair(df: DataFrame, items: ListSpec, obj: ObjectSpec, reclassify: bool = True) -> DataFrame:
@@ -102,20 +128,33 @@ def repair(df: DataFrame, items: ListSpec, obj: ObjectSpec, reclassify: bool = T
     whose list was repaired but whose object is unreadable stays an exception; without it,
     the first fault alone decides.
     """
-    df = df.withColumns({"_closed": closed_list_hits(items), "_loose": loose_hits(items)})
-    df = df.withColumn(MENDED, F.coalesce(nested.only(F.col("_closed")), nested.only(F.col("_loose"))))
-    mended = F.col(MENDED).isNotNull()
-    left_over = first_rule([(obj.failed, F.col(obj.failed))] if reclassify else [])
+    df = df.withColumns(_retries(items, F.col(items.failed), F.col(items.count)))
+    df = df.withColumns(_settled(obj, F.col("exception_type"), F.col(obj.failed), F.col(ELEMENT), reclassify))
+    return df.drop(CLOSED, LOOSE, EXACT)
+
+
+def resolve(df: DataFrame, items: ListSpec, obj: ObjectSpec, reclassify: bool = True) -> DataFrame:
+    """``match_list`` to ``repair`` in one go, with the same result.
+
+    Spark keeps a projection per step whose result is used more than once, and each copies
+    the wide row. Here the flags are written out from the parsed values, which leaves four.
+    """
+    failed, count = _list_failed(items), nested.hits(F.col(EXACT))
+    object_failed = nested.object_unreadable(F.col(OBJECT))
     df = df.withColumns({
-        "repair_attempted": F.col("has_exception"),
-        ELEMENT: F.coalesce(MENDED, ELEMENT),
-        "exception_type": F.when(mended, left_over).otherwise(F.col("exception_type")),
+        ITEMS: nested.parse_list(F.col(items.source), items.ddl),
+        OBJECT: nested.parse_object(F.col(obj.source), obj.ddl),
     })
+    df = df.withColumn(EXACT, _exact(items))
+    df = df.withColumns(_retries(items, failed, count))
+    found = found_exception(items, obj, failed, count, object_failed)
     df = df.withColumns({
-        "has_exception": F.col("exception_type").isNotNull(),
-        "repaired": F.col("repair_attempted") & F.col("exception_type").isNull(),
+        items.failed: failed,
+        items.count: count,
+        obj.failed: object_failed,
+        **_settled(obj, found, object_failed, nested.first(F.col(EXACT)), reclassify),
     })
-    return df.drop("_closed", "_loose", EXACT)
+    return df.drop(CLOSED, LOOSE, EXACT, ITEMS)
 
 
 def unresolved() -> Column:

@@ -22,7 +22,6 @@ from ..operators import exceptions as ex
 from ..operators.cleaning import in_order, null_sentinels
 from ..operators.flatten import narrow_decimals
 from ..operators.keys import number_rows
-from ..operators.profiling import misshapen
 from ..sinks.snapshots import ROUTE, point_to, write_routed
 from ..sinks.tables import write_table
 
@@ -59,12 +58,7 @@ def typed_extras(df: DataFrame) -> DataFrame:
 
 def resolve(cleaned: DataFrame, reclassify: bool = True) -> DataFrame:
     """Parse, match, classify and repair; parsed columns stay nested."""
-    return (
-        cleaned.transform(ex.match_list, ITEMS)
-        .transform(ex.parse_object_column, OBJECT)
-        .transform(ex.mark_exceptions, ITEMS, OBJECT)
-        .transform(ex.repair, ITEMS, OBJECT, reclassify)
-    )
+    return ex.resolve(cleaned, ITEMS, OBJECT, reclassify)
 
 
 def lay_out(resolved: DataFrame) -> DataFrame:
@@ -86,18 +80,9 @@ def transform(raw: DataFrame, reclassify: bool = True) -> DataFrame:
     return lay_out(resolve(clean(raw), reclassify))
 
 
-def lost_values() -> dict[str, Column]:
-    """Per derived column: the text was there but could not be read. Over the published layout."""
-    out = {c: F.col(s).isNotNull() & F.col(c).isNull() for c, s in {**layout.TIMESTAMPS, **layout.DATES}.items()}
-    out |= {c: F.col(d).isNotNull() & F.col(t).isNotNull() & F.col(c).isNull() for c, (d, t) in layout.MOMENTS.items()}
-    return out
-
-
-def shapes() -> dict[str, str]:
-    """Patterns the raw text must have."""
-    return {c: scalars.WHOLE_NUMBER for c in layout.DAY_COUNTS} | {
-        "activity_monitor_last_update": scalars.DAY_MINUTE_SHAPE
-    }
+def present(df: DataFrame, columns: list[str], stage: str) -> list[Column]:
+    """Non-NULL counts, named by stage; comparing stages tells what a step emptied."""
+    return [F.count(c).alias(f"{stage} {c}") for c in columns if c in df.columns]
 
 
 @cache
@@ -123,14 +108,13 @@ def output_contract() -> Contract:
 
 @dataclass
 class ReturnsRun:
-    """Where a run wrote and what it counted."""
+    """Where a run wrote and what it counted; the column counts leave out zeros."""
 
     base: str
     run: str
     sentinels: dict[str, int]
-    misshapen: dict[str, int]
-    lost: dict[str, int]
-    scientific_ids: dict[str, int]
+    unreadable: dict[str, int]
+    damaged_ids: dict[str, int]
     summary: dict[str, int]
     checks: dict[str, bool] = field(default_factory=dict)
 
@@ -138,6 +122,11 @@ class ReturnsRun:
         return f"{self.base}/run={self.run}/{ROUTE}={which}"
 
 
+def _emptied(before: dict, after: dict, columns: list[str]) -> dict[str, int]:
+    found = {c: before[f"before {c}"] - after[f"after {c}"] for c in columns}
+    return {c: n for c, n in found.items() if n}
+
+
 def run(
     raw: DataFrame,
     base: str,
@@ -148,40 +137,54 @@ def run(
 ) -> ReturnsRun:
     """Process a feed: published and unresolved rows below ``base``, diagnostics in ``exceptions_target``.
 
-    The wide transformation runs once. The exceptions table is then read off the small
+    The wide transformation runs once; what it emptied is told from non-NULL counts before
+    and after each step, taken on the way. The exceptions table is then read off the
     unresolved part. ``table`` also publishes to a catalog table. A run that does not
     reconcile raises and leaves the previous run current, in ``base`` as in both targets.
     """
     spark = raw.sparkSession
     run_id = uuid.uuid4().hex[:12]
-    seen, done = Observation(), Observation()
-    texts = [c for c in layout.RAW_COLUMNS if c in raw.columns]
-    observed = raw.observe(
-        seen,
-        F.count(F.lit(1)).alias("rows"),
-        *[F.count_if(text.is_sentinel(F.col(c))).alias(f"sentinel {c}") for c in texts],
-        *[F.count_if(misshapen(F.col(c), p)).alias(f"shape {c}") for c, p in shapes().items()],
-        *[F.count_if(text.scientific_id(F.col(c))).alias(f"scientific {c}") for c in layout.TEXT_IDS],
+    on_raw, on_nulled, on_final = Observation(), Observation(), Observation()
+    sources = {**layout.TIMESTAMPS, **layout.DATES}
+    retyped = [layout.PRICE, *layout.DAY_COUNTS]
+
+    missing = sorted(set(layout.RAW_COLUMNS) - set(raw.columns))
+    if missing:
+        raise ValueError(f"feed lacks columns {missing}")
+    keyed = raw if layout.ROW_KEY in raw.columns else number_rows(raw, layout.ROW_KEY)
+    keyed = keyed.observe(on_raw, F.count(F.lit(1)).alias("rows"), *present(keyed, layout.RAW_COLUMNS, "before"))
+    nulled = null_sentinels(keyed)
+    both_parts = [
+        F.count_if(F.col(d).isNotNull() & F.col(t).isNotNull()).alias(f"before {c}") for c, (d, t) in layout.MOMENTS.items()
+    ]
+    nulled = nulled.observe(
+        on_nulled,
+        *present(nulled, layout.RAW_COLUMNS, "after"),
+        *[F.count(c).alias(f"before {c}") for c in retyped],
+        *[F.count(s).alias(f"before {c}") for c, s in sources.items()],
+        *both_parts,
+        *[F.count_if(text.scientific_id(F.col(c))).alias(f"damaged {c}") for c in layout.TEXT_IDS],
     )
-    final = transform(observed, reclassify)
+    final = lay_out(resolve(nulled.withColumns(scalar_columns()), reclassify))
     drift = output_contract().drift(final.schema)
     if drift:
         raise ValueError(f"output differs from its contract: {drift}")
     final = final.observe(
-        done,
+        on_final,
         *[c.alias(name) for name, c in ex.summary_counts().items()],
-        *[F.count_if(c).alias(f"lost {name}") for name, c in lost_values().items()],
+        *present(final, [*retyped, *sources, *layout.MOMENTS], "after"),
     )
     marked = final.withColumn(ROUTE, F.when(ex.unresolved(), UNRESOLVED).otherwise(PUBLISHED))
     written = write_routed(marked, base, run_id)
 
-    def counts(found: dict, kind: str) -> dict[str, int]:
-        return {k.split(" ", 1)[1]: v for k, v in found.items() if k.startswith(kind + " ") and v}
-
-    got_raw, got = seen.get, done.get
+    got_raw, got_nulled, got = on_raw.get, on_nulled.get, on_final.get
     out = ReturnsRun(
-        base, run_id, counts(got_raw, "sentinel"), counts(got_raw, "shape"), counts(got, "lost"),
-        counts(got_raw, "scientific"), {m: got[m] for m in layout.SUMMARY_METRICS},
+        base,
+        run_id,
+        sentinels=_emptied(got_raw, got_nulled, layout.RAW_COLUMNS),
+        unreadable=_emptied(got_nulled, got, [*retyped, *sources, *layout.MOMENTS]),
+        damaged_ids={c: n for c in layout.TEXT_IDS if (n := got_nulled[f"damaged {c}"])},
+        summary={m: got[m] for m in layout.SUMMARY_METRICS},
     )
     stored = {r[ROUTE]: r["n"] for r in written.groupBy(ROUTE).agg(F.count("*").alias("n")).collect()}
     out.checks = ex.reconciled(out.summary) | {

@@ -1,4 +1,4 @@
 """All queries; importing the modules registers them."""
 
-from . import columns, orders  # noqa: F401
+from . import columns, exceptions, orders, tables  # noqa: F401
 from .registry import QUERIES, SQL  # noqa: F401
