@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import nested
+from .barriers import where_computed
 
 ITEMS, EXACT, ELEMENT, OBJECT = "_items", "_exact", "_element", "_object"
 CLOSED, LOOSE = "_closed", "_loose"
@@ -162,9 +163,13 @@ def unresolved() -> Column:
 
 
 def route(df: DataFrame, diagnostics: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """(rows to publish, unresolved rows); every row is in exactly one."""
-    bad = df.filter(unresolved())
-    return df.filter(~unresolved()), bad.select(*diagnostics) if diagnostics else bad
+    """(rows to publish, unresolved rows); every row is in exactly one.
+
+    Each of the two evaluates the frame for itself. To store both, use ``write_routed``,
+    which does so once.
+    """
+    bad = where_computed(df, unresolved())
+    return where_computed(df, ~unresolved()), bad.select(*diagnostics) if diagnostics else bad
 
 
 def summary_counts() -> dict[str, Column]:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import Contract
+from .barriers import where_computed
 from .grouping import join_on, repeated_keys
 
 
@@ -68,7 +69,7 @@ def split_by_contract(df: DataFrame, contract: Contract) -> tuple[DataFrame, Dat
     """(accepted rows, rejected rows with their violations)."""
     checked = with_violations(df, contract)
     clean = F.array_size("violations") == 0
-    return checked.filter(clean).drop("violations"), checked.filter(~clean)
+    return where_computed(checked, clean).drop("violations"), where_computed(checked, ~clean)
 
 
 def violations_summary(checks: Mapping[str, DataFrame | tuple[DataFrame, Sequence[str]]]) -> DataFrame:

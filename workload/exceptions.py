@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sievework.functions import nested
 from sievework.layouts import returns as layout
 from sievework.operators import cleaning, exceptions as ex, flatten, profiling
+from sievework.operators.barriers import where_computed
 from sievework.plans import returns
 from sievework.session import shared_folder
 
@@ -23,6 +24,11 @@ def _row(t):
     )
 
 
+def _readable(t):
+    """The rows whose object can be parsed."""
+    return where_computed(ex.parse_object_column(_row(t), returns.OBJECT), ~F.col("custom_fields_parse_failed"))
+
+
 def _matched(t, spec=NUMBER_ONLY):
     return ex.match_list(_row(t), spec)
 
@@ -92,7 +98,7 @@ def match(t):
     RETURNS_SQL + "SELECT order_no, article_number FROM g WHERE match_count = 1",
 )
 def exactly_one_match(t):
-    df = _matched(t).filter(nested.only(F.col(ex.EXACT)).isNotNull())
+    df = where_computed(_matched(t), nested.only(F.col(ex.EXACT)).isNotNull())
     return df.select("order_no", "article_number")
 
 
@@ -158,7 +164,7 @@ def open_map(t):
               CAST(l_partkey AS VARCHAR) AS recommended FROM g WHERE NOT object_failed""",
 )
 def object_as_text(t):
-    df = ex.parse_object_column(_row(t), returns.OBJECT).filter(~F.col("custom_fields_parse_failed"))
+    df = _readable(t)
     o = F.col(ex.OBJECT)
     return df.select(
         "order_no", "article_number", o["pickupWindow"].alias("pickup_window"),
@@ -221,7 +227,7 @@ def repair_by_first_fault(t):
     RETURNS_SQL + "SELECT order_no, article_number, CAST(fault IN (0, 10) AS BIGINT) AS recovered FROM g WHERE list_failed",
 )
 def close_truncated(t):
-    df = _matched(t).filter("articles_parse_failed")
+    df = where_computed(_matched(t), F.col("articles_parse_failed"))
     return df.select("order_no", "article_number", nested.hits(ex.closed_list_hits(NUMBER_ONLY, F.col("articles_parse_failed"))).alias("recovered"))
 
 
@@ -256,8 +262,7 @@ def summary(t):
     RETURNS_SQL + "SELECT 'key' || l_linenumber AS json_key, count(*) AS n_rows FROM g WHERE NOT object_failed GROUP BY 1",
 )
 def unknown_keys(t):
-    readable = ex.parse_object_column(_row(t), returns.OBJECT).filter(~F.col("custom_fields_parse_failed"))
-    return flatten.unknown_keys(readable, "custom_fields", layout.custom_fields())
+    return flatten.unknown_keys(_readable(t), "custom_fields", layout.custom_fields())
 
 
 PUBLISHED_SQL = (
@@ -322,7 +327,7 @@ def returns_exceptions(t):
              'P' || l_linestatus AS payment FROM g WHERE NOT object_failed""",
 )
 def redact(t):
-    df = ex.parse_object_column(_row(t), returns.OBJECT).filter(~F.col("custom_fields_parse_failed"))
+    df = _readable(t)
     df = df.withColumn("outboundCustomFields", F.col(ex.OBJECT)["outboundCustomFields"])
     blank = cleaning.redact(df, layout.PERSONAL_FIELDS).withColumnRenamed("outboundCustomFields", "b")
     both = blank.withColumn("outboundCustomFields", F.col(ex.OBJECT)["outboundCustomFields"])

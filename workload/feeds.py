@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.layouts import returns as layout
+from sievework.operators.barriers import spread_over_cores
 
 from .registry import Tables
 
@@ -59,7 +60,7 @@ def _text(template: str, *cols: str) -> Column:
 
 def returns_feed(t: Tables) -> DataFrame:
     """All 86 raw text columns, one row per line item."""
-    base = t.lineitem.select(
+    base = spread_over_cores(t.lineitem).select(
         "*",
         F.expr(FAULT).alias("fault"),
         F.col("l_extendedprice").cast("decimal(12,2)").cast("string").alias("price"),
