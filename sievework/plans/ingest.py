@@ -15,7 +15,7 @@ from ..layouts.shop import ORDERS_LOADED, PRODUCTS_LOADED
 from ..operators.cleaning import standard_names
 from ..operators.integrity import split_by_contract
 from ..sinks.relational import reload_table
-from ..sinks.tables import write_table
+from ..sinks.tables import stage, write_table
 from ..sources.files import read_text_csv
 from ..sources.relational import Database, Split, read_relational
 
@@ -59,7 +59,10 @@ def load(df: DataFrame, contract: Contract, deliver: Callable[[DataFrame], int],
     """Deliver the rows that meet the contract; write the others, with what they violate, to ``rejects``.
 
     A batch whose columns differ from the contract is set aside whole instead of failing the run.
+    The batch is staged first: checking and delivering read it more than once, and a source
+    that changes in between would lose or repeat rows.
     """
+    df = stage(df, contract.name)
     drift = tuple(contract.drift(df.schema))
     if drift:
         return Loaded(0, write_table(df, rejects), drift)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.grouping import pick_per_key, repeated_keys, repeated_members
 from ..operators.integrity import childless, orphans, violations_summary
-from .reports import item_totals
+from .reports import item_amount, item_totals
 
 
 def total_mismatches(
@@ -76,14 +76,41 @@ def quarantine(orders: DataFrame, customers: DataFrame, items: DataFrame) -> tup
     )
 
 
-def quality_run(
+def quality_findings(
     customers: DataFrame, orders: DataFrame, items: DataFrame, amount: Column | None = None
-) -> DataFrame:
-    """(check_name, violations) for every check, in one query."""
-    return violations_summary({
-        "order_total_mismatch": total_mismatches(orders, items, amount),
+) -> dict[str, DataFrame]:
+    """The offenders of each check, to be listed."""
+    return {
+        "order_total_mismatch": total_mismatches(orders, items, amount).orderBy("order_id"),
         "orphan_items": orphan_items(items, orders),
-        "shared_email": repeated_keys(customers, ["email"]),
+        "shared_email": shared_emails(customers),
         "unknown_customer": orders_of_unknown_customers(orders, customers),
         "order_without_items": orders_without_items(orders, items),
-    })
+    }
+
+
+def quality_run(
+    customers: DataFrame, orders: DataFrame, items: DataFrame, amount: Column | None = None
+) -> DataFrame:
+    """(check_name, violations) for every check, in one query, for a scheduled run.
+
+    The three checks between orders and items share one outer join of the orders with the
+    items' sums, so each of the two is read and shuffled once.
+    """
+    amount = item_amount() if amount is None else amount
+    sums = items.groupBy(F.col("order_id").alias("_k")).agg(F.count("*").alias("_n"), F.sum(amount).alias("_t"))
+    known = orders.select("order_id", "order_total", F.lit(True).alias("_order"))
+    both = known.join(sums, F.col("order_id") == F.col("_k"), "full")
+    is_order, has_items = F.col("_order").isNotNull(), F.col("_n").isNotNull()
+    counts = both.agg(
+        F.count_if(is_order & (F.col("order_total") != F.coalesce("_t", F.lit(0)))).alias("order_total_mismatch"),
+        F.coalesce(F.sum(F.when(~is_order, F.col("_n"))), F.lit(0)).alias("orphan_items"),
+        F.count_if(is_order & ~has_items).alias("order_without_items"),
+    )
+    shared = counts.unpivot([], counts.columns, "check_name", "violations")
+    return shared.unionByName(
+        violations_summary({
+            "shared_email": repeated_keys(customers, ["email"]),
+            "unknown_customer": orders_of_unknown_customers(orders, customers),
+        })
+    )

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 class Database:
     url: str
     user: str
-    password: str
+    password: str = field(repr=False)
     driver: str
 
     def options(self) -> dict[str, str]:

@@ -1,23 +1,22 @@
 """Run registered queries against their SQL: python tests/check.py [folder] [name part ...]"""
 
+import os
 import sys
 import time
 
-from conftest import spark as _  # noqa: F401
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 from oracle import connect, differences
 from pyspark.sql import SparkSession
 
-import tempfile
-
 import __spark_entry__ as entry
 
 if __name__ == "__main__":
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     parts = sys.argv[2:]
-    work = tempfile.mkdtemp(prefix="sievework-check-")
     spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
              .config("spark.driver.memory", "8g").config("spark.sql.shuffle.partitions", "8")
-             .config("spark.checkpoint.dir", work).getOrCreate())
+             .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     db, sql, bad = connect(folder), entry.oracle_sql(), []
     for name, fn in entry.queries().items():

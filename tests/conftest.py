@@ -18,7 +18,6 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.checkpoint.dir", work)
         .config("spark.sql.warehouse.dir", f"{work}/warehouse")
         .getOrCreate()
     )

@@ -144,3 +144,15 @@ def test_partitions_not_written_stay(spark, folder):
 
 def test_shared_folder(spark):
     assert shared_folder(spark, "x").startswith(shared_root(spark)) and shared_folder(spark, "x") != shared_folder(spark, "x")
+
+
+def test_staged_frame_is_read_once(spark, folder):
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    staged = tables.stage(spark.range(10).observe(seen, F.count(F.lit(1)).alias("n")), "staged")
+    assert seen.get["n"] == 10 and staged.filter("id > 4").count() == 5 and staged.count() == 10
+
+
+def test_password_is_not_shown():
+    assert "secret" not in repr(in_db.Database("u", "u", "secret", "d"))
