@@ -55,3 +55,20 @@ def estimated_bytes(*frames) -> int:
         for i in range(leaves.size()):
             total += int(str(leaves.apply(i).stats().sizeInBytes()))
     return total
+
+
+PARTITION_BYTES = 128 << 20
+# map tasks times partitions is the number of shuffle blocks the cluster has to keep track of
+MOST_PARTITIONS = 20_000
+
+
+def size_shuffles(scan) -> None:
+    """Raise the session's shuffle partitions, never lower them, to what a scan of this size needs.
+
+    The default of 200 would leave hundreds of gigabytes to a task on the largest tables.
+    Partitions that turn out small are merged by AQE.
+    """
+    conf = scan.sparkSession.conf
+    needed = min(MOST_PARTITIONS, -(-estimated_bytes(scan) // PARTITION_BYTES))
+    if needed > int(conf.get("spark.sql.shuffle.partitions")):
+        conf.set("spark.sql.shuffle.partitions", str(needed))

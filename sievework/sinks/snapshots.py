@@ -7,7 +7,6 @@ and readers follow a small pointer file that is replaced in one step.
 from __future__ import annotations
 
 import uuid
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,25 +14,14 @@ ROUTE = "route"
 POINTER = "_current"
 
 
-@contextmanager
-def _conf(spark: SparkSession, key: str, value: str):
-    old = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        spark.conf.unset(key) if old is None else spark.conf.set(key, old)
-
-
 def write_routed(df: DataFrame, base: str, run: str, fmt: str = "parquet") -> DataFrame:
     """Write all routes in one pass to ``base/run=<run>/route=<name>`` and read the run back.
 
-    One file writer per route stays open in each task, so the rows need not be sorted by route.
+    Nothing is shuffled: each task sorts its rows by route and writes a file for each.
     """
-    spark, path = df.sparkSession, f"{base}/run={run}"
-    with _conf(spark, "spark.sql.maxConcurrentOutputFileWriters", "8"):
-        df.write.format(fmt).partitionBy(ROUTE).mode("errorifexists").save(path)
-    return spark.read.format(fmt).schema(df.schema).load(path)
+    path = f"{base}/run={run}"
+    df.write.format(fmt).partitionBy(ROUTE).mode("errorifexists").save(path)
+    return df.sparkSession.read.format(fmt).schema(df.schema).load(path)
 
 
 def write_snapshot(df: DataFrame, base: str, fmt: str = "parquet") -> str:

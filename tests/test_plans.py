@@ -155,3 +155,20 @@ def test_golden_rows_read_like_their_contracts(spark):
 
     for contract in layout.SHOP:
         assert contract.drift(shop.frame(spark, contract.name).schema) == []
+
+
+def test_shuffles_grow_with_the_input(spark, t, monkeypatch):
+    from sievework import session
+
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        session.size_shuffles(t.lineitem)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == old
+        monkeypatch.setattr(session, "PARTITION_BYTES", 1000)
+        session.size_shuffles(t.lineitem)
+        grown = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert int(old) < grown < session.MOST_PARTITIONS
+        session.size_shuffles(t.region)
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) == grown
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)

@@ -245,6 +245,17 @@ def unresolved(t):
     return bad.select("order_no", "exception_type", F.col("articles").isNull().alias("no_list"))
 
 
+@query(
+    "l7_every_row_routed_once",
+    RETURNS_SQL + """SELECT order_no, article_number,
+             CASE WHEN NOT faulty OR repaired THEN 'published' ELSE 'unresolved' END AS route FROM g""",
+)
+def every_row_routed_once(t):
+    parts = [df.select("order_no", "article_number", F.lit(name).alias("route"))
+             for df, name in zip(ex.route(_repaired(t)), (returns.PUBLISHED, returns.UNRESOLVED))]
+    return parts[0].unionByName(parts[1])
+
+
 @query(
     "l8_summary",
     RETURNS_SQL

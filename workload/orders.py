@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sievework.operators import grouping, integrity, upsert
 from sievework.plans import order_quality, reports
-from sievework.sinks.tables import publish_view
+from sievework.sinks.tables import publish_view, stage
 
 from .feeds import MONEY, shop_customers, shop_items, shop_orders, shop_products
 from .registry import query
@@ -87,7 +87,8 @@ def order_fact_view(t):
 @query("q8_monthly_by_computed_total", f"WITH fact AS ({FACT_SQL})" + MONTH_SQL.format(
     day="order_date", total="computed_order_total", source="fact", status="order_status"))
 def monthly_by_computed_total(t):
-    orders = reports.fact_orders(_fact(t), reports.ITEM_TOTAL)
+    """From a stored order fact."""
+    orders = reports.fact_orders(stage(_fact(t), "order_fact"), reports.ITEM_TOTAL)
     return _money(reports.monthly_revenue(orders, DONE), "total_revenue")
 
 

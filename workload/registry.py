@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
-from sievework.session import apply_job_settings
+from sievework.session import apply_job_settings, size_shuffles
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,7 +22,9 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        scan = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        size_shuffles(scan)
+        return scan
 
 
 def zoneless(df: DataFrame) -> DataFrame:

@@ -12,8 +12,8 @@ from sievework.operators.upsert import upsert
 from sievework.plans import ingest
 from sievework.session import shared_folder
 from sievework.sinks import snapshots
-from sievework.sinks.tables import read_back, verify_write, write_table
-from sievework.sources.files import identify_files, load_typed_csv, read_text_csv
+from sievework.sinks.tables import publish_view, read_back, verify_write, write_table
+from sievework.sources.files import identify_files, load_typed_csv, read_table, read_text_csv
 from sievework.streaming import incremental
 
 from .columns import DOCUMENTS
@@ -42,6 +42,24 @@ def text_csv(t):
     return read_text_csv(t.spark, path, multiline=False, spread=4)
 
 
+@query("a4_catalog_table", "SELECT * FROM customer WHERE c_acctbal > 0")
+def catalog_table(t):
+    """A table known by name only; the filter still reaches its files."""
+    publish_view(t.customer, "customers_by_name")
+    return read_table(t.spark, "customers_by_name").filter("c_acctbal > 0")
+
+
+@query("b2_catalog_table_overwritten", "SELECT * FROM supplier")
+def catalog_table_overwritten(t):
+    name, path = "sievework_supplier", shared_folder(t.spark, "b2")
+    n = 0
+    for df in (t.supplier.filter("s_acctbal < 0"), t.supplier):
+        n = write_table(df, path, table=name)
+    stored = read_back(t.spark, table=name)
+    verify_write(n, stored)
+    return stored
+
+
 ORDERS_FILE = Contract("orders", "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp, o_orderstatus string, total decimal(18,2)")
 
 
