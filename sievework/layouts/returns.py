@@ -127,14 +127,6 @@ repair_attempted repaired
 """.split()
 DIAGNOSTIC_COLUMNS = "_row_uid id order_no exception_type articles custom_fields order_ts updated_ts".split()
 
-SUMMARY_METRICS = [
-    "Total input rows",
-    "Successfully processed rows",
-    "Rows requiring exception handling",
-    "Rows successfully repaired",
-    "Rows still unresolved",
-]
-
 
 @cache
 def article_fields() -> list[str]:

@@ -184,7 +184,7 @@ def run(
         sentinels=_emptied(got_raw, got_nulled, layout.RAW_COLUMNS),
         unreadable=_emptied(got_nulled, got, [*retyped, *sources, *layout.MOMENTS]),
         damaged_ids={c: n for c in layout.TEXT_IDS if (n := got_nulled[f"damaged {c}"])},
-        summary={m: got[m] for m in layout.SUMMARY_METRICS},
+        summary={m: got[m] for m in ex.summary_counts()},
     )
     stored = {r[ROUTE]: r["n"] for r in written.groupBy(ROUTE).agg(F.count("*").alias("n")).collect()}
     out.checks = ex.reconciled(out.summary) | {

@@ -58,3 +58,15 @@ def read_snapshot(spark: SparkSession, base: str, fmt: str = "parquet") -> DataF
     """The current run, or None before the first."""
     run = current_run(spark, base)
     return None if run is None else spark.read.format(fmt).load(f"{base}/run={run}")
+
+
+def expire_runs(spark: SparkSession, base: str, keep: int = 3) -> list[str]:
+    """Remove all but the newest ``keep`` runs, and never the current one; returns what was removed."""
+    path, fs = _pointer(spark, base)
+    now = current_run(spark, base)
+    found = [f for f in fs.listStatus(path.getParent()) if f.isDirectory() and f.getPath().getName().startswith("run=")]
+    found.sort(key=lambda f: f.getModificationTime(), reverse=True)
+    old = [f.getPath() for f in found[keep:] if f.getPath().getName() != f"run={now}"]
+    for p in old:
+        fs.delete(p, True)
+    return [p.getName() for p in old]

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 import shop
 from pyspark.sql import functions as F
@@ -76,6 +78,20 @@ def test_snapshots(spark, folder):
     assert snapshots.read_snapshot(spark, f"{folder}/s").count() == 3
 
 
+def test_old_runs_expire_but_not_the_current_one(spark, folder):
+    base = f"{folder}/s"
+    first = snapshots.write_snapshot(spark.range(1), base)
+    for n in range(2, 5):
+        snapshots.write_snapshot(spark.range(n), base)
+    assert len(snapshots.expire_runs(spark, base, keep=3)) == 1
+    assert snapshots.read_snapshot(spark, base).count() == 4 and f"run={first}" not in os.listdir(base)
+    oldest = snapshots.write_snapshot(spark.range(9), base)
+    snapshots.write_snapshot(spark.range(10), base)
+    snapshots.point_to(spark, base, oldest)
+    snapshots.expire_runs(spark, base, keep=1)
+    assert snapshots.read_snapshot(spark, base).count() == 9
+
+
 DB = in_db.Database("jdbc:postgresql://host/db", "u", "p", "org.postgresql.Driver")
 
 

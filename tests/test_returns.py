@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sievework.layouts import returns as layout
+from sievework.operators import exceptions as ex
 from sievework.plans import returns
 from sievework.sinks import snapshots
 from sievework.sources.files import read_text_csv
@@ -67,7 +68,7 @@ def test_transform(feed):
 
 def test_run(spark, feed, folder):
     done = returns.run(feed, f"{folder}/out", f"{folder}/exceptions", table="returns_published")
-    assert done.summary == dict(zip(layout.SUMMARY_METRICS, [6, 4, 4, 2, 2])) and all(done.checks.values())
+    assert done.summary == dict(zip(ex.summary_counts(), [6, 4, 4, 2, 2])) and all(done.checks.values())
     assert done.sentinels["courier_code"] == 6 and "id" not in done.sentinels
     assert done.unreadable == {layout.DAY_COUNTS[0]: 1, "activity_monitor_last_update_ts": 6, "promise_dt": 1}
     assert done.damaged_ids == {"tracking_number": 6}

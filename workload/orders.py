@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
+from sievework.functions import scalars
 from sievework.operators import grouping, integrity, upsert
 from sievework.plans import order_quality, reports
 from sievework.sinks.tables import publish_view, stage
@@ -330,16 +333,12 @@ def strict_mismatch(t):
        FROM lineitem GROUP BY 1""",
 )
 def exact_mean(t):
-    from sievework.functions.scalars import exact_mean as mean
-
     sums = shop_items(t).groupBy("product_id").agg(F.sum("amount").alias("s"), F.count("*").alias("n"))
-    return sums.select("product_id", mean(F.col("s"), F.col("n")).alias("mean_price"))
+    return sums.select("product_id", scalars.exact_mean(F.col("s"), F.col("n")).alias("mean_price"))
 
 
 @query("q1_incremental", "SELECT event_id, user_id, event_type, value FROM events WHERE ts > TIMESTAMP '2024-01-15 00:00:00'")
 def incremental(t):
-    import datetime as dt
-
     df = upsert.newer_than(t.events, "ts", dt.datetime(2024, 1, 15))
     return df.select("event_id", "user_id", "event_type", "value")
 

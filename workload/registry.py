@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampType
+from pyspark.sql.types import StructType, TimestampType
 
 from sievework.session import apply_job_settings, size_shuffles
 
@@ -15,14 +15,20 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
+SCHEMAS: dict[str, StructType] = {}
+
+
 class Tables:
-    """The given tables by attribute."""
+    """The given tables by attribute; a file's schema is inferred once per process."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        scan = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if path not in SCHEMAS:
+            SCHEMAS[path] = self.spark.read.parquet(path).schema
+        scan = self.spark.read.schema(SCHEMAS[path]).parquet(path)
         size_shuffles(scan)
         return scan
 

@@ -86,14 +86,15 @@ def write_and_verify(t):
     return stored
 
 
-@query("b8_snapshot_replaced", "SELECT c_custkey, c_acctbal + 2 AS c_acctbal FROM customer")
+@query("b8_snapshot_replaced", "SELECT c_custkey, CAST(CAST(c_acctbal AS DECIMAL(12,2)) + 2 AS DECIMAL(12,2)) AS balance FROM customer")
 def snapshot_replaced(t):
     """Each run reads the one before it and becomes current in one step."""
     base = shared_folder(t.spark, "b8")
-    snapshots.write_snapshot(t.customer.select("c_custkey", "c_acctbal"), base)
+    balance = F.col("c_acctbal").cast("decimal(12,2)").alias("balance")
+    snapshots.write_snapshot(t.customer.select("c_custkey", balance), base)
     for _ in range(2):
         now = snapshots.read_snapshot(t.spark, base)
-        snapshots.write_snapshot(now.withColumn("c_acctbal", F.col("c_acctbal") + 1), base)
+        snapshots.write_snapshot(now.withColumn("balance", (F.col("balance") + 1).cast("decimal(12,2)")), base)
     return snapshots.read_snapshot(t.spark, base)
 
 
