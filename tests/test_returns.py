@@ -41,7 +41,7 @@ def feed(spark, folder):
     return read_text_csv(spark, f"{folder}/daily.csv")
 
 
-def test_layout():
+def test_layout(spark):
     assert (len(layout.RAW_COLUMNS), len(layout.base_columns()), len(layout.published_columns())) == (86, 100, 199)
 
 
