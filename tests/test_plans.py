@@ -11,6 +11,7 @@ from sievework.operators import exceptions as ex
 from sievework.operators import grouping, integrity, profiling, upsert
 from sievework.plans import reports, returns
 from workload.feeds import returns_feed, shop_customers, shop_items, shop_orders, shop_products
+from workload.orders import bucketed_order_fact
 from workload.registry import Tables
 
 FOLDER = "/root/testdata/sf0.001"
@@ -83,6 +84,11 @@ def test_order_fact_moves_orders_and_items_only(t, no_broadcast, full_text):
     assert plan.count("Exchange hashpartitioning") == 3
 
 
+def test_order_fact_from_buckets_moves_nothing(t, no_broadcast, full_text):
+    plan = physical(bucketed_order_fact(t))
+    assert "Exchange" not in plan and "SortMergeJoin" in plan
+
+
 def test_customer_sums_are_made_before_the_join(t, no_broadcast, full_text):
     plan = physical(reports.customer_revenue(shop_customers(t), shop_orders(t), "F"))
     assert "partial_sum(order_total" in plan.replace("partial_sum(", "partial_sum(")

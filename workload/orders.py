@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from sievework.functions import scalars
 from sievework.operators import grouping, integrity, upsert
 from sievework.plans import order_quality, reports
-from sievework.sinks.tables import publish_view, stage
+from sievework.session import shared_folder
+from sievework.sinks.tables import publish_view, stage, write_bucketed
 
 from .feeds import MONEY, shop_customers, shop_items, shop_orders, shop_products
 from .registry import query
@@ -81,6 +82,22 @@ def order_fact(t):
     return _fact(t)
 
 
+def bucketed_order_fact(t, buckets=8):
+    where = shared_folder(t.spark, "bucketed")
+    stored = {}
+    for name, df in (("orders", shop_orders(t)), ("items", shop_items(t))):
+        table = f"sievework_bucketed_{name}"
+        write_bucketed(df, table, ["order_id"], buckets, f"{where}/{name}")
+        stored[name] = t.spark.table(table)
+    return reports.order_fact(stored["orders"], stored["items"], F.col("amount"))
+
+
+@query("n5_order_fact_from_buckets", FACT_SQL)
+def order_fact_from_buckets(t):
+    """Both tables stored in buckets of the order, and then joined and counted without a shuffle."""
+    return _money(bucketed_order_fact(t), "computed_order_total", "recorded_order_total", "order_total_diff")
+
+
 @query("b6_order_fact_view", f"SELECT * FROM ({FACT_SQL}) WHERE order_total_diff > 0")
 def order_fact_view(t):
     publish_view(_fact(t), "order_fact")
