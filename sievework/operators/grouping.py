@@ -52,23 +52,25 @@ def repeated_members(
     count_name: str = "n_rows",
     list_name: str = "members",
     members_per_row: int = MEMBERS_PER_ROW,
+    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """(keys, count, part, sorted members) for every key that occurs more than once.
 
     A group of up to ``members_per_row`` gives one row, part 0. A larger one gives several,
-    each with a share of the members chosen by hash: nothing is left out and no row or
-    task ever holds more than a share. ``member`` should identify the row.
+    each with about an equal share of the members, chosen by hash: nothing is left out, and
+    no row or task holds a whole large group. ``member`` should identify the row; where it repeats
+    within a group, name further columns in ``spread_by`` that tell the rows apart.
 
     The explicit repartition matters: without it the grouping below would reuse the join's
     partitioning by key alone and pull a hot key into one task.
     """
-    narrow = df.select(*keys, member)
+    by = F.xxhash64(*(spread_by or [member]))
+    narrow = df.select(*keys, F.col(member).alias("_member"), by.alias("_spot"))
     again = repeated_keys(narrow, keys, count_name)
     shares = F.ceil(F.col(count_name) / F.lit(members_per_row))
     spread = (
         join_on(narrow, again, keys)
-        .withColumnRenamed(member, "_member")
-        .withColumn("part", F.pmod(F.xxhash64("_member"), shares).cast("int"))
+        .withColumn("part", F.pmod("_spot", shares).cast("int"))
         .repartition(*keys, "part")
     )
     tagged = F.struct(F.isnull("_member").alias("missing"), F.col("_member").alias("value"))

@@ -72,6 +72,12 @@ def test_missing_members_stay_listed(spark):
     assert [tuple(r) for r in grouping.repeated_members(df, ["k"], "m").collect()] == [("x", 3, 0, [1, 2, None])]
 
 
+def test_a_member_that_repeats_is_spread_by_other_columns(spark):
+    df = spark.range(1000).select(F.lit("k").alias("k"), F.lit(1).alias("m"), "id")
+    parts = grouping.repeated_members(df, ["k"], "m", members_per_row=100, spread_by=["m", "id"]).collect()
+    assert sum(len(r["members"]) for r in parts) == 1000 and max(len(r["members"]) for r in parts) < 200
+
+
 def test_repeated_rows_and_survivors(hot):
     rows = hot.collect()
     counts = Counter(r["g"] for r in rows)
