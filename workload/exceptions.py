@@ -10,8 +10,9 @@ from sievework.operators import cleaning, exceptions as ex, flatten, profiling
 from sievework.operators.barriers import where_computed
 from sievework.plans import returns
 from sievework.session import shared_folder
+from sievework.sources.files import read_text_csv
 
-from .feeds import RETURNS_SQL, returns_feed
+from .feeds import RETURNS_SQL, returns_feed, write_csv
 from .registry import query
 
 NUMBER_ONLY = ex.ListSpec("articleNo string, price double")
@@ -318,6 +319,15 @@ def returns_run(t):
     return _published(t.spark.read.parquet(done.path()))
 
 
+@query("n6_returns_from_files", PUBLISHED_SQL)
+def returns_from_files(t):
+    """From the feed as multi-line CSV files to the published table."""
+    where = shared_folder(t.spark, "returns")
+    raw = read_text_csv(t.spark, write_csv(returns_feed(t), f"{where}/daily"))
+    done = returns.run(raw, f"{where}/tables", f"{where}/exceptions")
+    return _published(t.spark.read.parquet(done.path()))
+
+
 @query(
     "n6_returns_exceptions",
     RETURNS_SQL

@@ -164,3 +164,10 @@ WITH f AS (
   FROM f
 )
 """
+
+
+def write_csv(df: DataFrame, path: str) -> str:
+    """CSV files as a feed delivers them: header, doubled quotes, text as it is."""
+    out = df.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+    out.option("ignoreTrailingWhiteSpace", False).option("timestampFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
+    return path

@@ -17,19 +17,14 @@ from sievework.sources.files import identify_files, load_typed_csv, read_table,
 from sievework.streaming import incremental
 
 from .columns import DOCUMENTS
+from .feeds import write_csv
 from .registry import query
 
 
-def _csv(df, path: str) -> str:
-    out = df.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
-    out.option("ignoreTrailingWhiteSpace", False).option("timestampFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
-    return path
-
-
 @query("a1_multiline_csv", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, CAST(n_chars AS VARCHAR) AS n_chars FROM documents")
 def multiline_csv(t):
     """Texts with line breaks, quotes and commas survive the file."""
-    path = _csv(t.documents.select("doc_id", "text", "lang", "n_chars"), shared_folder(t.spark, "a1"))
+    path = write_csv(t.documents.select("doc_id", "text", "lang", "n_chars"), shared_folder(t.spark, "a1"))
     return read_text_csv(t.spark, path)
 
 
@@ -38,7 +33,7 @@ def multiline_csv(t):
     """SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, CAST(p_size AS VARCHAR) AS p_size FROM part""",
 )
 def text_csv(t):
-    path = _csv(t.part.select("p_partkey", "p_name", "p_brand", "p_size"), shared_folder(t.spark, "a2"))
+    path = write_csv(t.part.select("p_partkey", "p_name", "p_brand", "p_size"), shared_folder(t.spark, "a2"))
     return read_text_csv(t.spark, path, multiline=False, spread=4)
 
 
@@ -72,7 +67,7 @@ def typed_load(t):
         "o_orderkey", "o_custkey", F.col("o_orderdate").cast("timestamp"), "o_orderstatus",
         F.col("o_totalprice").cast("decimal(18,2)").alias("total"),
     )
-    return load_typed_csv(t.spark, _csv(orders, shared_folder(t.spark, "a5")), ORDERS_FILE)
+    return load_typed_csv(t.spark, write_csv(orders, shared_folder(t.spark, "a5")), ORDERS_FILE)
 
 
 @query("b1_write_and_verify", "SELECT * FROM supplier")
@@ -157,7 +152,7 @@ def mislabelled_files(t):
     base = shared_folder(t.spark, "q6")
     known = [Contract(n, getattr(t, n).schema) for n in ("customer", "part", "orders")]
     for label, df in {"orders": t.customer, "customer": t.part, "part": t.orders, "other": t.supplier}.items():
-        _csv(df, f"{base}/{label}")
+        write_csv(df, f"{base}/{label}")
     files = identify_files(t.spark, f"{base}/*", known)
     label = F.regexp_extract("file", r"/(\w+)/[^/]*$", 1).alias("labelled")
     return files.groupBy(label, "content").agg(F.sum(F.col("n_lines") - 1).alias("n_rows"))
