@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import estimated_bytes
+from ..session import estimated_bytes, stage
 from .grouping import join_on
 
 # Up to this much input, one task can sort a whole group.
@@ -37,16 +37,21 @@ def _rank_in_slices(df: DataFrame, group: Sequence[str], measure: str, name: str
 
     Ties are collapsed first, so a slice holds distinct values only and one heavy tie
     is one row. Slice borders are approximate quantiles (they only affect balance), and a
-    value's rank is 1 + rows in higher slices + rows with higher values in its own.
+    value's rank is 1 + rows in higher slices + rows with higher values in its own. Only the
+    second sum needs the values of a slice together; quantiles and slice totals combine on the
+    map side.
+
+    The input and the borders are staged: both are used several times and must be the same
+    each time. A sum of doubles or a quantile sketch computed anew, after a lost executor for
+    one, can come out slightly different, and rows would miss their rank.
     """
+    df = stage(df, "rank-input")
     values = df.groupBy(*group, measure).agg(F.count("*").alias("_peers"))
-    borders = values.groupBy(*group).agg(
+    borders = df.groupBy(*group).agg(
         F.percentile_approx(measure, [i / slices for i in range(1, slices)], 100 * slices).alias("_borders")
     )
-    placed = (
-        join_on(values, borders, group, "left")
-        .select(*group, measure, "_peers", _slice(F.col(measure)).alias("_slice"))
-        .repartition(*group, "_slice")
+    placed = join_on(values, stage(borders, "rank-borders"), group, "left").select(
+        *group, measure, "_peers", _slice(F.col(measure)).alias("_slice")
     )
     totals = placed.groupBy(*group, "_slice").agg(F.sum("_peers").alias("_total"))
     # at most ``slices`` + 1 rows per group
@@ -57,7 +62,8 @@ def _rank_in_slices(df: DataFrame, group: Sequence[str], measure: str, name: str
         .orderBy(F.desc_nulls_first(measure))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    ahead = placed.withColumn("_ahead", F.coalesce(F.sum("_peers").over(inside), F.lit(0)))
+    together = placed.repartition(*group, "_slice")
+    ahead = together.withColumn("_ahead", F.coalesce(F.sum("_peers").over(inside), F.lit(0)))
     place = (F.col("_before") + F.col("_ahead") + 1).cast("int")
     ranks = join_on(ahead, before, [*group, "_slice"]).select(*group, measure, place.alias(name))
     return join_on(df, ranks, [*group, measure]).select(*df.columns, name)

@@ -14,8 +14,9 @@ from ..functions import scalars, text
 from ..layouts.shop import ORDERS_LOADED, PRODUCTS_LOADED
 from ..operators.cleaning import standard_names
 from ..operators.integrity import split_by_contract
+from ..session import stage
 from ..sinks.relational import reload_table
-from ..sinks.tables import stage, write_table
+from ..sinks.tables import write_table
 from ..sources.files import read_text_csv
 from ..sources.relational import Database, Split, read_relational
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sievework.contracts import Contract
 from sievework.layouts import shop as layout
 from sievework.plans import ingest
-from sievework.session import shared_folder, shared_root
+from sievework.session import shared_folder, shared_root, stage
 from sievework.sinks import relational as out_db
 from sievework.sinks import snapshots, tables
 from sievework.sources import files
@@ -166,7 +166,7 @@ def test_staged_frame_is_read_once(spark, folder):
     from pyspark.sql import Observation
 
     seen = Observation()
-    staged = tables.stage(spark.range(10).observe(seen, F.count(F.lit(1)).alias("n")), "staged")
+    staged = stage(spark.range(10).observe(seen, F.count(F.lit(1)).alias("n")), "staged")
     assert seen.get["n"] == 10 and staged.filter("id > 4").count() == 5 and staged.count() == 10
 
 

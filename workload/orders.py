@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from sievework.functions import scalars
 from sievework.operators import grouping, integrity, upsert
 from sievework.plans import order_quality, reports
-from sievework.session import shared_folder
-from sievework.sinks.tables import publish_view, stage, write_bucketed
+from sievework.session import shared_folder, stage
+from sievework.sinks.tables import publish_view, write_bucketed
 
 from .feeds import MONEY, shop_customers, shop_items, shop_orders, shop_products
 from .registry import query
