@@ -33,8 +33,10 @@ from .common import row_slices
 GRAM, THRESHOLD = 5, 0.8
 TREES, DEPTH, TARGET = 20, 6, 0.9999
 #: texts of a trie node, and grams of a family, that one task takes
-NODE, FAMILY_GRAMS = 2000, 300_000
+NODE, FAMILY_GRAMS = 400, 100_000
 PLAUSIBLE = 0.5
+#: entries of the table by which texts outside of families are passed over, at most
+SIEVE = 1 << 20
 PIECE = 1 << 20
 
 
@@ -247,9 +249,11 @@ def in_blocks(rows: DataFrame, blocks: Column, seed: int) -> DataFrame:
 
 def meet(sketches: DataFrame) -> DataFrame:
     """Edges (a, b), a < b, between texts that share a trie node and agree in their signatures."""
-    nodes = sketches.filter(F.size("nodes") > 0).select("id", "size", "signature", F.explode("nodes").alias("node"))
-    sizes = nodes.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1")
-    shared = in_blocks(nodes.join(stage(sizes, "nodes"), "node"), F.ceil(F.col("n") / NODE), 41)
+    nodes = sketches.select("id", F.explode("nodes").alias("node"))
+    sizes = stage(nodes.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1"), "nodes")
+    # most nodes hold one text; signatures travel with the others only
+    shared = in_blocks(stage(nodes.join(sizes, "node"), "shared"), F.ceil(F.col("n") / NODE), 41)
+    shared = shared.join(sketches.select("id", "size", "signature"), "id")
     shared = shared.select("node", "lo", "hi", "block", "id", "size", "signature")
     shared = shared.repartition("node", "lo", "hi").sortWithinPartitions("node", "lo", "hi", "id")
 
@@ -353,7 +357,10 @@ def verify(docs: DataFrame, sketches: DataFrame, families: DataFrame) -> DataFra
     members = stage(members, "members")
     grams = members.groupBy("family").agg(F.sum("size").alias("grams"))
     members = in_blocks(members.join(stage(grams, "grams"), "family"), F.ceil(F.col("grams") / FAMILY_GRAMS), 43)
+    # of bounded size whatever the input: it passes over most texts while families are few, and never one of a family
+    sieve = members.select(F.pmod("k1", F.lit(SIEVE)).alias("mesh")).distinct()
     texts = docs.select(*identity(), F.col("text").cast("string").alias("text"))
+    texts = texts.withColumn("mesh", F.pmod("k1", F.lit(SIEVE))).join(F.broadcast(sieve), "mesh", "left_semi").drop("mesh")
     rows = texts.join(members, ["k1", "k2"]).select("family", "lo", "hi", "block", "id", "size", "signature", "text")
     rows = rows.repartition("family", "lo", "hi").sortWithinPartitions("family", "lo", "hi", "id")
 
