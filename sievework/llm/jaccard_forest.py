@@ -390,9 +390,9 @@ def verify(docs: DataFrame, sketches: DataFrame, families: DataFrame) -> DataFra
     return rows.mapInArrow(compare, "id long, links long, parent long")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Per document: row, doc_id, k1, k2, class_id, class_root, n_copies (other documents of the same words) and
-    n_links (other texts of at least the threshold's similarity)."""
+def classed(docs: DataFrame) -> DataFrame:
+    """Per document: row, doc_id, k1, k2, class_root (the smallest row of its class), copies (documents of the same
+    words) and n_links (other texts of at least the threshold's similarity)."""
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     every = stage(sketch(docs), "sketches")
     copies = stage(every.groupBy("high", "low").agg(F.min("row").alias("id"), F.count("*").alias("copies")), "copies")
@@ -406,10 +406,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     # tables of their own, so that Spark may split a hot class in the joins
     about = stage(about, "about")
-    rows = stage(every.select("row", "doc_id", "k1", "k2", "high", "low").join(about, ["high", "low"]), "classed")
+    return stage(every.select("row", "doc_id", "k1", "k2", "high", "low").join(about, ["high", "low"]), "classed").drop("high", "low")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, class_id (the smallest id of the class), n_copies (other documents of the same words) and n_links."""
+    rows = classed(docs)
     names = rows.groupBy("class_root").agg(F.min("doc_id").alias("class_id"))
     return rows.join(stage(names, "names"), "class_root").select(
-        "row", "doc_id", "k1", "k2", "class_id", "class_root", (F.col("copies") - 1).alias("n_copies"), "n_links"
+        "doc_id", "class_id", (F.col("copies") - 1).alias("n_copies"), "n_links"
     )
 
 
@@ -418,8 +423,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
     All columns stay as they are. Rows that repeat an id and a text are one document.
     """
-    found = near_duplicates(docs)
-    kept = found.groupBy("class_root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "k1", "k2")).alias("first"))
+    kept = classed(docs).groupBy("class_root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "k1", "k2")).alias("first"))
     kept = kept.select(F.col("first.k1").alias("_kept_1"), F.col("first.k2").alias("_kept_2"))
     k1, k2 = identity()
     keyed = docs.withColumns({"_kept_1": k1, "_kept_2": k2})

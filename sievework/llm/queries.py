@@ -62,8 +62,7 @@ def op9_template_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_jaccard_forest(spark: SparkSession, folder: str) -> DataFrame:
-    found = jaccard_forest.near_duplicates(table(spark, folder, "documents"))
-    return found.select("doc_id", "class_id", "n_copies", "n_links")
+    return jaccard_forest.near_duplicates(table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Query] = {
