@@ -8,6 +8,7 @@ the losses and the summary on the way.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import cache
 
@@ -61,8 +62,8 @@ def resolve(cleaned: DataFrame, reclassify: bool = True) -> DataFrame:
     return ex.resolve(cleaned, ITEMS, OBJECT, reclassify)
 
 
-def lay_out(resolved: DataFrame) -> DataFrame:
-    """Flatten, narrow the money columns, and put everything in the published order."""
+def lay_out(resolved: DataFrame, extras: Sequence[str] = ()) -> DataFrame:
+    """Flatten, narrow the money columns, and put everything in the published order, extra columns last."""
     wide = resolved.select(
         "*",
         *nested.flat(ex.ELEMENT, layout.article_fields(), layout.LIST_PREFIX),
@@ -72,12 +73,21 @@ def lay_out(resolved: DataFrame) -> DataFrame:
     wide = narrow_decimals(
         wide, [p + c for c in layout.ARTICLE_MONEY], {p + s: m for s, m in layout.ARTICLE_MONEY_NESTED.items()}
     )
-    return in_order(wide, layout.published_columns())
+    return in_order(wide, layout.published_columns(), extras)
+
+
+def extra_columns(raw: DataFrame) -> list[str]:
+    """Columns that the feed has beyond the known ones; they are kept as they come."""
+    extras = [c for c in raw.columns if c not in layout.RAW_COLUMNS and c != layout.ROW_KEY]
+    clash = sorted(set(extras) & {*layout.published_columns(), ROUTE, ex.ELEMENT, ex.OBJECT})
+    if clash:
+        raise ValueError(f"feed has columns named like derived ones: {clash}")
+    return extras
 
 
 def transform(raw: DataFrame, reclassify: bool = True) -> DataFrame:
     """Raw feed to all rows in the published layout, exceptions still among them."""
-    return lay_out(resolve(clean(raw), reclassify))
+    return lay_out(resolve(clean(raw), reclassify), extra_columns(raw))
 
 
 def present(df: DataFrame, columns: list[str], stage: str) -> list[Column]:
@@ -138,8 +148,8 @@ def run(
     """Process a feed: published and unresolved rows below ``base``, diagnostics in ``exceptions_target``.
 
     The wide transformation runs once; what it emptied is told from non-NULL counts before
-    and after each step, taken on the way. The exceptions table is then read off the
-    unresolved part. ``table`` also publishes to a catalog table. A run that does not
+    and after each step, taken on the way. Columns the layout does not know come last, as
+    they are. The exceptions table is then read off the unresolved part. ``table`` also publishes to a catalog table. A run that does not
     reconcile raises and leaves the previous run current, in ``base`` as in both targets.
     """
     spark = raw.sparkSession
@@ -165,8 +175,9 @@ def run(
         *both_parts,
         *[F.count_if(text.scientific_id(F.col(c))).alias(f"damaged {c}") for c in layout.TEXT_IDS],
     )
-    final = lay_out(resolve(nulled.withColumns(scalar_columns()), reclassify))
-    drift = output_contract().drift(final.schema)
+    extras = extra_columns(raw)
+    final = lay_out(resolve(nulled.withColumns(scalar_columns()), reclassify), extras)
+    drift = output_contract().drift(final.drop(*extras).schema)
     if drift:
         raise ValueError(f"output differs from its contract: {drift}")
     final = final.observe(

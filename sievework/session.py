@@ -69,8 +69,6 @@ def estimated_bytes(*frames) -> int:
 
 
 PARTITION_BYTES = 128 << 20
-# map tasks times partitions is the number of shuffle blocks the cluster has to keep track of
-MOST_PARTITIONS = 20_000
 
 
 def size_shuffles(scan) -> None:
@@ -80,6 +78,6 @@ def size_shuffles(scan) -> None:
     Partitions that turn out small are merged by AQE.
     """
     conf = scan.sparkSession.conf
-    needed = min(MOST_PARTITIONS, -(-estimated_bytes(scan) // PARTITION_BYTES))
+    needed = -(-estimated_bytes(scan) // PARTITION_BYTES)
     if needed > int(conf.get("spark.sql.shuffle.partitions")):
         conf.set("spark.sql.shuffle.partitions", str(needed))

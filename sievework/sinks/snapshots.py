@@ -1,11 +1,15 @@
 """Versioned snapshots on plain files: write a new run, then point to it.
 
 Without a table format an overwrite is not atomic. A run is written beside the others,
-and readers follow a small pointer file that is replaced in one step.
+and readers follow a small pointer file. A new pointer is written beside the old one and renamed
+over it, which file systems do in one step; on an object store without such a rename use a table
+format. The pointer is handled through the JVM's file systems, so this module, like
+``session.estimated_bytes``, needs a classic session, not Spark Connect.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,17 +21,29 @@ POINTER = "_current"
 def write_routed(df: DataFrame, base: str, run: str, fmt: str = "parquet") -> DataFrame:
     """Write all routes in one pass to ``base/run=<run>/route=<name>`` and read the run back.
 
-    Nothing is shuffled: each task sorts its rows by route and writes a file for each.
+    Nothing is shuffled or sorted: each task writes a file for each route it meets.
     """
     path = f"{base}/run={run}"
-    df.write.format(fmt).partitionBy(ROUTE).mode("errorifexists").save(path)
+    conf, setting = df.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(setting, None)
+    conf.set(setting, "16")  # few routes: their files are open at once, and no task sorts its rows by route
+    try:
+        df.write.format(fmt).partitionBy(ROUTE).mode("errorifexists").save(path)
+    finally:
+        conf.unset(setting) if before is None else conf.set(setting, before)
     return df.sparkSession.read.format(fmt).schema(df.schema).load(path)
 
 
 def write_snapshot(df: DataFrame, base: str, fmt: str = "parquet") -> str:
-    """Write a new run of a whole table and make it current. The frame may read the previous run."""
-    run = uuid.uuid4().hex[:12]
+    """Write a new run of a whole table and make it current. The frame may read the previous run.
+
+    If another writer made a run current meanwhile, this one raises rather than undo the other's.
+    """
+    run, previous = uuid.uuid4().hex[:12], current_run(df.sparkSession, base)
     df.write.format(fmt).mode("errorifexists").save(f"{base}/run={run}")
+    found = current_run(df.sparkSession, base)
+    if found != previous:
+        raise RuntimeError(f"run {found} became current while {run} was written on top of {previous}")
     point_to(df.sparkSession, base, run)
     return run
 
@@ -38,10 +54,18 @@ def _pointer(spark: SparkSession, base: str):
 
 
 def point_to(spark: SparkSession, base: str, run: str) -> None:
+    if not run:
+        raise ValueError("a pointer needs a run")
     path, fs = _pointer(spark, base)
-    out = fs.create(path, True)
+    beside = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{POINTER}.{uuid.uuid4().hex[:12]}")
+    out = fs.create(beside, True)
     out.write(bytearray(run.encode()))
     out.close()
+    option = getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(option, 1)
+    options[0] = option.OVERWRITE
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(path.toUri(), spark._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(beside), fs.makeQualified(path), options)
 
 
 def current_run(spark: SparkSession, base: str) -> str | None:
@@ -51,6 +75,8 @@ def current_run(spark: SparkSession, base: str) -> str | None:
     stream = fs.open(path)
     run = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     stream.close()
+    if not run:
+        raise RuntimeError(f"the pointer of {base} is empty")
     return run
 
 
@@ -60,13 +86,18 @@ def read_snapshot(spark: SparkSession, base: str, fmt: str = "parquet") -> DataF
     return None if run is None else spark.read.format(fmt).load(f"{base}/run={run}")
 
 
-def expire_runs(spark: SparkSession, base: str, keep: int = 3) -> list[str]:
-    """Remove all but the newest ``keep`` runs, and never the current one; returns what was removed."""
+def expire_runs(spark: SparkSession, base: str, keep: int, hours: float) -> list[str]:
+    """Remove runs that are older than ``hours`` and not among the newest ``keep``, and never the current one.
+
+    Never part of a merge: a reader may still hold an older run, for as long as its job takes. Returns
+    what was removed.
+    """
     path, fs = _pointer(spark, base)
     now = current_run(spark, base)
     found = [f for f in fs.listStatus(path.getParent()) if f.isDirectory() and f.getPath().getName().startswith("run=")]
     found.sort(key=lambda f: f.getModificationTime(), reverse=True)
-    old = [f.getPath() for f in found[keep:] if f.getPath().getName() != f"run={now}"]
+    aged = [f for f in found[keep:] if f.getModificationTime() <= (time.time() - hours * 3600) * 1000]
+    old = [f.getPath() for f in aged if f.getPath().getName() != f"run={now}"]
     for p in old:
         fs.delete(p, True)
     return [p.getName() for p in old]

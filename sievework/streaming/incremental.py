@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from ..operators.grouping import pick_per_key
 from ..operators.upsert import upsert
-from ..sinks.snapshots import expire_runs, read_snapshot, write_snapshot
+from ..sinks.snapshots import read_snapshot, write_snapshot
 
 
 def arrivals(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", files_per_batch: int = 1000) -> DataFrame:
@@ -19,10 +19,10 @@ def arrivals(spark: SparkSession, path: str, schema: StructType, fmt: str = "par
     return reader.load(path)
 
 
-def merge_batch(batch: DataFrame, base: str, keys: Sequence[str], version: str, keep_runs: int = 3) -> None:
+def merge_batch(batch: DataFrame, base: str, keys: Sequence[str], version: str) -> None:
     """Merge one batch into the current snapshot. Doing it twice changes nothing.
 
-    The last few runs stay in place for readers and for a retried batch.
+    Earlier runs stay in place for readers; ``expire_runs`` removes old ones, by its own schedule.
     """
     old = read_snapshot(batch.sparkSession, base)
     if old is None:
@@ -30,7 +30,6 @@ def merge_batch(batch: DataFrame, base: str, keys: Sequence[str], version: str,
     else:
         new = upsert(old, batch, keys, version)
     write_snapshot(new, base)
-    expire_runs(batch.sparkSession, base, keep_runs)
 
 
 def keep_merged(stream: DataFrame, base: str, checkpoint: str, keys: Sequence[str], version: str) -> None:

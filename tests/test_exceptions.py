@@ -12,11 +12,11 @@ LISTS, OBJECT = ex.ListSpec("articleNo string, price double"), ex.ObjectSpec("is
 
 # id: (articles, article_number, custom_fields, match count, type as found, type after repair)
 CASES = {
-    "SYN-A": ('[{"articleNo":"X1","price":10.0', "X1", OK, 0, "articles_parse_failed", None),
-    "SYN-B": ('[{"articleNo":"X1","price":10.0}]', "DOES-NOT-EXIST", OK, 0, "articles_no_match", "articles_no_match"),
-    "SYN-C": ('[{"articleNo":"X1","price":10.0}]', "X1", CUT, 1, "custom_fields_parse_failed", "custom_fields_parse_failed"),
-    "SYN-D": ('[{"articleNo":" x1 ","price":10.0}]', "X1", OK, 0, "articles_no_match", None),
-    "SYN-E": ('[{"articleNo":"Q9","price":10.0}]', "X1", OK, 0, "articles_no_match", "articles_no_match"),
+    "cut list": ('[{"articleNo":"K77","price":3.5', "K77", OK, 0, "articles_parse_failed", None),
+    "other number": ('[{"articleNo":"K77","price":3.5},{"articleNo":"K78","price":4}]', "M01", OK, 0, "articles_no_match", "articles_no_match"),
+    "cut object": ('[{"articleNo":"K77","price":3.5}]', "K77", CUT, 1, "custom_fields_parse_failed", "custom_fields_parse_failed"),
+    "loose number": ('[{"articleNo":"K78 ","price":4},{"articleNo":" k77","price":3.5}]', "K77", OK, 0, "articles_no_match", None),
+    "longer number": ('[{"articleNo":"K771","price":3.5}]', "K77", OK, 0, "articles_no_match", "articles_no_match"),
     "dup": ('[{"articleNo":"X1","price":1},{"articleNo":"X1","price":2}]', "X1", OK, 2,
             "articles_duplicate_match", "articles_duplicate_match"),
     "null": (None, "X1", OK, 0, "articles_no_match", "articles_no_match"),
@@ -60,9 +60,9 @@ def test_repair(bad):
         assert r["repair_attempted"] == (found is not None), i
         assert r["repaired"] == (found is not None and left is None), i
         assert r["articles_match_count"] == count, i
-    assert done["SYN-A"]["_element"]["price"] == 10.0
-    assert done["SYN-D"]["_element"]["articleNo"] == " x1 "
-    assert done["SYN-B"]["_element"] is None
+    assert done["cut list"]["_element"]["price"] == 3.5
+    assert done["loose number"]["_element"]["articleNo"] == " k77"
+    assert done["other number"]["_element"] is None
 
 
 def test_first_fault_alone(bad):
@@ -92,7 +92,7 @@ def test_every_row_is_routed_once(bad):
     assert held.columns == ["id", "exception_type"]
     a, b = {r["id"] for r in good.collect()}, {r["id"] for r in held.collect()}
     assert a | b == set(CASES) and not a & b
-    assert {"SYN-A", "SYN-D"} <= a and {"SYN-B", "SYN-C", "SYN-E"} <= b
+    assert {"cut list", "loose number"} <= a and {"other number", "cut object", "longer number"} <= b
     together = good.select("id").unionByName(held.select("id"))
     assert together.exceptAll(bad.select("id")).isEmpty() and bad.select("id").exceptAll(together).isEmpty()
 

@@ -107,8 +107,8 @@ def test_repeated_rows_and_survivors(hot):
 
 
 version = st.one_of(st.none(), st.integers(1, 4))
-tables = st.dictionaries(st.integers(1, 5), version, max_size=5)
-batches = st.lists(st.tuples(st.integers(1, 6), version), max_size=6)
+tables = st.dictionaries(st.none() | st.integers(1, 5), version, max_size=5)
+batches = st.lists(st.tuples(st.none() | st.integers(1, 6), version), max_size=6)
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
