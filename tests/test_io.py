@@ -141,7 +141,7 @@ def test_ingest_delivers_both_targets_with_one_load_time(spark, csvs, folder, mo
     done = ingest.run(spark, f"{csvs}/products_ok.csv", DB, DB, f"{folder}/rejects")
     assert {k: (v.accepted, v.rejected) for k, v in done.items()} == {"products_loaded": (4, 0), "orders_loaded": (9, 0)}
     assert list(got) == ["dbo.products_loaded", "dbo.orders_loaded"]
-    assert 1009 in {r["order_id"] for r in got["dbo.orders_loaded"]}
+    assert 7006 in {r["order_id"] for r in got["dbo.orders_loaded"]}
     assert len({r["ingestion_timestamp"] for rows in got.values() for r in rows}) == 1
 
 
