@@ -55,3 +55,19 @@ def redact(df: DataFrame, members: Mapping[str, Sequence[str]], salt: str | None
         return out
 
     return df.withColumns({s: masked(s) for s in members})
+
+
+def redact_text(raw: Column, fields: Sequence[str], readable: Column) -> Column:
+    """Raw JSON text without the values of the named members, at whatever depth.
+
+    A text that cannot be parsed goes as a whole, and so does one where a value might hide: a name spelled
+    with escapes, or a member that is still something other than a string, number, boolean or null.
+    """
+    out = raw
+    for name in fields:
+        value = r'("[^"\\]*+(?:\\.[^"\\]*+)*+"|-?[0-9][-+0-9.eE]*|true|false|null)'
+        out = F.regexp_replace(out, rf'("{name}"\s*:\s*){value}', "$1null")
+    hides = F.contains(raw, F.lit("\\u"))
+    for name in fields:
+        hides = hides | out.rlike(rf'"{name}"\s*:\s*(?!null)\S')
+    return F.when(readable & ~hides, out)

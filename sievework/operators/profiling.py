@@ -1,4 +1,4 @@
-"""Counts that describe a feed. Any number of columns costs one pass over the data."""
+"""Counts that describe a feed. Any number of columns costs one pass over the data; the shape audit reads it twice."""
 
 from __future__ import annotations
 

@@ -20,7 +20,7 @@ from ..contracts import Contract
 from ..functions import nested, scalars, text
 from ..layouts import returns as layout
 from ..operators import exceptions as ex
-from ..operators.cleaning import in_order, null_sentinels
+from ..operators.cleaning import in_order, null_sentinels, redact, redact_text
 from ..operators.flatten import narrow_decimals
 from ..operators.keys import number_rows
 from ..sinks.snapshots import ROUTE, point_to, write_routed
@@ -90,6 +90,17 @@ def transform(raw: DataFrame, reclassify: bool = True) -> DataFrame:
     return lay_out(resolve(clean(raw), reclassify), extra_columns(raw))
 
 
+def without_personal(laid_out: DataFrame, salt: str | None = None) -> DataFrame:
+    """Personal members blanked, or hashed with a salt, in the parsed object, and blanked in its raw text.
+
+    A raw text that cannot be parsed is blanked as a whole, since nothing tells where it holds them.
+    """
+    members = {layout.OBJECT_PREFIX + struct: fields for struct, fields in layout.PERSONAL_FIELDS.items()}
+    names = [f for fields in layout.PERSONAL_FIELDS.values() for f in fields]
+    raw = redact_text(F.col(layout.OBJECT_SOURCE), names, ~F.col("custom_fields_parse_failed"))
+    return redact(laid_out.withColumn(layout.OBJECT_SOURCE, raw), members, salt)
+
+
 def present(df: DataFrame, columns: list[str], stage: str) -> list[Column]:
     """Non-NULL counts, named by stage; comparing stages tells what a step emptied."""
     return [F.count(c).alias(f"{stage} {c}") for c in columns if c in df.columns]
@@ -144,12 +155,15 @@ def run(
     fmt: str = "parquet",
     table: str | None = None,
     reclassify: bool = True,
+    redacted: bool = False,
+    salt: str | None = None,
 ) -> ReturnsRun:
     """Process a feed: published and unresolved rows below ``base``, diagnostics in ``exceptions_target``.
 
     The wide transformation runs once; what it emptied is told from non-NULL counts before
     and after each step, taken on the way. Columns the layout does not know come last, as
-    they are. The exceptions table is then read off the unresolved part. ``table`` also publishes to a catalog table. A run that does not
+    they are. The exceptions table is then read off the unresolved part. ``table`` also publishes to a catalog table. With
+    ``redacted``, nothing written holds personal members (see ``without_personal``). A run that does not
     reconcile raises and leaves the previous run current, in ``base`` as in both targets.
     """
     spark = raw.sparkSession
@@ -177,6 +191,8 @@ def run(
     )
     extras = extra_columns(raw)
     final = lay_out(resolve(nulled.withColumns(scalar_columns()), reclassify), extras)
+    if redacted:
+        final = without_personal(final, salt)
     drift = output_contract().drift(final.drop(*extras).schema)
     if drift:
         raise ValueError(f"output differs from its contract: {drift}")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 
 from pyspark.sql import functions as F
 
@@ -54,20 +55,22 @@ def sentinel_set(t):
     return out.withColumn("lang", F.trim("lang"))
 
 
+def nulls(kind: str, columns: Iterable[str]) -> str:
+    """Columns that the feed leaves empty, in SQL."""
+    return "".join(f", CAST(NULL AS {kind}) AS {c}" for c in columns)
+
+
 @query(
     "c3_tf_flags",
-    """SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag <> 'N' THEN l_returnflag = 'R' END AS is_returns_portal,
-              l_linestatus = 'O' AS is_cancelled, false AS invalid FROM lineitem""",
+    RETURNS_SQL
+    + "SELECT order_no, article_number, CASE WHEN l_returnflag <> 'N' THEN l_returnflag = 'R' END AS is_returns_portal, "
+    + "l_linestatus = 'O' AS is_cancelled"
+    + "".join(f", false AS {c}" for c in layout.FLAGS if c not in ("is_returns_portal", "is_cancelled"))
+    + " FROM g",
 )
 def tf_flags(t):
-    df = t.lineitem.select(
-        "l_orderkey",
-        "l_linenumber",
-        F.expr("CASE l_returnflag WHEN 'R' THEN 't' WHEN 'A' THEN 'f' END").alias("is_returns_portal"),
-        F.expr("CASE l_linestatus WHEN 'O' THEN 't' ELSE 'x' END").alias("is_cancelled"),
-        F.lit("f").alias("invalid"),
-    )
-    return cleaning.derive(df, {c: text.flag_tf(F.col(c)) for c in ("is_returns_portal", "is_cancelled", "invalid")})
+    """All flags of the feed; a text that is neither t nor a sentinel is false."""
+    return _clean(t, "article_number", *layout.FLAGS)
 
 
 @query(
@@ -83,6 +86,26 @@ def tristate_bool(t):
     return t.orders.select("o_orderkey", text.tri_state(said).alias("urgent"))
 
 
+# raw columns with values of their own; the other flags are "f", all else is "null"
+FILLED = """
+id order_no customer_no tracking_number updated activity_monitor_last_update refreshed_date order_date order_time
+delivery_date delivery_time parcellab_system_created_date created_time promise_date claimed_date
+delta_between_announced_and_actual_dispatch n_days_order_until_first_attempt article_number article_price
+return_quantity articles custom_fields
+""".split()
+EMPTY_MOMENTS = [c for c in layout.MOMENTS if c not in ("order_ts", "delivery_ts", "parcellab_created_ts")]
+# rows of the checking SQL in which a column holds a sentinel
+SENTINEL_ROWS = {c: "false" if c in (*FILLED, *layout.FLAGS) else "true" for c in layout.RAW_COLUMNS} | {
+    "order_date": "l_orderkey % 5 = 0",
+    "order_time": "l_orderkey % 7 = 0",
+    "promise_date": "l_suppkey % 3 = 0",
+    "is_returns_portal": "l_returnflag = 'N'",
+    "delta_between_announced_and_actual_dispatch": "l_partkey % 11 <> 0 AND l_partkey % 13 = 0",
+    "articles": "fault = 8",
+}
+SENTINEL_NAMES = ", ".join(f"'{c}'" for c in SENTINEL_ROWS)
+SENTINEL_COUNTS = ", ".join(f"count(*) FILTER ({rows})" for rows in SENTINEL_ROWS.values())
+
 CLEAN_SQL = (
     RETURNS_SQL
     + """SELECT order_no, {columns} FROM g"""
@@ -97,11 +120,12 @@ def _clean(t, *columns):
     "c5_date_time_pairs",
     CLEAN_SQL.format(
         columns="""CASE WHEN l_orderkey % 5 <> 0 AND l_orderkey % 7 <> 0 THEN at_second END AS order_ts,
-        CASE WHEN l_orderkey % 4 <> 0 THEN at_second END AS delivery_ts, CAST(NULL AS TIMESTAMP) AS pickup_scheduled_ts"""
+        CASE WHEN l_orderkey % 4 <> 0 THEN at_second END AS delivery_ts, at_second AS parcellab_created_ts"""
+        + nulls("TIMESTAMP", EMPTY_MOMENTS)
     ),
 )
 def date_time_pairs(t):
-    return _clean(t, "order_ts", "delivery_ts", "pickup_scheduled_ts")
+    return _clean(t, *layout.MOMENTS)
 
 
 @query("c6_assumed_pair", CLEAN_SQL.format(columns="at_second AS parcellab_created_ts"))
@@ -124,11 +148,12 @@ def single_timestamp(t):
     "c8_dates",
     CLEAN_SQL.format(
         columns="""CASE WHEN l_suppkey % 3 <> 0 THEN CAST(l_shipdate AS DATE) END AS promise_dt,
-        CASE WHEN l_suppkey % 10 <> 1 THEN CAST(l_shipdate AS DATE) END AS claimed_dt, CAST(NULL AS DATE) AS cancelled_dt"""
+        CASE WHEN l_suppkey % 10 <> 1 THEN CAST(l_shipdate AS DATE) END AS claimed_dt"""
+        + nulls("DATE", ["cancelled_dt", "return_to_sender_dt"])
     ),
 )
 def dates(t):
-    return _clean(t, "promise_dt", "claimed_dt", "cancelled_dt")
+    return _clean(t, *layout.DATES)
 
 
 @query("c9_decimal", CLEAN_SQL.format(columns="price AS article_price"))
@@ -141,10 +166,11 @@ def decimal(t):
     CLEAN_SQL.format(
         columns="""CASE WHEN l_partkey % 11 <> 0 AND l_partkey % 13 <> 0 THEN qty - 25 END
         AS delta_between_announced_and_actual_dispatch, l_linenumber AS n_days_order_until_first_attempt"""
+        + nulls("INTEGER", [c for c in layout.DAY_COUNTS if c not in FILLED])
     ),
 )
 def whole_numbers(t):
-    return _clean(t, "delta_between_announced_and_actual_dispatch", "n_days_order_until_first_attempt")
+    return _clean(t, *layout.DAY_COUNTS)
 
 
 @query(
@@ -218,17 +244,20 @@ def shape_filter(t):
 @query(
     "m1_sentinel_profile",
     RETURNS_SQL
-    + """, n AS (SELECT count(*) AS al, count(*) FILTER (l_orderkey % 5 = 0) AS od, count(*) FILTER (l_orderkey % 7 = 0) AS ot,
-           count(*) FILTER (l_suppkey % 3 = 0) AS pd, count(*) FILTER (l_returnflag = 'N') AS rp,
-           count(*) FILTER (l_partkey % 11 <> 0 AND l_partkey % 13 = 0) AS de, count(*) FILTER (fault = 8) AS ar FROM f)
-       SELECT * FROM (SELECT unnest(['courier_code', 'order_date', 'order_time', 'promise_date', 'is_returns_portal',
-           'delta_between_announced_and_actual_dispatch', 'articles']) AS column_name,
-         unnest([al, od, ot, pd, rp, de, ar]) AS sentinels FROM n) WHERE sentinels > 0""",
+    + f"""SELECT * FROM (SELECT unnest([{SENTINEL_NAMES}]) AS column_name, unnest([{SENTINEL_COUNTS}]) AS sentinels FROM f)
+       WHERE sentinels > 0""",
 )
 def sentinel_profile(t):
-    chosen = ["courier_code", "order_date", "order_time", "promise_date", "is_returns_portal", layout.DAY_COUNTS[0],
-              "articles", "id", "updated"]
-    return profiling.sentinel_profile(returns_feed(t), chosen)
+    return profiling.sentinel_profile(returns_feed(t), layout.RAW_COLUMNS)
+
+
+DAY_SHAPE = r"^\d{2}/\d{2}/\d{4}$"
+SHAPES = (
+    dict.fromkeys(layout.DAY_COUNTS, scalars.WHOLE_NUMBER)
+    | dict.fromkeys(layout.TIMESTAMPS.values(), scalars.DAY_MINUTE_SHAPE)
+    | dict.fromkeys([*layout.DATES.values(), *(day for day, _ in layout.MOMENTS.values())], DAY_SHAPE)
+)
+BADLY_SHAPED = ("delta_between_announced_and_actual_dispatch", "activity_monitor_last_update", "claimed_date")
 
 
 @query(
@@ -243,43 +272,36 @@ def sentinel_profile(t):
          SELECT DISTINCT column_name, value, dense_rank() OVER (PARTITION BY column_name ORDER BY value) AS place FROM bad)
          WHERE place <= 5 GROUP BY 1)
        SELECT column_name, count(*) AS misshapen, any_value(samples) AS samples FROM bad JOIN firsts USING (column_name)
-       GROUP BY 1 UNION ALL SELECT 'order_date', 0, NULL""",
+       GROUP BY 1 UNION ALL SELECT * FROM (SELECT unnest(["""
+    + ", ".join(f"'{c}'" for c in SHAPES if c not in BADLY_SHAPED)
+    + """]), 0, NULL)""",
 )
 def shape_audit(t):
-    day = r"^\d{2}/\d{2}/\d{4}$"
-    patterns = {
-        layout.DAY_COUNTS[0]: scalars.WHOLE_NUMBER,
-        "activity_monitor_last_update": scalars.DAY_MINUTE_SHAPE,
-        "claimed_date": day,
-        "order_date": day,
-    }
-    return profiling.shape_audit(returns_feed(t), patterns).withColumn("samples", F.array_join("samples", "|"))
+    return profiling.shape_audit(returns_feed(t), SHAPES).withColumn("samples", F.array_join("samples", "|"))
 
 
 @query(
     "m3_null_reconcile",
     RETURNS_SQL
-    + """, n AS (SELECT count(*) FILTER (l_orderkey % 5 = 0) AS od, count(*) FILTER (l_suppkey % 3 = 0) AS pd,
-                        count(*) FILTER (fault = 8) AS ar FROM f)
-       SELECT unnest(['order_date', 'promise_date', 'articles', 'id']) AS column_name, unnest([od, pd, ar, 0]) AS expected,
-              unnest([od, pd, ar, 0]) AS introduced, true AS agrees FROM n""",
+    + f"""SELECT unnest([{SENTINEL_NAMES}]) AS column_name, unnest([{SENTINEL_COUNTS}]) AS expected,
+              unnest([{SENTINEL_COUNTS}]) AS introduced, true AS agrees FROM f""",
 )
 def null_reconcile(t):
-    columns = ["order_date", "promise_date", "articles", "id"]
     return profiling.null_reconciliation(
         returns_feed(t),
-        {c: text.blank_sentinel(F.col(c)) for c in columns},
-        {c: text.is_sentinel(F.col(c)) for c in columns},
+        {c: text.blank_sentinel(F.col(c)) for c in layout.RAW_COLUMNS},
+        {c: text.is_sentinel(F.col(c)) for c in layout.RAW_COLUMNS},
     )
 
 
 @query(
     "m4_corrupt_timestamps",
-    "SELECT 'activity_monitor_last_update' AS column_name, count(*) AS n FROM lineitem WHERE l_partkey % 9 = 0",
+    """SELECT 'activity_monitor_last_update' AS column_name, count(*) AS n FROM lineitem WHERE l_partkey % 9 = 0
+       UNION ALL SELECT 'updated', 0""",
 )
 def corrupt_timestamps(t):
-    c = "activity_monitor_last_update"
-    return profiling.tally(returns_feed(t), {c: profiling.misshapen(F.col(c), scalars.DAY_MINUTE_SHAPE)})
+    columns = layout.TIMESTAMPS.values()
+    return profiling.tally(returns_feed(t), {c: profiling.misshapen(F.col(c), scalars.DAY_MINUTE_SHAPE) for c in columns})
 
 
 @query(

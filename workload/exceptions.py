@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 from sievework.functions import nested
 from sievework.layouts import returns as layout
@@ -15,8 +16,6 @@ from sievework.sources.files import read_text_csv
 from .feeds import RETURNS_SQL, returns_feed, write_csv
 from .registry import query
 
-NUMBER_ONLY = ex.ListSpec("articleNo string, price double")
-
 
 def _row(t):
     """The line item's own columns beside its raw feed row, sentinels cleared."""
@@ -30,18 +29,18 @@ def _readable(t):
     return where_computed(ex.parse_object_column(_row(t), returns.OBJECT), ~F.col("custom_fields_parse_failed"))
 
 
-def _matched(t, spec=NUMBER_ONLY):
+def _matched(t, spec=returns.ITEMS):
     return ex.match_list(_row(t), spec)
 
 
 def _marked(t):
     return _matched(t).transform(ex.parse_object_column, returns.OBJECT).transform(
-        ex.mark_exceptions, NUMBER_ONLY, returns.OBJECT
+        ex.mark_exceptions, returns.ITEMS, returns.OBJECT
     )
 
 
 def _repaired(t, **options):
-    return ex.repair(_marked(t), NUMBER_ONLY, returns.OBJECT, **options)
+    return ex.repair(_marked(t), returns.ITEMS, returns.OBJECT, **options)
 
 
 @query("k1_unescape_commas", "SELECT doc_id, replace(text, ' ', ', ') AS text FROM documents")
@@ -229,7 +228,7 @@ def repair_by_first_fault(t):
 )
 def close_truncated(t):
     df = where_computed(_matched(t), F.col("articles_parse_failed"))
-    return df.select("order_no", "article_number", nested.hits(ex.closed_list_hits(NUMBER_ONLY, F.col("articles_parse_failed"))).alias("recovered"))
+    return df.select("order_no", "article_number", nested.hits(ex.closed_list_hits(returns.ITEMS, F.col("articles_parse_failed"))).alias("recovered"))
 
 
 @query("l7_success", RETURNS_SQL + "SELECT order_no, article_number, repaired FROM g WHERE NOT faulty OR repaired")
@@ -328,6 +327,142 @@ def returns_from_files(t):
     return _published(t.spark.read.parquet(done.path()))
 
 
+# Expected value of every published column; what is not listed is empty, or false for a flag.
+RAW_SQL = {
+    "id": "'rt' || l_orderkey", "order_no": "order_no", "customer_no": "lpad(CAST(l_suppkey AS VARCHAR), 10, '0')",
+    "tracking_number": "CASE WHEN l_orderkey % 6 = 0 THEN '1.5502E+13' ELSE 'ZR' || l_orderkey END",
+    "updated": "day || ' ' || hm", "activity_monitor_last_update": "CASE WHEN l_partkey % 9 = 0 THEN '38:26.6' ELSE day || ' ' || hm END",
+    "refreshed_date": "'15:08.8'", "order_date": "CASE WHEN l_orderkey % 5 <> 0 THEN day END",
+    "order_time": "CASE WHEN l_orderkey % 7 <> 0 THEN hms END",
+    "delivery_date": "CASE WHEN l_orderkey % 4 = 0 THEN '31/02/2024' ELSE day END", "delivery_time": "hms",
+    "parcellab_system_created_date": "day", "created_time": "hms", "promise_date": "CASE WHEN l_suppkey % 3 <> 0 THEN day END",
+    "claimed_date": "CASE WHEN l_suppkey % 10 = 1 THEN strftime(l_shipdate, '%Y-%m-%d') ELSE day END",
+    "is_returns_portal": "CASE WHEN l_returnflag <> 'N' THEN l_returnflag = 'R' END", "is_cancelled": "l_linestatus = 'O'",
+    "delta_between_announced_and_actual_dispatch": "CASE WHEN l_partkey % 11 <> 0 AND l_partkey % 13 <> 0 THEN qty - 25 END",
+    "n_days_order_until_first_attempt": "l_linenumber", "article_number": "article_number", "article_price": "price",
+    "return_quantity": "CAST(qty AS VARCHAR)", "custom_fields": "object",
+    "articles": """CASE fault WHEN 0 THEN '[' || other || ',' || cut
+      WHEN 2 THEN '[{"articleNo":" a' || l_partkey || ' ","price":' || price || '},' || other || ']'
+      WHEN 5 THEN '[{"articleNo":"A' || l_partkey || '","articleName":"part ' || l_partkey || '\\, big","price":' || price || '}]'
+      WHEN 11 THEN '[{"articleNo":"A' || l_partkey || '","price":' || price || ',"quantity":"many"}]'
+      WHEN 12 THEN main WHEN 13 THEN '[null,' || main || ']' ELSE '[' || other || ',' || main || ']' END""",
+    "order_ts": "CASE WHEN l_orderkey % 5 <> 0 AND l_orderkey % 7 <> 0 THEN at_second END",
+    "delivery_ts": "CASE WHEN l_orderkey % 4 <> 0 THEN at_second END", "parcellab_created_ts": "at_second",
+    "updated_ts": "date_trunc('minute', at_second)",
+    "activity_monitor_last_update_ts": "CASE WHEN l_partkey % 9 <> 0 THEN date_trunc('minute', at_second) END",
+    "promise_dt": "CASE WHEN l_suppkey % 3 <> 0 THEN l_shipdate END", "claimed_dt": "CASE WHEN l_suppkey % 10 <> 1 THEN l_shipdate END",
+}
+WHOLE = "fault IN (12, 13, 15)"
+PARSED_SQL = {
+    "articles_json_articleNo": "CASE fault WHEN 2 THEN ' a' || l_partkey || ' ' ELSE article_number END",
+    "articles_json_articleName": f"CASE WHEN {WHOLE} THEN 'part ' || l_partkey || ', line ' || l_linenumber "
+    "WHEN fault = 5 THEN 'part ' || l_partkey || ', big' END",
+    "articles_json_price": "price", "articles_json_quantity": f"CASE WHEN {WHOLE} THEN qty END",
+    "articles_json_priceDetails": f"""CASE WHEN {WHOLE} THEN '{{"pricePaid":' || price || ',"pricePaidNoTax":1.50}}' END""",
+    "articles_json_customFields": f"""CASE WHEN {WHOLE} THEN '{{"gross_weight":"' || l_suppkey || '"}}' END""",
+    "custom_fields_json_isAdditionalLabel": "l_linenumber > 3", "custom_fields_json_originalCourier": "'C' || l_suppkey",
+    "custom_fields_json_labelCost": "CAST(l_linenumber AS VARCHAR)", "custom_fields_json_shopifyOrderTags": """'["a","b"]'""",
+    "custom_fields_json_outboundCustomFields": """'{"PaymentType":"P' || l_linestatus || '","InvoiceAddr":"street ' || l_orderkey
+      || '","totalPrice":' || CAST(price AS DOUBLE) || ',"productRecommendations":{"primary_skn' || l_linenumber || '":"' || l_partkey || '"}}'""",
+    "custom_fields_json_pickupWindow": """'{"from":"' || day || '"}'""",
+    "articles_match_count": "CAST(match_count AS BIGINT)", "articles_parse_failed": "list_failed",
+    "custom_fields_parse_failed": "object_failed", "has_exception": "false", "repair_attempted": "faulty", "repaired": "repaired",
+}
+MADE_SQL = """, w AS (SELECT *, strftime(l_shipdate, '%d/%m/%Y') AS day, strftime(at_second, '%H:%M:%S') AS hms,
+    strftime(at_second, '%H:%M') AS hm, '{"articleNo":"B' || l_suppkey || '","price":1.5}' AS other,
+    '{"articleNo":"A' || l_partkey || '","price":' || price AS cut,
+    '{"articleNo":"A' || l_partkey || '","articleName":"part ' || l_partkey || ', line ' || l_linenumber || '","price":' || price
+      || ',"quantity":' || qty || ',"priceDetails":{"pricePaid":' || price || ',"pricePaidNoTax":1.5},"customFields":{"gross_weight":"'
+      || l_suppkey || '"}}' AS main,
+    '{"isAdditionalLabel":' || (l_linenumber > 3) || ',"originalCourier":"C' || l_suppkey || '","labelCost":' || l_linenumber
+      || ',"shopifyOrderTags":["a","b"],"outboundCustomFields":{"PaymentType":"P' || l_linestatus || '","InvoiceAddr":"street '
+      || l_orderkey || '","totalPrice":' || price || ',"productRecommendations":{"primary_skn' || l_linenumber || '":"' || l_partkey
+      || '"}},"pickupWindow":{"from":"' || day || '"},"key' || l_linenumber || '":1}' AS object
+  FROM g WHERE NOT faulty OR repaired)
+"""
+def _fields(ddl: str, prefix: str) -> dict[str, str]:
+    """Name and type of the outermost fields; the SQL is written before there is a session to parse it."""
+    flat, depth = "", 0
+    for c in ddl:
+        depth += (c == "<") - (c == ">")
+        flat += c if not depth or c == "<" else ""
+    return {prefix + name: kind for name, kind in (f.split() for f in flat.split(","))}
+
+
+KINDS = (
+    dict.fromkeys(layout.RAW_COLUMNS, "VARCHAR") | dict.fromkeys(layout.FLAGS, "BOOLEAN")
+    | dict.fromkeys(layout.DAY_COUNTS, "INTEGER") | {layout.PRICE: "DECIMAL(12,2)"}
+    | dict.fromkeys([*layout.MOMENTS, *layout.TIMESTAMPS], "TIMESTAMP") | dict.fromkeys(layout.DATES, "DATE")
+    | _fields(layout.ARTICLE, layout.LIST_PREFIX) | _fields(layout.CUSTOM_FIELDS, layout.OBJECT_PREFIX)
+    | {layout.LIST_PREFIX + c: "DECIMAL(12,2)" for c in layout.ARTICLE_MONEY} | dict.fromkeys(layout.CHECK_COLUMNS, "BOOLEAN")
+    | {"articles_match_count": "BIGINT", "exception_type": "VARCHAR"}
+)
+
+
+def _all_columns_sql(changed=None):
+    known = RAW_SQL | PARSED_SQL | (changed or {})
+    columns = []
+    for name, kind in KINDS.items():
+        value = known.get(name, "false" if name in layout.FLAGS else "NULL")
+        written = "VARCHAR" if kind == "string" or "<" in kind else kind
+        columns.append(f'CAST({value} AS {written}) AS "{name}"')
+    return RETURNS_SQL + MADE_SQL + "SELECT " + ", ".join(columns) + " FROM w"
+
+
+def _all_columns(published):
+    """Every published column but the row key, which is any number; nested ones as JSON."""
+    kinds = {f.name: f.dataType for f in published.schema}
+    nested_ = (StructType, ArrayType, MapType)
+    return published.select(*[
+        F.to_json(c).alias(c) if isinstance(kind, nested_) else F.col(c) for c, kind in kinds.items() if c != layout.ROW_KEY
+    ])
+
+
+@query("n6_returns_all_columns", _all_columns_sql())
+def returns_all_columns(t):
+    where = shared_folder(t.spark, "returns")
+    done = returns.run(returns_feed(t), f"{where}/tables", f"{where}/exceptions")
+    return _all_columns(t.spark.read.parquet(done.path()))
+
+
+def _hidden(address: str) -> dict[str, str]:
+    column = "custom_fields_json_outboundCustomFields"
+    return {
+        "custom_fields": """replace(object, '"street ' || l_orderkey || '"', 'null')""",
+        column: PARSED_SQL[column].replace("""","InvoiceAddr":"street ' || l_orderkey\n      || '",""", address),
+    }
+
+
+@query("n6_returns_redacted", _all_columns_sql(_hidden("""",""")))
+def returns_redacted(t):
+    """The published rows with personal members blanked, in the object and in its text."""
+    where = shared_folder(t.spark, "returns")
+    done = returns.run(returns_feed(t), f"{where}/tables", f"{where}/exceptions", redacted=True)
+    return _all_columns(t.spark.read.parquet(done.path()))
+
+
+@query(
+    "q11_redacted_run",
+    RETURNS_SQL
+    + """SELECT 'rt' || l_orderkey AS id, order_no, object_failed AS text_gone, false AS leaks,
+         CASE WHEN NOT object_failed THEN sha256('pepper' || 'street ' || l_orderkey) END AS hashed, false AS listed FROM g""",
+)
+def redacted_run(t):
+    """Every row of a redacted run, published or not: no written column holds an address, nor does the exceptions table."""
+    where = shared_folder(t.spark, "returns")
+    done = returns.run(returns_feed(t), f"{where}/tables", f"{where}/exceptions", redacted=True, salt="pepper")
+    rows = t.spark.read.parquet(f"{done.base}/run={done.run}")
+    listed = t.spark.read.parquet(f"{where}/exceptions").filter(F.contains("custom_fields", F.lit("street "))).select(
+        F.col(layout.ROW_KEY).alias("_key"), F.lit(True).alias("_listed")
+    )
+    written = F.to_json(F.struct(*layout.published_columns()))
+    return rows.join(listed, F.col(layout.ROW_KEY) == F.col("_key"), "left").select(
+        "id", "order_no", F.col("custom_fields").isNull().alias("text_gone"), F.contains(written, F.lit("street ")).alias("leaks"),
+        F.col("custom_fields_json_outboundCustomFields.InvoiceAddr").alias("hashed"),
+        F.coalesce("_listed", F.lit(False)).alias("listed"),
+    )
+
+
 @query(
     "n6_returns_exceptions",
     RETURNS_SQL
