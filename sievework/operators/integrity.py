@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..contracts import Contract
 from .barriers import where_computed
-from .grouping import join_on, repeated_keys
+from .grouping import repeated_keys
+from .keys import fingerprint
 
 
 def orphans(child: DataFrame, parent: DataFrame, keys: Mapping[str, str], repeated_parents: bool = False) -> DataFrame:
@@ -31,6 +32,11 @@ def childless(parent: DataFrame, child: DataFrame, keys: Mapping[str, str]) -> D
     return orphans(parent, child, keys, repeated_parents=True)
 
 
+def keyed(df: DataFrame, contract: Contract, name: str = "_digest") -> DataFrame:
+    """Each row with a digest of the contract's key, which is what is shuffled however long the key is."""
+    return fingerprint(df, contract.key, name)
+
+
 def contract_counts(df: DataFrame, contract: Contract) -> DataFrame:
     """(rule, column_name, violations), zeros included: one aggregate, and one grouping for the key."""
     rules = contract.row_rules()
@@ -39,7 +45,7 @@ def contract_counts(df: DataFrame, contract: Contract) -> DataFrame:
     parts = F.split("check", "[|]")
     out = row.select(parts[0].alias("rule"), parts[1].alias("column_name"), "violations")
     if contract.key:
-        extra = repeated_keys(df, contract.key, "_n").agg(
+        extra = repeated_keys(keyed(df, contract).select("_digest"), ["_digest"], "_n").agg(
             F.lit("unique").alias("rule"),
             F.lit(",".join(contract.key)).alias("column_name"),
             F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("violations"),
@@ -59,10 +65,11 @@ def with_violations(df: DataFrame, contract: Contract, name: str = "violations")
     out = df.withColumn(name, row_violations(contract))
     if not contract.key:
         return out
-    again = repeated_keys(df, contract.key).select(*contract.key, F.lit(True).alias("_again"))
+    out = keyed(out, contract)
+    again = repeated_keys(out.select("_digest"), ["_digest"]).select("_digest", F.lit(True).alias("_again"))
     key = F.lit("unique:" + ",".join(contract.key))
     listed = F.when(F.col("_again"), F.array_append(name, key)).otherwise(F.col(name))
-    return join_on(out, again, contract.key, "left").select(*df.columns, listed.alias(name))
+    return out.join(again, "_digest", "left").select(*df.columns, listed.alias(name))
 
 
 def split_by_contract(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:

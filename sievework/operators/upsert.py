@@ -12,13 +12,16 @@ from pyspark.sql import functions as F
 from .grouping import pick_per_key
 
 
-def newer_than(df: DataFrame, column: str, mark: Any | None) -> DataFrame:
+def newer_than(df: DataFrame, column: str, mark: Any | None, inclusive: bool = False) -> DataFrame:
     """Rows past the mark; all rows on the first load. A literal comparison, so it reaches the scan.
 
     A row of the mark's own time that arrives later is not among them: take marks that are closed, such as
-    the last full day, where that can happen. An upsert tolerates rows that come again.
+    the last full day, where that can happen, or read from the mark on (``inclusive``): an upsert tolerates
+    rows that come again.
     """
-    return df if mark is None else df.filter(F.col(column) > F.lit(mark))
+    if mark is None:
+        return df
+    return df.filter(F.col(column) >= F.lit(mark) if inclusive else F.col(column) > F.lit(mark))
 
 
 def high_water_mark(df: DataFrame, column: str) -> DataFrame:

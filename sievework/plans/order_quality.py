@@ -53,8 +53,9 @@ def shared_emails(customers: DataFrame) -> DataFrame:
 
 
 def surviving_customers(customers: DataFrame) -> DataFrame:
-    """One customer per email: the earliest to sign up, then the lowest id."""
-    return pick_per_key(customers, ["email"], [F.col("signup_date"), F.col("customer_id")])
+    """One customer per email: the earliest to sign up, then the lowest id. Who has no email is nobody's duplicate."""
+    own = customers.withColumn("_own", F.when(F.col("email").isNull(), F.col("customer_id")))
+    return pick_per_key(own, ["email", "_own"], [F.col("signup_date"), F.col("customer_id")]).drop("_own")
 
 
 def quarantine(orders: DataFrame, customers: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -1,15 +1,16 @@
-"""New files into a keyed snapshot, as a stream that stops when it has caught up."""
+"""New rows into a keyed snapshot: as a stream of files that stops when it has caught up, or by a high-water mark."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.grouping import pick_per_key
-from ..operators.upsert import upsert
+from ..operators.upsert import high_water_mark, newer_than, upsert
 from ..sinks.snapshots import read_snapshot, write_snapshot
 
 
@@ -41,3 +42,15 @@ def keep_merged(stream: DataFrame, base: str, checkpoint: str, keys: Sequence[st
         .start()
     )
     query.awaitTermination()
+
+
+def load_new(source: DataFrame, base: str, keys: Sequence[str], version: str) -> Any | None:
+    """Merge what the source has from the stored mark on, and return that mark (None on the first load).
+
+    The mark is the highest version of the snapshot, which keeps the newest row of each key and so the
+    newest of all. It is published with the snapshot in one step, and the two cannot disagree.
+    """
+    old = read_snapshot(source.sparkSession, base)
+    mark = None if old is None else high_water_mark(old, version).first()[0]
+    merge_batch(newer_than(source, version, mark, inclusive=True), base, keys, version)
+    return mark

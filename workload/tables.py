@@ -173,6 +173,16 @@ def stream_upsert(t):
     return snapshots.read_snapshot(t.spark, f"{where}/users")
 
 
+@query("q1_load_from_stored_mark", NEWEST_SQL)
+def load_from_stored_mark(t):
+    """The first load has the events of two weeks, the second all; the third finds its mark and changes nothing."""
+    base = shared_folder(t.spark, "q1")
+    events = t.events.select("user_id", "ts", "event_type", "value")
+    for source in (events.filter(F.col("ts") <= dt.datetime(2024, 1, 15)), events, events):
+        incremental.load_new(source, base, ["user_id"], "ts")
+    return snapshots.read_snapshot(t.spark, base)
+
+
 @query("q2_snapshot_upsert", NEWEST_SQL)
 def snapshot_upsert(t):
     """The same as two batch loads around a high-water mark."""
