@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievework.session import stage
+
 WINDOW, STEP, LITERAL = 8, 4, 5
 
 # Placeholders, and the units that follow numbers.
@@ -103,7 +105,11 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no item, with all their columns."""
+    """The documents that hold no item, with all their columns.
+
+    What is found is written first: Spark then knows its size, and shuffles the texts only if it is large.
+    """
     bad = contaminated(docs, benchmark).select(F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash")).distinct()
+    bad = stage(bad, "contaminated")
     same = docs["doc_id"].eqNullSafe(bad["_bad_id"]) & (F.xxhash64(docs["text"].cast("string")) == bad["_bad_hash"])
     return docs.join(bad, same, "left_anti")
