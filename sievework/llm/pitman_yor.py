@@ -1,20 +1,24 @@
 """Scores by a hierarchical Pitman-Yor model, trained on the documents that are not held out.
 
-Tokens are the words of a text, A-Z lowered, and one end. A restaurant serves words; what it serves anew it
-draws from a spelling model, whose restaurants are the contexts of up to ``ORDER`` preceding bytes of the
-word, a context sharing the parent that lacks its first byte, down to the uniform distribution over bytes
-and the stop. The end is the empty word. As in the base, a word that has no training token is the one
-outcome "unknown": it has all the probability that the model leaves to spellings that are not in training.
-
-The seating (customers and tables of every dish) is sampled by Gibbs sweeps: given the parents' predictive
-probabilities the customers of each dish are seated one after the other, and tables become the parents'
-customers. After ``BURN`` sweeps, the predictive probabilities of ``SAMPLES`` sweeps are averaged. The word
-restaurant, which grows with the corpus, is a table that Spark counts, samples and joins; the spelling
-restaurants are gathered as counts of byte 4-grams over the vocabulary. If these exceed ``SPELL_ROWS`` rows
-(the model's size, not the corpus's), contexts are one byte shorter.
-
-Frequent words (at most ``HEAD`` of them) are looked up in memory while texts are read; all other words of
-the documents are joined to the word table, and summed by document.
+Tokens are the words of a text, A-Z lowered, and one end, which is the empty word. The restaurant of a context
+serves the words that follow a word (or the start of a text); these context restaurants share the word restaurant
+as their parent, and what that serves anew it draws from a spelling model, whose restaurants are the contexts of
+up to ``ORDER`` preceding bytes of the word, a context sharing the parent that lacks its first byte, down to the
+uniform distribution over bytes and the stop. As in the base, a word that has no training token is the one
+outcome "unknown": it has all the probability that the model leaves to spellings that are not in training. A
+context that has no training token is left to the word restaurant.
+
+The seating (customers and tables of every dish) is sampled by Gibbs sweeps over all levels: given the parents'
+predictive probabilities the customers of each dish are seated one after the other, and tables become the
+parents' customers: those of contexts in the word restaurant, those of words in the spelling restaurants. After
+``BURN`` sweeps, the predictive probabilities of ``SAMPLES`` sweeps are averaged.
+
+What grows with the corpus is a table that Spark counts, seats and joins in every sweep: pairs of a context and a
+word, words, and the spelling restaurants of two and three bytes, partitioned by their last two bytes, which hold
+whole restaurants of both lengths. The driver seats the restaurants of at most one byte, 257 * 258 dishes at most.
+
+Frequent pairs (at most ``HEAD`` of them) are looked up in memory while texts are read; all other pairs of
+the documents are joined to the table of pairs, and summed by document.
 
 A NULL text is an empty one: the end alone. A row without an id is held out. Without any training token
 there is one outcome, and every score is 0. Repeated rows are scored each for itself.
@@ -22,8 +26,7 @@ there is one outcome, and every score is 0. Repeated rows are scored each for it
 
 from __future__ import annotations
 
-import zlib
-from collections import Counter
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +42,12 @@ ORDER = 3
 BURN, SAMPLES = 4, 3
 WORD_STRENGTH = 1.0
 DISCOUNTS, STRENGTH = (0.3, 0.5, 0.7, 0.8), 1.0
-SPELL_ROWS = 4_000_000
 HEAD = 200_000
-#: different words a task gathers before it passes their counts on
-GATHERED = 400_000
+#: context lengths whose restaurants the driver seats
+TOP = 1
+#: tokens a task gathers before it passes the counts of their pairs on
+GATHERED = 4_000_000
+NUMBER_BITS = 28
 STOP, PAD, SYMBOLS, BITS = 256, 257, 257, 9
 #: customers that are seated one by one; later ones in growing parties
 SINGLE = 32
@@ -108,7 +113,7 @@ def shortened(keys: np.ndarray, length: int) -> np.ndarray:
 
 
 class Spelling:
-    """Byte restaurants of all context lengths, over several samples of their seating."""
+    """Byte restaurants of all context lengths in memory: what ``Letters`` does by partitions, for small vocabularies."""
 
     def __init__(self, keys: np.ndarray, customers: np.ndarray, order: int, burn: int = BURN, samples: int = SAMPLES, seed: int = 3):
         self.order, draw = order, np.random.default_rng(seed)
@@ -175,203 +180,356 @@ def grams(words: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     return keys, owner
 
 
-def count_words(docs: DataFrame, learns: Column) -> DataFrame:
-    """word, c (training tokens) and n (all tokens) of every word that occurs, the end not among them."""
+class Tokens:
+    """The tokens of texts as numbers: ``words`` in the order of their numbers, the empty one (start and end) first."""
+
+    def __init__(self):
+        self.numbers: defaultdict[bytes, int] = defaultdict()
+        self.numbers.default_factory = self.numbers.__len__
+        self.numbers[b""]
+
+    def pairs(self, text: str | None) -> np.ndarray:
+        """The numbers of context and word of every token of a text, in one long."""
+        words = words_of(text)
+        ids = np.zeros(len(words) + 2, np.int64)
+        ids[1:-1] = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
+        return ids[:-1] << NUMBER_BITS | ids[1:]
+
+    def sides(self, pairs: np.ndarray) -> list[pa.Array]:
+        """The context and the word of each pair."""
+        words = pa.array(list(self.numbers), pa.binary())
+        return [words.take(pa.array(x)) for x in (pairs >> NUMBER_BITS, pairs & ((1 << NUMBER_BITS) - 1))]
+
+
+def count_pairs(docs: DataFrame, learns: Column) -> DataFrame:
+    """context, word, c (training tokens) and n (all tokens) of every pair that occurs."""
 
     def gather(batches):
-        every: Counter = Counter()
-        learned: Counter = Counter()
+        tokens, found, size = Tokens(), {True: [], False: []}, 0
 
         def flush():
-            words = list(every)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.binary()), pa.array([learned[w] for w in words], pa.int64()), pa.array(list(every.values()), pa.int64())],
-                names=["word", "c", "n"],
-            )
-            every.clear()
-            learned.clear()
+            for learn, parts in found.items():
+                if parts:
+                    pairs, n = np.unique(np.concatenate(parts), return_counts=True)
+                    c = n if learn else np.zeros(len(n), np.int64)
+                    yield pa.RecordBatch.from_arrays([*tokens.sides(pairs), pa.array(c), pa.array(n)], names=["context", "word", "c", "n"])
 
         for part in row_slices(batches):
             for text, learn in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                words = words_of(text)
-                every.update(words)
-                if learn:
-                    learned.update(words)
-            if len(every) > GATHERED:
-                yield from flush()
-        if every:
-            yield from flush()
+                pairs = tokens.pairs(text)
+                found[learn].append(pairs)
+                size += len(pairs)
+                if size > GATHERED or len(tokens.numbers) > GATHERED // 8:
+                    yield from flush()
+                    tokens, found, size = Tokens(), {True: [], False: []}, 0
+        yield from flush()
 
     rows = docs.select(F.col("text").cast("string"), learns)
-    return rows.mapInArrow(gather, "word binary, c long, n long").groupBy("word").agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
+    summed = rows.mapInArrow(gather, "context binary, word binary, c long, n long")
+    return summed.groupBy("context", "word").agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
 
 
-def gather_spelling(known: DataFrame, order: int) -> DataFrame:
-    """Customers of the deepest spelling restaurants: every known word is spelled once, by one table."""
+def seats(rows: DataFrame, customers: str, base: str, strength: Column, discount: float, sweep: int, to: str) -> DataFrame:
+    """The rows with a column ``to``: the tables of each dish, newly seated."""
+    rows = rows.withColumn("_strength", strength)
+    names = rows.columns
+    kept = [n for n in names if n != "_strength"]
 
-    def spell(batches):
-        for part in row_slices(batches, 1 << 16):
-            keys, n = np.unique(grams(part.column(0).to_pylist(), order)[0], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], names=["key", "n"])
+    def seat(batches):
+        task = TaskContext.get().partitionId()
+        for k, part in enumerate(row_slices(batches, 1 << 14)):
+            columns = dict(zip(names, part.columns, strict=True))
+            c, p, strengths = (columns[x].to_numpy() for x in (customers, base, "_strength"))
+            tables = seated(c, p, strengths, discount, np.random.default_rng([sweep, task, k]))
+            yield pa.RecordBatch.from_arrays([*(columns[n] for n in kept), pa.array(tables)], names=[*kept, to])
 
-    return known.select("word").mapInArrow(spell, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in kept)
+    return rows.mapInArrow(seat, f"{schema}, `{to}` long")
 
 
-class Scores:
-    """The totals of the word restaurant and of the base, with what turns a word's counts into probabilities."""
+class Letters:
+    """Spelling restaurants: those of more than ``TOP`` bytes are a table, the others are numpy on the driver.
 
-    def __init__(self, tokens: int, types: int, ends: int, once: int, twice: int):
-        self.tokens, self.types, self.ends = tokens, types, ends
-        self.discount = min(0.95, max(0.05, once / max(1, once + 2 * twice)))
-        self.tables: list[float] = []
-        self.unknown = 0.0
+    A row of the table is a dish of ``ORDER`` bytes with its probability as ``x + y * p``, where p is that of its
+    ancestor of ``TOP`` bytes; or a dish of ``ORDER - 1`` bytes, for its tables. All restaurants that share
+    their last two bytes are in one partition.
+    """
 
-    def base(self, c):
-        return (c + 1.0) / (self.tokens + self.types + 1.0)
+    FIELDS = "level long, key long, customers long, tables long, x double, y double"
+    NAMES = ("level", "key", "customers", "tables", "x", "y")
+
+    def __init__(self):
+        self.state: DataFrame | None = None
+        self.top: list[Level] | None = None
+
+    def probabilities(self) -> list[np.ndarray]:
+        """Of the dishes of each length on the driver, given all shorter ones."""
+        p = self.top[0].predictive(self.top[0].keys, np.full(len(self.top[0].keys), 1 / SYMBOLS))
+        back = np.searchsorted(self.top[0].keys, shortened(self.top[1].keys, 0))
+        return [p, self.top[1].predictive(self.top[1].keys, p[back])]
+
+    def sweep(self, words: DataFrame, number: int) -> None:
+        """Seat all restaurants, with the tables of the words (word, tables) as customers."""
+
+        def spell(batches):
+            for part in row_slices(batches, 1 << 14):
+                keys, owner = grams(part.column(0).to_pylist(), ORDER)
+                unique, back = np.unique(keys, return_inverse=True)
+                n = np.bincount(back, part.column(1).to_numpy()[owner]).astype(np.int64)
+                none = np.zeros(len(unique))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.zeros(len(unique), np.int64)), pa.array(unique), pa.array(n), *[pa.array(none.astype(np.int64))], pa.array(none), pa.array(none)], names=Letters.NAMES
+                )
+
+        rows = words.select("word", "tables").mapInArrow(spell, Letters.FIELDS)
+        if self.state is not None:
+            rows = rows.unionByName(self.state.filter(F.col("level") > TOP))
+        middle = F.shiftright("key", BITS).bitwiseAND((1 << (2 * BITS)) - 1)
+        top = None if self.top is None else (self.top[1].keys, self.probabilities()[1])
+
+        def seat(batches):
+            parts = [[c.to_numpy() for c in b.columns[:4]] for b in batches if b.num_rows]
+            if not parts:
+                return
+            level, key, n, tables = (np.concatenate(c) for c in zip(*parts, strict=True))
+            keys, at = np.unique(key[level == 0], return_inverse=True)
+            deep = Level(keys, np.bincount(at, n[level == 0]).astype(np.int64), DISCOUNTS[ORDER])
+            parents, up = np.unique(shortened(keys, ORDER - 1), return_inverse=True)
+            above = Level(parents, np.bincount(up, deep.tables).astype(np.int64), DISCOUNTS[ORDER - 1])
+            for one, which in ((deep, ORDER), (above, ORDER - 1)):
+                old = level == which
+                if old.any():
+                    place = np.searchsorted(one.keys, key[old])
+                    one.tables[place] = tables[old]
+                    if which < ORDER:
+                        one.customers[place] = n[old]
+                    one.sums()
+            if top is None:
+                base = np.full(len(parents), 1 / SYMBOLS)
+            else:
+                base = top[1][np.searchsorted(top[0], shortened(parents, TOP))]
+            draw = np.random.default_rng([number, int(keys[0])])
+            p = above.predictive(parents, base)[up]
+            deep.tables = seated(deep.customers, p, STRENGTH + deep.discount * deep.all_tables[deep.context_of], deep.discount, draw)
+            strength = STRENGTH + above.discount * above.all_tables[above.context_of]
+            above.customers = np.bincount(up, deep.tables, minlength=len(parents)).astype(np.int64)
+            above.tables = seated(above.customers, base, strength, above.discount, draw)
+            terms = []
+            for one in (deep, above):
+                one.sums()
+                whole = (STRENGTH + one.all_customers)[one.context_of]
+                terms.append(((one.customers - one.discount * one.tables) / whole, (STRENGTH + one.discount * one.all_tables[one.context_of]) / whole))
+            (x, y), (x_, y_) = terms
+            firsts, to = np.unique(shortened(parents, TOP), return_inverse=True)
+            new = np.bincount(to, above.tables).astype(np.int64)
+            for which, one, x, y in ((ORDER, deep, x + y * x_[up], y * y_[up]), (ORDER - 1, above, x_, y_)):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(one.keys), which)), pa.array(one.keys), pa.array(one.customers), pa.array(one.tables), pa.array(x), pa.array(y)], names=Letters.NAMES
+                )
+            none = np.zeros(len(firsts))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(firsts), TOP)), pa.array(firsts), pa.array(new), pa.array(new), pa.array(none), pa.array(none)], names=Letters.NAMES)
+
+        self.state = stage(rows.repartition(middle).mapInArrow(seat, Letters.FIELDS), "spelling")
+        # 257 * 257 rows at most
+        first = self.state.filter(F.col("level") == TOP).groupBy("key").agg(F.sum("customers").alias("n")).orderBy("key").collect()
+        keys, n = np.array([r["key"] for r in first], np.int64), np.array([r["n"] for r in first], np.int64)
+        roots, up = np.unique(shortened(keys, 0), return_inverse=True)
+        one = Level(keys, n, DISCOUNTS[1])
+        root = Level(roots, np.bincount(up, one.tables, minlength=len(roots)).astype(np.int64), DISCOUNTS[0])
+        if self.top is not None:
+            root, one.tables = self.top[0], self.top[1].tables
+            one.sums()
+        draw = np.random.default_rng([number])
+        uniform = np.full(len(roots), 1 / SYMBOLS)
+        p = root.predictive(roots, uniform)[up]
+        one.tables = seated(n, p, STRENGTH + one.discount * one.all_tables[one.context_of], one.discount, draw)
+        strength = STRENGTH + root.discount * root.all_tables[root.context_of]
+        root.customers = np.bincount(up, one.tables, minlength=len(roots)).astype(np.int64)
+        root.tables = seated(root.customers, uniform, strength, root.discount, draw)
+        one.sums()
+        root.sums()
+        self.top = [root, one]
+
+    def symbols(self) -> DataFrame:
+        """key and log_p: the natural logarithm of the probability of each dish of ``ORDER`` bytes."""
+        top = self.top[1].keys, self.probabilities()[1]
+
+        def answer(batches):
+            for part in batches:
+                keys, x, y = (c.to_numpy() for c in part.columns)
+                p = x + y * top[1][np.searchsorted(top[0], shortened(keys, TOP))] if len(keys) else x
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.log(p))], names=["key", "log_p"])
+
+        return self.state.filter(F.col("level") == ORDER).select("key", "x", "y").mapInArrow(answer, "key long, log_p double")
+
+    def words(self, letters: DataFrame) -> DataFrame:
+        """word and spelled: the probability of the spelling of each word of ``letters`` (word, key)."""
+        return letters.join(self.symbols(), "key").groupBy("word").agg(F.exp(F.sum("log_p")).alias("spelled"))
+
+
+def letters_of(words: DataFrame) -> DataFrame:
+    """word and key of every byte and stop of the words."""
 
-    def anew(self) -> list[float]:
-        """Probability of a new table, in each sample."""
-        return [(WORD_STRENGTH + self.discount * t) / (WORD_STRENGTH + self.tokens) for t in self.tables]
+    def spell(batches):
+        for part in row_slices(batches, 1 << 13):
+            keys, owner = grams(part.column(0).to_pylist(), ORDER)
+            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(owner)), pa.array(keys)], names=["word", "key"])
+
+    return words.select("word").mapInArrow(spell, "word binary, key long")
+
+
+def discount_of(once: int | None, twice: int | None) -> float:
+    once, twice = once or 0, twice or 0
+    return min(0.95, max(0.05, once / max(1, once + 2 * twice)))
+
+
+def counts_of_counts(column: str) -> list[Column]:
+    return [F.sum((F.col(column) == k).cast("long")).alias(name) for k, name in ((1, "once"), (2, "twice"))]
+
+
+def model_of(counted: DataFrame) -> DataFrame:
+    """context, word, n, known (0 or 1), base and model (logarithms to base 10) of every pair that occurs."""
+    known = stage(counted.filter("c > 0").select("context", "word", "c"), "known")
+    about = known.agg(F.sum("c").alias("tokens"), *counts_of_counts("c")).first()
+    tokens, pair_discount = about["tokens"] or 0, discount_of(about["once"], about["twice"])
+    vocabulary = stage(known.groupBy("word").agg(F.sum("c").alias("c"), F.count("*").alias("contexts")), "vocabulary")
+    about = vocabulary.agg(F.count("*").alias("types"), *counts_of_counts("contexts")).first()
+    types, word_discount = about["types"], discount_of(about["once"], about["twice"])
+    if not tokens:
+        return counted.select("context", "word", "n", F.lit(0).cast("long").alias("known"), F.lit(0.0).alias("base"), F.lit(0.0).alias("model"))
+
+    letters, spelling = stage(letters_of(vocabulary), "letters"), Letters()
+    # at first every dish has one table
+    pairs = known.select("*", F.lit(1).cast("long").alias("tables"), *[F.lit(0).cast("long").alias(f"t{i}") for i in range(SAMPLES)])
+    kept = [f"{x}{i}" for x in ("c", "t", "s") for i in range(SAMPLES)]
+    words = vocabulary.select("word", F.col("contexts").alias("customers"), F.lit(1).cast("long").alias("tables"), *[F.lit(0.0).alias(k) for k in kept])
+    all_customers, all_tables = known.count(), types
+    spelling.sweep(words, 0)
+    anew, inside = [], []
+
+    def word_predictive(c: Column, t: Column, spelled: Column, customers: int, tables: int) -> Column:
+        return (c - word_discount * t + (WORD_STRENGTH + word_discount * tables) * spelled) / (WORD_STRENGTH + customers)
+
+    for sweep in range(1, BURN + SAMPLES + 1):
+        words = stage(words.join(spelling.words(letters), "word"), "words")
+        above = words.select("word", word_predictive(F.col("customers"), F.col("tables"), F.col("spelled"), all_customers, all_tables).alias("p"))
+        contexts = pairs.groupBy("context").agg(F.sum("tables").alias("all_tables"))
+        met = pairs.drop("tables").join(above, "word").join(contexts.withColumnRenamed("all_tables", "old"), "context")
+        pairs = seats(met, "c", "p", WORD_STRENGTH + pair_discount * F.col("old"), pair_discount, sweep, "tables")
+        sample = sweep - BURN - 1
+        if sample >= 0:
+            pairs = pairs.withColumn(f"t{sample}", F.col("tables"))
+        pairs = stage(pairs.drop("p", "old"), "pairs")
+        served = pairs.groupBy("word").agg(F.sum("tables").alias("customers"))
+        words = words.drop("customers", "tables").join(served, "word")
+        words = seats(words, "customers", "spelled", F.lit(WORD_STRENGTH + word_discount * all_tables), word_discount, sweep, "tables")
+        if sample >= 0:
+            for name, of in (("c", "customers"), ("t", "tables"), ("s", "spelled")):
+                words = words.withColumn(f"{name}{sample}", F.col(of).cast("double"))
+        words = stage(words.drop("spelled"), "words")
+        sums = words.agg(F.sum("customers").alias("c"), F.sum("tables").alias("t"), F.sum(F.col(f"s{max(sample, 0)}")).alias("s")).first()
+        all_customers, all_tables = sums["c"], sums["t"]
+        if sample >= 0:
+            anew.append((all_customers, all_tables))
+            inside.append(sums["s"])
+        if sweep < BURN + SAMPLES:
+            spelling.sweep(words, sweep)
 
-    def known(self, c, tables: list, spelled):
-        """Mean predictive probability of a word with training tokens, of this probability to be spelled so."""
-        total = 0.0
-        for t, new in zip(tables, self.anew(), strict=True):
-            total = total + ((c - self.discount * t) / (WORD_STRENGTH + self.tokens) + new * spelled)
-        return total / len(self.tables)
+    # rounding, or a vocabulary that takes all spellings, must not leave nothing
+    unknown = [(WORD_STRENGTH + word_discount * t) / (WORD_STRENGTH + c) * max(1 - s, 1e-9) for (c, t), s in zip(anew, inside, strict=True)]
+    plain = [word_predictive(F.col(f"c{i}"), F.col(f"t{i}"), F.col(f"s{i}"), *anew[i]).alias(f"p{i}") for i in range(SAMPLES)]
+    served = words.join(vocabulary.select("word", F.col("c").alias("word_c")), "word").select("word", "word_c", *plain)
+    backs = pairs.groupBy("context").agg(F.sum("c").alias("all_c"), *[F.sum(f"t{i}").alias(f"all_t{i}") for i in range(SAMPLES)])
+    every = (
+        counted.select("context", "word", "n")
+        .join(pairs.select("context", "word", "c", *[f"t{i}" for i in range(SAMPLES)]), ["context", "word"], "left")
+        .join(served, "word", "left").join(backs, "context", "left")
+    )
+    zero, total = F.lit(0), F.lit(0.0)
+    for i in range(SAMPLES):
+        own = F.coalesce("c", zero) - pair_discount * F.coalesce(f"t{i}", zero)
+        back = WORD_STRENGTH + pair_discount * F.coalesce(f"all_t{i}", zero)
+        total = total + (own + back * F.coalesce(f"p{i}", F.lit(unknown[i]))) / (WORD_STRENGTH + F.coalesce("all_c", zero))
+    return every.select(
+        "context", "word", "n", F.col("word_c").isNotNull().cast("long").alias("known"),
+        F.log10((F.coalesce("word_c", zero) + 1.0) / (tokens + types + 1.0)).alias("base"), F.log10(total / SAMPLES).alias("model"),
+    )
 
 
 def score(docs: DataFrame, held_out: Column) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"), held_out.alias("held_out"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    counted = stage(count_words(docs, ~F.col("held_out")), "words")
-    one, two = (F.sum((F.col("c") == k).cast("long")) for k in (1, 2))
-    about = counted.agg(F.sum("c").alias("tokens"), F.sum((F.col("c") > 0).cast("long")).alias("types"), one.alias("once"), two.alias("twice")).first()
-    ends = docs.filter(~F.col("held_out")).count()
-    totals = Scores(
-        (about["tokens"] or 0) + ends, (about["types"] or 0) + (ends > 0), ends, about["once"] or 0, about["twice"] or 0
-    )
-
-    known = counted.filter("c > 0")
-    order = ORDER
-    customers = stage(gather_spelling(known, order), "spelling")
-    while customers.count() > SPELL_ROWS and order > 1:
-        order -= 1
-        customers = customers.groupBy((F.col("key").bitwiseAND((1 << (BITS * (order + 1))) - 1)).alias("key")).agg(F.sum("n").alias("n"))
-    rows = customers.collect()
-    keys, n = np.array([r["key"] for r in rows], np.int64), np.array([r["n"] for r in rows], np.int64)
-    if ends:  # the end is spelled, too
-        keys, owner = np.append(keys, grams([b""], order)[0]), np.append(n, 1)
-        keys, at = np.unique(keys, return_inverse=True)
-        n = np.bincount(at, owner).astype(np.int64)
-    spelling = Spelling(keys, n, order)
-
-    discount = totals.discount
-    strength = WORD_STRENGTH + discount * max(1, totals.types)
-
-    def seat(words: list[bytes], c: np.ndarray, spelled: np.ndarray) -> list[np.ndarray]:
-        draw = np.random.default_rng(zlib.crc32(b" ".join(words[:100])))
-        strengths = np.full(len(c), strength)
-        return [seated(c, np.exp(spelled), strengths, discount, draw) for _ in range(SAMPLES)]
-
-    def sample(batches):
-        for part in row_slices(batches, 1 << 14):
-            words, c = part.column(0).to_pylist(), part.column(1).to_numpy()
-            spelled = spelling.words(words)
-            tables = np.stack(seat(words, c, spelled), 1)
-            yield pa.RecordBatch.from_arrays(
-                [*part.columns, pa.array(spelled), pa.array(list(tables), pa.list_(pa.int64()))],
-                names=["word", "c", "n", "spelled", "tables"],
-            )
+    counted = stage(count_pairs(docs, ~F.col("held_out")), "counted")
+    train_tokens = counted.agg(F.sum("c").alias("c")).first()["c"] or 0
+    table = stage(model_of(counted), "model")
 
-    vocabulary = stage(counted.mapInArrow(sample, "word binary, c long, n long, spelled double, tables array<bigint>"), "vocabulary")
-    end_c, end_spelled = np.array([ends]), spelling.words([b""])
-    end_tables = seat([b""], end_c, end_spelled)
-    sums = vocabulary.agg(*[F.sum(F.col("tables")[i]).alias(f"t{i}") for i in range(SAMPLES)], F.sum(F.when(F.col("c") > 0, F.exp("spelled"))).alias("spelled")).first()
-    totals.tables = [float((sums[i] or 0) + end_tables[i][0]) for i in range(SAMPLES)]
-    inside = (sums["spelled"] or 0.0) + float(np.exp(end_spelled)[0]) * (ends > 0)
-    # rounding, or a vocabulary that takes all spellings, must not leave nothing
-    totals.unknown = float(np.mean(totals.anew())) * max(1 - inside, 1e-9) if ends else 1.0
-    end = (int(ends > 0), float(np.log10(totals.base(end_c))[0]), float(np.log10(totals.known(end_c, end_tables, np.exp(end_spelled))[0] if ends else 1.0)))
-
-    # words by their power of two, to find how frequent a word must be to belong to the head
+    # pairs by their power of two, to find how frequent a pair must be to belong to the head
     power = F.floor(F.log2("n")).cast("int").alias("power")
-    sizes = {r["power"]: r["count"] for r in vocabulary.groupBy(power).count().collect()}
-    least, held_words = 64, 0
-    while least > 0 and held_words + sizes.get(least - 1, 0) <= HEAD:
+    sizes = {r["power"]: r["count"] for r in table.groupBy(power).count().collect()}
+    least, held_pairs = 64, 0
+    while least > 0 and held_pairs + sizes.get(least - 1, 0) <= HEAD:
         least -= 1
-        held_words += sizes.get(least, 0)
+        held_pairs += sizes.get(least, 0)
     frequent = F.floor(F.log2("n")) >= least
-    top = vocabulary.filter(frequent).select("word", "c", "spelled", "tables").collect()
-    c = np.array([r["c"] for r in top], np.int64)
-    tables = [np.array([r["tables"][i] for r in top], np.int64) for i in range(SAMPLES)]
-    models = totals.known(c, tables, np.exp(np.array([r["spelled"] for r in top])))
-    models = np.log10(np.where(c > 0, models, totals.unknown))
-    bases = np.log10(totals.base(c))
-    head = {bytes(r["word"]): x for r, x in zip(top, zip((c > 0).tolist(), bases.tolist(), models.tolist(), strict=True), strict=True)}
-    del top
-
-    fields = f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double, word binary, times long"
+    top = table.filter(frequent).collect()
+    numbers: dict[bytes, int] = {}
+    pairs = [numbers.setdefault(bytes(r["context"]), len(numbers)) << NUMBER_BITS | numbers.setdefault(bytes(r["word"]), len(numbers)) for r in top]
+    order = np.argsort(np.array(pairs, np.int64))
+    head = np.array(pairs, np.int64)[order]
+    values = [np.array([r[name] for r in top], float)[order] for name in ("known", "base", "model")]
+    del top, pairs
+
+    fields = f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double, context binary, word binary, times long"
     names = [f.split(" ")[0] for f in fields.split(", ")]
 
     def read(batches):
         row = TaskContext.get().partitionId() << 40
         for part in row_slices(batches):
-            first: list[tuple] = []
-            owner, rare, times = [], [], []
-            for i, text in enumerate(part.column(1).to_pylist()):
-                counts = Counter(words_of(text))
-                sure, base, model = end
-                total = 1
-                for word, n in counts.items():
-                    total += n
-                    found = head.get(word)
-                    if found is None:
-                        owner.append(row + i)
-                        rare.append(word)
-                        times.append(n)
-                    else:
-                        sure += n * found[0]
-                        base += n * found[1]
-                        model += n * found[2]
-                first.append((row + i, total, sure, base, model))
-            none = len(rare)
-            rows_, tokens, sures, base_, model_ = zip(*first, strict=True) if first else [[]] * 5
+            tokens = Tokens()
+            counts = [np.unique(tokens.pairs(text), return_counts=True) for text in part.column(1).to_pylist()]
+            owner = np.repeat(np.arange(part.num_rows), [len(n) for _, n in counts])
+            pairs, times = (np.concatenate(x) for x in zip(*counts, strict=True))
+            known = np.array([numbers.get(w, -1) for w in tokens.numbers], np.int64)
+            context, word = known[pairs >> NUMBER_BITS], known[pairs & ((1 << NUMBER_BITS) - 1)]
+            keys = np.where((context >= 0) & (word >= 0), context << NUMBER_BITS | word, -1)
+            at = np.minimum(np.searchsorted(head, keys), max(0, len(head) - 1))
+            hit = head[at] == keys if len(head) else np.zeros(len(keys), bool)
+            sums = [np.bincount(owner[hit], times[hit] * v[at[hit]], minlength=part.num_rows) for v in values]
+            total = np.bincount(owner, times, minlength=part.num_rows).astype(np.int64)
+            none, rare = int((~hit).sum()), ~hit
+            zeros = np.zeros(none)
+            ids = np.arange(row, row + part.num_rows)
+            columns = [np.append(x, zeros.astype(x.dtype)) for x in (total, sums[0].round().astype(np.int64), sums[1], sums[2])]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([*rows_, *owner], pa.int64()),
+                    pa.array(np.append(ids, ids[owner[rare]])),
                     pa.concat_arrays([part.column(0), pa.nulls(none, part.column(0).type)]),
                     pa.concat_arrays([part.column(2), pa.nulls(none, pa.bool_())]),
-                    *(pa.array([*x, *[0] * none], kind_) for x, kind_ in ((tokens, pa.int64()), (sures, pa.int64()), (base_, pa.float64()), (model_, pa.float64()))),
-                    pa.array([*[None] * len(first), *rare], pa.binary()),
-                    pa.array([*[0] * len(first), *times], pa.int64()),
+                    *(pa.array(x) for x in columns),
+                    *(pa.concat_arrays([pa.nulls(part.num_rows, pa.binary()), x]) for x in tokens.sides(pairs[rare])),
+                    pa.array(np.append(np.zeros(part.num_rows, np.int64), times[rare])),
                 ],
                 names=names,
             )
             row += part.num_rows
 
     read_rows = stage(docs.mapInArrow(read, fields), "scored")
-    mean = totals.known(F.col("c"), [F.col("tables")[i] for i in range(SAMPLES)], F.exp("spelled"))
-    model = F.log10(F.when(F.col("c") > 0, mean).otherwise(totals.unknown))
-    rest = vocabulary.filter(~frequent).select(
-        "word", (F.col("c") > 0).cast("long").alias("known"), F.log10(totals.base(F.col("c"))).alias("base"), model.alias("model")
-    )
     tail = (
         read_rows.filter("word IS NOT NULL")
-        .select("row", "word", "times")
-        .join(rest, "word")
+        .select("row", "context", "word", "times")
+        .join(table.filter(~frequent).drop("n"), ["context", "word"])
         .select(
             "row", F.lit(None).cast(kind).alias("doc_id"), F.lit(None).cast("boolean").alias("held_out"), F.lit(0).cast("long").alias("n_tokens"),
             (F.col("known") * F.col("times")).alias("n_known"), (F.col("base") * F.col("times")).alias("base_score"), (F.col("model") * F.col("times")).alias("score"),
         )
     )
     return (
-        read_rows.filter("word IS NULL").drop("word", "times").unionByName(tail)
+        read_rows.filter("word IS NULL").drop("context", "word", "times").unionByName(tail)
         .groupBy("row")
         .agg(
             F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.sum("n_tokens").alias("n_tokens"),
-            F.sum("n_known").alias("n_known"), F.lit(totals.tokens).cast("long").alias("train_tokens"),
+            F.sum("n_known").alias("n_known"), F.lit(train_tokens).cast("long").alias("train_tokens"),
             F.sum("base_score").alias("base_score"), F.sum("score").alias("score"),
         )
         .drop("row")

@@ -257,6 +257,21 @@ def test_spelling_probabilities_sum_to_one():
     assert math.isclose(model.symbols(context | np.arange(257)).sum(), 1, rel_tol=1e-9)
 
 
+def test_model_scores_depend_on_the_order_of_words(spark, documents):
+    docs = documents([*((i, "the red fox sees the old dog and then sleeps") for i in range(1, 40)), (100, "the red fox sees the old dog"), (101, "dog old the sees fox red the"), (102, "unseen the red")])
+    got = {r.doc_id: r for r in pitman_yor.score(docs, F.col("doc_id") >= 100).collect()}
+    assert math.isclose(got[100].base_score, got[101].base_score, rel_tol=1e-9) and got[100].score > got[101].score + 2
+    assert (got[102].n_tokens, got[102].n_known) == (4, 3) and math.isfinite(got[102].score)
+
+
+def test_pair_probabilities_sum_to_one(spark):
+    rows = [(b"", b"ab", 5), (b"ab", b"cd", 3), (b"ab", b"", 2), (b"cd", b"", 3), (b"ab", b"xx", 0), (b"cd", b"ab", 0), (b"cd", b"cd", 0), (b"cd", b"xx", 0)]
+    counted = spark.createDataFrame([(bytearray(u), bytearray(w), c, c + 1) for u, w, c in rows], "context binary, word binary, c long, n long")
+    got = {(bytes(r.context), bytes(r.word)): 10**r.model for r in pitman_yor.model_of(counted).collect()}
+    # after cd: ab, cd, the end, and xx as the one unknown outcome
+    assert math.isclose(sum(p for (u, _), p in got.items() if u == b"cd"), 1, rel_tol=1e-9)
+
+
 # --- decontamination
 
 ITEM = "A train leaves Boston at 9 and travels 120 km in 2 hours while Anna waits for 30 minutes near the old station and reads a book"
