@@ -272,6 +272,28 @@ def test_pair_probabilities_sum_to_one(spark):
     assert math.isclose(sum(p for (u, _), p in got.items() if u == b"cd"), 1, rel_tol=1e-9)
 
 
+def test_spelling_keeps_its_order_whatever_the_vocabulary(spark, documents, monkeypatch):
+    docs = documents([(i, prose(60, i)) for i in range(12)])
+    want = {r.doc_id: r.score for r in pitman_yor.score(docs, F.col("doc_id") < 3).collect()}
+    monkeypatch.setattr(pitman_yor, "SPELL_ROWS", 1, raising=False)
+    got = {r.doc_id: r.score for r in pitman_yor.score(docs, F.col("doc_id") < 3).collect()}
+    assert all(math.isclose(got[i], want[i], rel_tol=0.02) for i in want)
+
+
+def test_staged_spelling_sums_to_one(spark):
+    words = spark.createDataFrame([(bytearray(w.encode()), 1 + len(w)) for w in WORDS], "word binary, tables long")
+    letters = pitman_yor.Letters()
+    for sweep in range(3):
+        letters.sweep(words, sweep)
+    # all symbols are dishes of the context of no byte but for those that never occur, so the root's are checked with what is left
+    root, p = letters.top[0], letters.probabilities()[0]
+    left = (pitman_yor.STRENGTH + root.discount * root.tables.sum()) / (pitman_yor.STRENGTH + root.customers.sum()) * (1 - len(root.keys) / pitman_yor.SYMBOLS)
+    assert math.isclose(p.sum() + left, 1, rel_tol=1e-9)
+    every = {r.key: r.log_p for r in letters.symbols().collect()}
+    keys = np.unique(pitman_yor.grams([w.encode() for w in WORDS], pitman_yor.ORDER)[0])
+    assert sorted(every) == keys.tolist() and max(every.values()) < 0
+
+
 # --- decontamination
 
 ITEM = "A train leaves Boston at 9 and travels 120 km in 2 hours while Anna waits for 30 minutes near the old station and reads a book"
