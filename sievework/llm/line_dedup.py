@@ -1,8 +1,9 @@
 """Substring dedup by hashing lines: normalise units, group their digests, keep the earliest, remove the rest.
 
 A unit is a line or a sentence of one: the text is cut behind every line feed and behind ``.``, ``!`` or
-``?`` with a blank. Normalised it is lower-case with single blanks. Units of fewer than ``MIN_WORDS`` words
-are left alone, as they repeat by chance. Of equal units over all documents, and within one, the first by
+``?`` with a blank. Normalised it is lower-case with single blanks. Every unit that is not blank counts, however
+short; a caller may ask for a least number of blank-separated words, as ``OP3_SQL`` does with ``MIN_WORDS``
+(text of a script without blanks is one word). Of equal units over all documents, and within one, the first by
 (doc_id, start) stays; the others are reported, or removed, with their offsets in the original text (code
 points, end exclusive).
 
@@ -24,11 +25,12 @@ from sievework.session import stage
 
 from .common import row_slices
 
+#: the threshold of OP3_SQL, and so of the query that is held against it
 MIN_WORDS = 6
 CUT = re.compile(r"[.!?] |\n")
 
 
-def units(text: str, min_words: int = MIN_WORDS) -> list[tuple[int, int, int, str]]:
+def units(text: str, min_words: int = 1) -> list[tuple[int, int, int, str]]:
     """(start, end, words, normalised) of the units that count; a unit includes the mark it ends with."""
     out, at = [], 0
     for end in [*(m.end() for m in CUT.finditer(text)), len(text)]:
@@ -39,7 +41,7 @@ def units(text: str, min_words: int = MIN_WORDS) -> list[tuple[int, int, int, st
     return out
 
 
-def unit_rows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def unit_rows(docs: DataFrame, min_words: int = 1) -> DataFrame:
     """A row per unit: row (of the document), doc_id, start, end, n_words and a 128-bit digest in two longs."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -65,7 +67,7 @@ def unit_rows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     )
 
 
-def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def repeats(docs: DataFrame, min_words: int = 1) -> DataFrame:
     """Every unit to remove: doc_id, start, end, n_words, and kept_doc_id, kept_start of the one that stays.
 
     The digests are grouped with partial sums, so a line that a third of the documents share costs a row

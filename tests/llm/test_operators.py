@@ -163,6 +163,12 @@ def test_line_dedup_against_brute_force(spark, documents):
     assert line_dedup.repeats(documents([])).count() == 0
 
 
+def test_short_lines_and_scripts_without_blanks_repeat_too(spark, documents):
+    rows = [(1, "All rights reserved.\n版权所有，侵权必究。\nown"), (2, "first\nall  rights reserved.\n\n\n版权所有，侵权必究。\n")]
+    got = {(r.doc_id, rows[r.doc_id - 1][1][r.start:r.end], r.kept_doc_id) for r in line_dedup.repeats(documents(rows)).collect()}
+    assert got == {(2, "all  rights reserved.\n", 1), (2, "版权所有，侵权必究。\n", 1)}
+
+
 # --- packing
 
 def test_packing_is_a_whole_round_trip(spark, documents):
