@@ -5,8 +5,10 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,20 @@ def row_slices(batches, size: int = ROWS_AT_ONCE) -> Iterator:
             yield batch.slice(at, size)
 
 
+def rows_of(batches, width: int) -> Iterator[tuple]:
+    """The first columns of Arrow batches as tuples, few at a time."""
+    for part in row_slices(batches):
+        yield from zip(*(part.column(k).to_pylist() for k in range(width)), strict=True)
+
+
+def in_batches(rows: Iterable[tuple], schema: pa.Schema, size: int = 1024) -> Iterator[pa.RecordBatch]:
+    """Tuples as Arrow batches of few rows."""
+    rows = iter(rows)
+    while some := list(islice(rows, size)):
+        columns = zip(*some, strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
 def remainder(doc_id: Column, by: int) -> Column:
     """crc32 of the id as text, modulo ``by``; NULL for a NULL id."""
     return F.crc32(doc_id.cast("string")) % F.lit(by)

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    html_extract, jaccard_forest, language_id, line_dedup, metric_search, packing, pitman_yor, quality, secret_scan,
-    template_windows,
+    bwt_merge, html_extract, jaccard_forest, language_id, line_dedup, metric_search, packing, periodic_runs, pitman_yor,
+    quality, checks_sql, secret_scan, template_windows, turn_repair,
 )
-from .common import held, shipped
+from .common import held, row_slices, shipped
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,10 +71,55 @@ def op10_jaccard_forest(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_forest.near_duplicates(table(spark, folder, "documents"))
 
 
+def planted(docs: DataFrame) -> DataFrame:
+    """doc_id and text; where crc32(doc_id) % 10 = 0 the words from a certain place on repeat a few of them. A row without id stays."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def work(batches):
+        for part in row_slices(batches):
+            texts = []
+            for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+                words = periodic_runs.split_words(text) if h % 10 == 0 else []
+                if words:
+                    n, g = len(words), h // 10
+                    a = g % n
+                    p = 1 + (n - a) // (3 + g % 8)
+                    text = b" ".join(words[:a] + [words[a + i % p] for i in range(n - a)]).decode()
+                texts.append(text)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
+
+    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(work, f"doc_id {kind}, text string")
+
+
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_runs.report(periodic_runs.find(planted(table(spark, folder, "documents"))))
+
+
+def op12_bwt_merge(spark: SparkSession, folder: str) -> DataFrame:
+    return bwt_merge.report(bwt_merge.without_repeats(table(spark, folder, "documents")))
+
+
+def damaged(rows: DataFrame) -> tuple[DataFrame, Column]:
+    """The rows with the faults that the checksum of ``conv_id:turn`` asks for, and how often each is there then."""
+    blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    rows = rows.withColumn("k", F.crc32(F.concat(blank("conv_id"), F.lit(":"), blank("turn"))) % 20)
+    text = F.when(F.col("k") == 1, "").when(F.col("k") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    rows = rows.withColumns({"text": text, "role": F.when(F.col("k") == 4, "user").otherwise(F.col("role"))})
+    return rows, F.when(F.col("k") == 0, 0).when(F.col("k") == 3, 2).otherwise(1)
+
+
+def op13_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return turn_repair.report(turn_repair.edits(*damaged(table(spark, folder, "conversations"))))
+
+
 QUERIES: dict[str, Query] = {
     name: fn for name, fn in list(globals().items()) if name.startswith("op") and callable(fn)
 }
-SQL: dict[str, str] = {"op3_line_dedup": line_dedup.OP3_SQL}
+SQL: dict[str, str] = {
+    "op3_line_dedup": line_dedup.OP3_SQL, "op11_periodic_runs": checks_sql.PERIODIC_RUNS,
+    "op12_bwt_merge": checks_sql.REPEATED_BYTES, "op13_turn_repair": checks_sql.TURN_REPAIR,
+}
 SQL["op6_mtree_search"] = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
