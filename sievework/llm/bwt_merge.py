@@ -31,6 +31,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,10 +43,10 @@ from .common import row_slices
 
 LENGTH, SAMPLE = 50, 32
 #: text in a chunk, unless one text is longer; input that one part of the hash space stands for
-CHUNK_BYTES, PART_BYTES = 32 << 20, 32 << 20
+CHUNK_BYTES, PART_BYTES = 16 << 20, 16 << 20
 #: a sample met in more chunks than this is cut into windows, so a part gets its surroundings from so many chunks at most
 HOT_CHUNKS = 64
-BLOCK, PLACE_BITS = 1 << 20, np.uint64(24)
+BLOCK, PLACE_BITS = 1 << 18, np.uint64(24)
 LAST = (1 << 63) - 1
 U = np.uint64
 
@@ -129,7 +131,8 @@ def pieces(text: np.ndarray, ends: np.ndarray, digests: bool = True) -> Iterator
         new = np.flatnonzero(np.r_[True, (chosen[1:] != chosen[:-1]) | (owner[1:] != owner[:-1])])
         first, last = start[new], start[np.r_[new[1:], len(start)] - 1]
         digest = joined(window[first], window[last], last - first) if digests else np.empty(len(new), U)
-        yield at, Pieces(first, last, sample[chosen[new]], owner[new], digest), window
+        # the least of many hashes is small: hashed anew, samples spread evenly over the parts
+        yield at, Pieces(first, last, mixed(sample[chosen[new]]), owner[new], digest), window
 
 
 def placed(hashes: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
@@ -151,8 +154,14 @@ def among(x: np.ndarray, ordered: np.ndarray) -> np.ndarray:
 
 def whole(column) -> tuple[np.ndarray, np.ndarray]:
     """Binary values one behind the other, and where each ends."""
-    values = [v or b"" for v in column.to_pylist()]
-    return np.frombuffer(b"".join(values), np.uint8), np.cumsum([len(v) for v in values], dtype=np.int64)
+    values = column.cast(pa.large_binary()).fill_null(b"")
+    values = values.combine_chunks() if isinstance(values, pa.ChunkedArray) else values
+    if not len(values):
+        return np.empty(0, np.uint8), np.empty(0, np.int64)
+    _, offsets, data = values.buffers()
+    edges = np.frombuffer(offsets, np.int64)[values.offset : values.offset + len(values) + 1]
+    text = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
+    return text[edges[0] : edges[-1]], edges[1:] - edges[0]
 
 
 def cut_by(order: np.ndarray, parts: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -255,14 +264,14 @@ def store(docs: DataFrame) -> Store:
     shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = min(100_000, max(shuffles, docs.rdd.getNumPartitions()))  # Spark's own limit
     name = f"bwt_texts_{uuid.uuid4().hex}"
-    rows.write.format("parquet").bucketBy(buckets, "chunk").option("path", shared_folder(spark, name)).saveAsTable(name)
+    rows.write.format("parquet").option("compression", "zstd").bucketBy(buckets, "chunk").option("path", shared_folder(spark, name)).saveAsTable(name)
     return Store(name, max(shuffles, -(-estimated_bytes(docs) // PART_BYTES)), kind)
 
 
 def shared_samples(texts: DataFrame, parts: int) -> DataFrame:
     """(chunk, part, keys, hot): the samples of a chunk that occur twice or more, and those in very many chunks."""
 
-    def packed(chunk: int, found: list[np.ndarray]):
+    def by_part(chunk: int, found: list[np.ndarray]):
         hashes, counts = np.unique(np.concatenate(found), return_counts=True)
         hashes = np.repeat(hashes, np.minimum(counts, 2))  # twice in a chunk is twice
         part, rest = placed(hashes, parts)
@@ -274,7 +283,7 @@ def shared_samples(texts: DataFrame, parts: int) -> DataFrame:
         schema = pa.schema([("part", pa.int32()), ("chunk", pa.int64()), ("keys", pa.binary())])
 
         def batch():
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*packed(chunk, found), strict=True), schema, strict=True)], schema=schema)
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*by_part(chunk, found), strict=True), schema, strict=True)], schema=schema)
 
         for part in row_slices(batches, 1024):
             numbers = np.asarray(part.column(0))
@@ -307,6 +316,14 @@ def shared_samples(texts: DataFrame, parts: int) -> DataFrame:
     return sent.groupBy("part").applyInArrow(decide, "chunk long, part int, keys binary, hot binary").filter("length(keys) > 0")
 
 
+def packed(x: np.ndarray) -> bytes:
+    return zstandard.compress(x.tobytes(), 1)
+
+
+def unpacked(values: list[bytes], kind) -> list[np.ndarray]:
+    return [np.frombuffer(zstandard.decompress(x), kind) for x in values]
+
+
 def keys_of(table: pa.Table, column: str) -> np.ndarray:
     """The samples in rows of one chunk, sorted."""
     found = [np.frombuffer(x, np.uint32).astype(U) | (U(p) << U(32)) for p, x in zip(table["part"].to_pylist(), table[column].to_pylist(), strict=True) if x]
@@ -362,7 +379,7 @@ def offered(texts: DataFrame, shared: DataFrame, parts: int) -> DataFrame:
                 out["part"].append(k)
                 out["chunk"].append(left["chunk"][0].as_py())
                 for n, x in zip(names, values, strict=True):
-                    out[n].append(x.tobytes())
+                    out[n].append(packed(x))
         return pa.table(out, schema=schema)
 
     return texts.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(
@@ -371,13 +388,12 @@ def offered(texts: DataFrame, shared: DataFrame, parts: int) -> DataFrame:
 
 def settle(table: pa.Table) -> pa.Table:
     """For the pieces of one part, the runs of their windows that a smaller document holds: (chunk, digest, from, to, least)."""
-    read = lambda column, kind: [np.frombuffer(x, kind) for x in table[column].to_pylist()]
     kinds = {"key": np.uint32, "digest": U, "least": np.int64, "several": np.uint8, "length": np.uint8}
-    columns = {n: read(n, k) for n, k in kinds.items()}
+    columns = {n: unpacked(table[n].to_pylist(), k) for n, k in kinds.items()}
     shard = np.repeat(np.arange(table.num_rows), [len(x) for x in columns["key"]])
     key, digest, least, several, length = (np.concatenate(columns[n]) for n in kinds)
     length = length.astype(np.int64)
-    text = np.frombuffer(b"".join(table["text"].to_pylist()), np.uint8)
+    text = np.concatenate(unpacked(table["text"].to_pylist(), np.uint8))
     place = np.cumsum(length) - length
     # one of equal pieces, with the smallest id
     order = np.lexsort((shard, digest))
@@ -432,7 +448,7 @@ def cut(texts: DataFrame, shared: DataFrame, settled: DataFrame, parts: int, kin
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
         (text, ends), ids = whole(left["text"]), ids_of(left)
         hot = keys_of(right, "hot")
-        told = right.filter(pa.compute.is_valid(right["digest"]))
+        told = right.filter(pc.is_valid(right["digest"]))
         digest, begin, end, least = (
             np.frombuffer(b"".join(told[n].to_pylist()), k) for n, k in (("digest", U), ("from", np.uint8), ("to", np.uint8), ("least", np.int64))
         )
