@@ -199,7 +199,11 @@ def symbols_of(rows) -> np.ndarray:
 
 
 def parts_with_ends(rows: DataFrame) -> DataFrame:
-    """(conv_id, part, behind, closes): the number of the vector behind each part, and whether it is the last."""
+    """(conv_id, part, behind, closes): the number of the vector behind each part, and whether it is the last.
+
+    Nothing is behind the only part of a conversation. Only the few conversations that the range partitioning cut,
+    at most one a boundary, go through the tables for it.
+    """
     kind = rows.schema["conv_id"].dataType.simpleString()
 
     def through(table: pa.Table) -> pa.Table:
@@ -216,9 +220,13 @@ def parts_with_ends(rows: DataFrame) -> DataFrame:
         return table.select(["conv_id", "part"]).append_column("behind", pa.array(behind, pa.int32())).append_column(
             "closes", pa.array([k == len(behind) - 1 for k in range(len(behind))]))
 
-    led = rows.select("conv_id", "part", "place", "symbol", "n", "is_first").groupBy("conv_id", "part").applyInArrow(
+    parts = rows.groupBy("conv_id").agg(F.min("part").alias("part"), F.max("part").alias("last"))
+    whole = parts.filter("part = last").select("conv_id", "part", F.lit(0).alias("behind"), F.lit(True).alias("closes"))
+    split = parts.filter("part < last").select(F.col("conv_id").alias("c"))
+    rows = rows.select("conv_id", "part", "place", "symbol", "n", "is_first")
+    led = rows.join(split, rows["conv_id"].eqNullSafe(split["c"]), "left_semi").groupBy("conv_id", "part").applyInArrow(
         through, f"conv_id {kind}, part int, leads array<int>")
-    return led.groupBy("conv_id").applyInArrow(ends, f"conv_id {kind}, part int, behind int, closes boolean")
+    return whole.unionByName(led.groupBy("conv_id").applyInArrow(ends, f"conv_id {kind}, part int, behind int, closes boolean"))
 
 
 def edits(rows: DataFrame, times: Column | None = None) -> DataFrame:
