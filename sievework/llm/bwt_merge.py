@@ -42,7 +42,7 @@ from sievework.session import estimated_bytes, shared_folder, stage
 from .common import row_slices
 
 LENGTH, SAMPLE = 50, 32
-#: text in a chunk, unless one text is longer; input that one part of the hash space stands for
+#: text in a chunk, unless one text is longer; stored bytes that one part of the hash space stands for
 CHUNK_BYTES, PART_BYTES = 16 << 20, 16 << 20
 #: a sample met in more chunks than this is cut into windows, so a part gets its surroundings from so many chunks at most
 HOT_CHUNKS = 64
@@ -265,7 +265,7 @@ def store(docs: DataFrame) -> Store:
     buckets = min(100_000, max(shuffles, docs.rdd.getNumPartitions()))  # Spark's own limit
     name = f"bwt_texts_{uuid.uuid4().hex}"
     rows.write.format("parquet").option("compression", "zstd").bucketBy(buckets, "chunk").option("path", shared_folder(spark, name)).saveAsTable(name)
-    return Store(name, max(shuffles, -(-estimated_bytes(docs) // PART_BYTES)), kind)
+    return Store(name, max(shuffles, -(-estimated_bytes(spark.table(name)) // PART_BYTES)), kind)
 
 
 def shared_samples(texts: DataFrame, parts: int) -> DataFrame:
