@@ -1,75 +1,47 @@
-"""RANK() within groups of any size."""
+"""RANK() within groups of any size, by prefix sums over range partitions."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
-from ..session import estimated_bytes, stage
+from ..session import stage
 from .grouping import join_on
 
-# Up to this much input, one task can sort a whole group.
-WINDOW_BYTES = 256 << 20
-SLICE_BYTES = 128 << 20
-
 
 def rank_in_group(
-    df: DataFrame, group: Sequence[str], measure: str, name: str = "rank", slices: int | None = None
+    df: DataFrame, group: Sequence[str], measure: str, name: str = "rank", parts: int | None = None
 ) -> DataFrame:
     """RANK() by descending measure in each group; ties share a rank and leave a gap.
 
-    A window sends each group to one task. That is kept for input whose estimated size
-    fits a task; beyond it, or with ``slices`` given, groups are ranked in slices.
-    """
-    if slices is None:
-        size = estimated_bytes(df)
-        if size <= WINDOW_BYTES:
-            order = Window.partitionBy(*group).orderBy(F.desc_nulls_first(measure))
-            return df.withColumn(name, F.rank().over(order))
-        slices = max(16, min(512, size // SLICE_BYTES))
-    return _rank_in_slices(df, group, measure, name, int(slices))
-
+    A window over the group would send each group to one task. Here the different values of each group, ties
+    collapsed to a count, are range-partitioned by group and falling measure, so a large group
+    lies in several partitions, in order. A value's rank is 1 + the rows of its group in earlier partitions + those ahead of it
+    in its own. The first comes from a row per partition and group, the second from a window within them.
 
-def _rank_in_slices(df: DataFrame, group: Sequence[str], measure: str, name: str, slices: int) -> DataFrame:
-    """The same ranks from slices of the measure's range.
+    Both must see the same borders, which come from a sample, so the values are staged with the number of their partition
+    (a row per different value; the number of partitions, ``parts`` or the session's shuffle partitions, is the table's layout).
+    Leaving it to Spark to run the exchange once is not safe: over a cached input it runs twice, with other borders, and ranks are wrong.
 
-    Ties are collapsed first, so a slice holds distinct values only and one heavy tie
-    is one row. Slice borders are approximate quantiles (they only affect balance), and a
-    value's rank is 1 + rows in higher slices + rows with higher values in its own. Only the
-    second sum needs the values of a slice together; quantiles and slice totals combine on the
-    map side.
-
-    The input and the borders are staged: both are used several times and must be the same
-    each time. A sum of doubles or a quantile sketch computed anew, after a lost executor for
-    one, can come out slightly different, and rows would miss their rank.
+    The input is read twice, for the values and for the rows that get a rank. Sums of floating-point numbers can come out
+    differently the second time, and rows would miss their rank, so an input with such a measure is staged too.
     """
-    df = stage(df, "rank-input")
-    values = df.groupBy(*group, measure).agg(F.count("*").alias("_peers"))
-    borders = df.groupBy(*group).agg(
-        F.percentile_approx(measure, [i / slices for i in range(1, slices)], 100 * slices).alias("_borders")
-    )
-    placed = join_on(values, stage(borders, "rank-borders"), group, "left").select(
-        *group, measure, "_peers", _slice(F.col(measure)).alias("_slice")
-    )
-    totals = placed.groupBy(*group, "_slice").agg(F.sum("_peers").alias("_total"))
-    # at most ``slices`` + 1 rows per group
-    earlier = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    spark = df.sparkSession
+    if isinstance(df.schema[measure].dataType, (FloatType, DoubleType)):
+        df = stage(df, "rank-input")
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    falling = F.desc_nulls_first(measure)
+    ranged = df.groupBy(*group, measure).agg(F.count("*").alias("_peers")).repartitionByRange(parts, *group, falling)
+    values = stage(ranged.withColumn("_part", F.spark_partition_id()), "rank-values")
+    totals = values.groupBy(*group, "_part").agg(F.sum("_peers").alias("_total"))
+    # at most ``parts`` rows of a group
+    earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     before = totals.withColumn("_before", F.coalesce(F.sum("_total").over(earlier), F.lit(0))).drop("_total")
-    inside = (
-        Window.partitionBy(*group, "_slice")
-        .orderBy(F.desc_nulls_first(measure))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    together = placed.repartition(*group, "_slice")
-    ahead = together.withColumn("_ahead", F.coalesce(F.sum("_peers").over(inside), F.lit(0)))
+    inside = Window.partitionBy(*group, "_part").orderBy(falling).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = values.withColumn("_ahead", F.coalesce(F.sum("_peers").over(inside), F.lit(0)))
     place = (F.col("_before") + F.col("_ahead") + 1).cast("int")
-    ranks = join_on(ahead, before, [*group, "_slice"]).select(*group, measure, place.alias(name))
+    ranks = join_on(ahead, before, [*group, "_part"]).select(*group, measure, place.alias(name))
     return join_on(df, ranks, [*group, measure]).select(*df.columns, name)
-
-
-def _slice(value: Column) -> Column:
-    """Number of borders above the value, so 0 holds the highest; a missing value goes ahead of all."""
-    above = F.array_size(F.filter("_borders", lambda b: b > value))
-    return F.when(value.isNull(), F.lit(-1)).otherwise(F.coalesce(above, F.lit(0)))

@@ -83,12 +83,12 @@ def customer_rank(
     orders: DataFrame,
     status: str = COMPLETED,
     total: str = "order_total",
-    slices: int | None = None,
+    parts: int | None = None,
     ordered: bool = True,
 ) -> DataFrame:
     """Customers ranked by revenue within their country."""
     revenue = customer_revenue(customers, orders, status, total)
-    ranked = rank_in_group(revenue, ["country"], "total_revenue", "revenue_rank", slices)
+    ranked = rank_in_group(revenue, ["country"], "total_revenue", "revenue_rank", parts)
     out = ranked.select("country", "customer_id", "customer_name", "total_revenue", "revenue_rank")
     return out.orderBy("country", "revenue_rank") if ordered else out
 

@@ -25,33 +25,32 @@ def hot(spark):
     return spark.createDataFrame(rows, "id int, g string, v int").repartition(5).cache()
 
 
-@pytest.mark.parametrize("slices", [1, 2, 16, 50])
-def test_sliced_rank_is_rank(hot, slices):
+@pytest.mark.parametrize("parts", [1, 2, 16, 50, None])
+def test_rank_by_prefix_sums_is_rank(hot, parts):
     window = Window.partitionBy("g").orderBy(F.desc_nulls_first("v"))
     want = {r["id"]: r["k"] for r in hot.withColumn("k", F.rank().over(window)).collect()}
-    got = {r["id"]: r["k"] for r in ranking.rank_in_group(hot, ["g"], "v", "k", slices=slices).collect()}
+    got = {r["id"]: r["k"] for r in ranking.rank_in_group(hot, ["g"], "v", "k", parts=parts).collect()}
     assert got == want
 
 
-def test_rank_by_window_only_while_the_input_is_small(spark, hot, tmp_path):
-    path = str(tmp_path / "t")
-    hot.write.parquet(path)
-    stored = spark.read.parquet(path)
-    small = ranking.rank_in_group(stored, ["g"], "v")
-    assert "_borders" not in small._jdf.queryExecution().optimizedPlan().toString()
-    try:
-        limit, ranking.WINDOW_BYTES = ranking.WINDOW_BYTES, 10
-        large = ranking.rank_in_group(stored, ["g"], "v")
-    finally:
-        ranking.WINDOW_BYTES = limit
-    assert "_borders" in large._jdf.queryExecution().optimizedPlan().toString()
-    assert sorted(map(str, large.collect())) == sorted(map(str, small.collect()))
+def test_rank_has_no_window_over_a_whole_group(hot):
+    plan = ranking.rank_in_group(hot, ["g"], "v", "k", parts=7)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_peers" in plan and "_part" in plan.split("Window [sum(_peers")[1].split("]")[1]
 
 
-def test_sliced_rank_of_doubles(hot):
+def test_rank_of_a_hot_group_is_spread(spark):
+    """No task meets the whole group: its values lie in several range partitions, each with a share."""
+    df = spark.range(20_000).select((F.col("id") % 10 == 0).cast("int").alias("g"), F.xxhash64("id").alias("v"))
+    seen = ranking.rank_in_group(df, ["g"], "v", "k", parts=8)
+    assert seen.agg(F.max("k"), F.count_distinct("g", "k")).first()[:] == (18_000, 20_000)
+    spread = df.groupBy("g", "v").count().repartitionByRange(8, "g", F.desc("v")).groupBy(F.spark_partition_id().alias("p"), "g").count()
+    assert spread.filter("g = 0").agg(F.max("count")).first()[0] < 6_000
+
+
+def test_rank_of_doubles(hot):
     """Sums of doubles depend on the order of addition, so they must be computed once."""
     sums = hot.groupBy("g", (F.col("id") % 50).alias("c")).agg(F.sum(F.col("v") / 7.0).alias("s"))
-    ranked = ranking.rank_in_group(sums, ["g"], "s", "k", slices=8).collect()
+    ranked = ranking.rank_in_group(sums, ["g"], "s", "k", parts=8).collect()
     assert len(ranked) == sums.count()
     by_group = defaultdict(list)
     for r in ranked:

@@ -36,9 +36,9 @@ def test_monthly_revenue(t):
     ]
 
 
-@pytest.mark.parametrize("slices", [None, 1, 2, 7])
-def test_customer_rank(t, slices):
-    got = rows(r.customer_rank(t["customers"], t["orders"], slices=slices))
+@pytest.mark.parametrize("parts", [None, 1, 2, 7])
+def test_customer_rank(t, parts):
+    got = rows(r.customer_rank(t["customers"], t["orders"], parts=parts))
     assert got == [
         ("AT", 11, "Ilse Brandt", "49.00", 1),
         ("CZ", 12, "Tomas Novak", "35.50", 1),

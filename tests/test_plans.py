@@ -98,7 +98,7 @@ def test_customer_sums_are_made_before_the_join(t, no_broadcast, full_text):
 def test_no_join_is_told_to_broadcast(t):
     for df in (
         reports.top_products(shop_items(t), shop_orders(t), shop_products(t), amount=F.col("amount")),
-        reports.customer_rank(shop_customers(t), shop_orders(t), slices=4),
+        reports.customer_rank(shop_customers(t), shop_orders(t), parts=4),
     ):
         assert "ResolvedHint" not in optimized(df) and "strategy=broadcast" not in optimized(df)
 

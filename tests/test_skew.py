@@ -14,7 +14,7 @@ from workload.registry import Tables
 
 SOURCE = "/root/testdata/sf0.001"
 AFFECTED = [
-    "n1_top_products", "e1_product_revenue", "n2_monthly_revenue", "n4_customer_rank", "g1_customer_rank_in_slices",
+    "n1_top_products", "e1_product_revenue", "n2_monthly_revenue", "n4_customer_rank", "g1_customer_rank_in_slices", "q8_rank_by_computed_total",
     "n5_order_fact", "m7_total_mismatch", "m8_orphan_items", "m9_duplicate_keys", "m11_orders_without_items",
     "e9_orders_of_unknown_customers", "f5_members_in_parts", "f8_one_row_per_key", "f11_duplicate_rows",
     "f11_duplicate_texts", "q2_upsert", "q7_quality_run", "q9_survivorship", "q10_quarantine", "b7_contract_violations",

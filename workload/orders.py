@@ -133,7 +133,7 @@ def customer_rank(t):
 
 @query("g1_customer_rank_in_slices", RECORDED_RANK_SQL)
 def customer_rank_in_slices(t):
-    df = reports.customer_rank(shop_customers(t), shop_orders(t), DONE, slices=16)
+    df = reports.customer_rank(shop_customers(t), shop_orders(t), DONE, parts=16)
     return _money(df, "total_revenue")
 
 
