@@ -11,11 +11,13 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Collection
 
 from pyspark.sql import DataFrame, SparkSession
 
 ROUTE = "route"
 POINTER = "_current"
+CLAIM = "_next"
 
 
 def write_routed(df: DataFrame, base: str, run: str, fmt: str = "parquet") -> DataFrame:
@@ -41,18 +43,73 @@ def write_snapshot(df: DataFrame, base: str, fmt: str = "parquet") -> str:
     """
     run, previous = uuid.uuid4().hex[:12], current_run(df.sparkSession, base)
     df.write.format(fmt).mode("errorifexists").save(f"{base}/run={run}")
-    found = current_run(df.sparkSession, base)
+    succeed(df.sparkSession, base, run, previous)
+    return run
+
+
+def succeed(spark: SparkSession, base: str, run: str, previous: str | None) -> None:
+    """Make a run current that was made from ``previous``, or raise.
+
+    A run has one successor: whoever creates the claim file named after it. The file system lets one writer
+    create it, so of two writers that both started from ``previous`` and both still see it current, one raises. The claim
+    stays, as a run never becomes current twice this way. A writer that dies between claim and rename leaves
+    a claim on the current run; ``release_claim`` takes it away, once that writer is known to be gone.
+    """
+    found = current_run(spark, base)
     if found != previous:
         raise RuntimeError(f"run {found} became current while {run} was written on top of {previous}")
-    point_to(df.sparkSession, base, run)
+    path, fs = _file(spark, _claim(base, previous))
+    try:
+        out = fs.create(path, False)
+    except Exception as taken:
+        raise RuntimeError(f"another writer has claimed the run after {previous}; {run} was not published") from taken
+    out.write(bytearray(run.encode()))
+    out.close()
+    # the claim may be of a run that was released and succeeded meanwhile
+    if (found := current_run(spark, base)) != previous:
+        raise RuntimeError(f"run {found} became current while {run} was written on top of {previous}")
+    point_to(spark, base, run)
+
+
+def _claim(base: str, previous: str | None) -> str:
+    return f"{base}/{CLAIM}.{previous or 'first'}"
+
+
+def release_claim(spark: SparkSession, base: str) -> str | None:
+    """Take away the claim on the current run, left by a writer that died before it published; returns the run it wanted."""
+    name = _claim(base, current_run(spark, base))
+    path, fs = _file(spark, name)
+    if not fs.exists(path):
+        return None
+    run = read_text(spark, name)
+    fs.delete(path, False)
     return run
 
 
-def _pointer(spark: SparkSession, base: str):
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{POINTER}")
+def _file(spark: SparkSession, name: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def _pointer(spark: SparkSession, base: str):
+    return _file(spark, f"{base}/{POINTER}")
+
+
+def write_text(spark: SparkSession, name: str, text: str) -> None:
+    path, fs = _file(spark, name)
+    out = fs.create(path, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_text(spark: SparkSession, name: str) -> str:
+    path, fs = _file(spark, name)
+    stream = fs.open(path)
+    text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    return text
+
+
 def point_to(spark: SparkSession, base: str, run: str) -> None:
     if not run:
         raise ValueError("a pointer needs a run")
@@ -72,9 +129,7 @@ def current_run(spark: SparkSession, base: str) -> str | None:
     path, fs = _pointer(spark, base)
     if not fs.exists(path):
         return None
-    stream = fs.open(path)
-    run = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    stream.close()
+    run = read_text(spark, f"{base}/{POINTER}")
     if not run:
         raise RuntimeError(f"the pointer of {base} is empty")
     return run
@@ -86,18 +141,18 @@ def read_snapshot(spark: SparkSession, base: str, fmt: str = "parquet") -> DataF
     return None if run is None else spark.read.format(fmt).load(f"{base}/run={run}")
 
 
-def expire_runs(spark: SparkSession, base: str, keep: int, hours: float) -> list[str]:
+def expire_runs(spark: SparkSession, base: str, keep: int, hours: float, used: Collection[str] = ()) -> list[str]:
     """Remove runs that are older than ``hours`` and not among the newest ``keep``, and never the current one.
 
-    Never part of a merge: a reader may still hold an older run, for as long as its job takes. Returns
-    what was removed.
+    Never part of a merge: a reader may still hold an older run, for as long as its job takes. ``used`` names further
+    runs that stay, such as those a keyed snapshot still reads buckets of. Returns what was removed.
     """
     path, fs = _pointer(spark, base)
     now = current_run(spark, base)
     found = [f for f in fs.listStatus(path.getParent()) if f.isDirectory() and f.getPath().getName().startswith("run=")]
     found.sort(key=lambda f: f.getModificationTime(), reverse=True)
     aged = [f for f in found[keep:] if f.getModificationTime() <= (time.time() - hours * 3600) * 1000]
-    old = [f.getPath() for f in aged if f.getPath().getName() != f"run={now}"]
+    old = [f.getPath() for f in aged if f.getPath().getName() not in {f"run={r}" for r in (now, *used)}]
     for p in old:
         fs.delete(p, True)
     return [p.getName() for p in old]

@@ -9,9 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.grouping import pick_per_key
-from ..operators.upsert import high_water_mark, newer_than, upsert
-from ..sinks.snapshots import read_snapshot, write_snapshot
+from ..operators.upsert import newer_than
+from ..sinks import keyed
 
 
 def arrivals(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", files_per_batch: int = 1000) -> DataFrame:
@@ -20,23 +19,21 @@ def arrivals(spark: SparkSession, path: str, schema: StructType, fmt: str = "par
     return reader.load(path)
 
 
-def merge_batch(batch: DataFrame, base: str, keys: Sequence[str], version: str) -> None:
-    """Merge one batch into the current snapshot. Doing it twice changes nothing.
+def merge_batch(batch: DataFrame, base: str, keys: Sequence[str], version: str, buckets: int = keyed.BUCKETS) -> None:
+    """Merge one batch into the keyed snapshot. Doing it twice changes nothing.
 
-    Earlier runs stay in place for readers; ``expire_runs`` removes old ones, by its own schedule.
+    Only the buckets that the batch touches are read and written. Earlier runs stay in place for readers;
+    ``keyed.expire_runs`` removes old ones, by its own schedule.
     """
-    old = read_snapshot(batch.sparkSession, base)
-    if old is None:
-        new = pick_per_key(batch, keys, [F.col(version)], newest=True)
-    else:
-        new = upsert(old, batch, keys, version)
-    write_snapshot(new, base)
+    keyed.merge(batch, base, keys, version, buckets)
 
 
-def keep_merged(stream: DataFrame, base: str, checkpoint: str, keys: Sequence[str], version: str) -> None:
+def keep_merged(
+    stream: DataFrame, base: str, checkpoint: str, keys: Sequence[str], version: str, buckets: int = keyed.BUCKETS
+) -> None:
     """Run until every file that has arrived is merged; call again for the next ones."""
     query = (
-        stream.writeStream.foreachBatch(lambda batch, _: merge_batch(batch, base, keys, version))
+        stream.writeStream.foreachBatch(lambda batch, _: merge_batch(batch, base, keys, version, buckets))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -44,13 +41,16 @@ def keep_merged(stream: DataFrame, base: str, checkpoint: str, keys: Sequence[st
     query.awaitTermination()
 
 
-def load_new(source: DataFrame, base: str, keys: Sequence[str], version: str) -> Any | None:
+def load_new(
+    source: DataFrame, base: str, keys: Sequence[str], version: str, buckets: int = keyed.BUCKETS
+) -> Any | None:
     """Merge what the source has from the stored mark on, and return that mark (None on the first load).
 
-    The mark is the highest version of the snapshot, which keeps the newest row of each key and so the
-    newest of all. It is published with the snapshot in one step, and the two cannot disagree.
+    The mark is kept in the snapshot's manifest and published with it in one step, so the two cannot disagree and no
+    scan is needed to know it.
     """
-    old = read_snapshot(source.sparkSession, base)
-    mark = None if old is None else high_water_mark(old, version).first()[0]
-    merge_batch(newer_than(source, version, mark, inclusive=True), base, keys, version)
+    spark, kind = source.sparkSession, source.schema[version].dataType.simpleString()
+    stored = keyed.mark(spark, base)
+    mark = None if stored is None else spark.range(1).select(F.lit(stored).cast(kind)).first()[0]
+    merge_batch(newer_than(source, version, mark, inclusive=True), base, keys, version, buckets)
     return mark

@@ -9,7 +9,7 @@ from sievework.layouts import shop as layout
 from sievework.plans import ingest
 from sievework.session import shared_folder, shared_root, stage
 from sievework.sinks import relational as out_db
-from sievework.sinks import snapshots, tables
+from sievework.sinks import keyed, snapshots, tables
 from sievework.sources import files
 from sievework.sources import relational as in_db
 from sievework.streaming import incremental
@@ -97,6 +97,81 @@ def test_pointer_is_replaced_whole(spark, folder, monkeypatch):
         snapshots.read_snapshot(spark, base)
 
 
+def test_second_writer_between_comparison_and_rename_raises(spark, folder, monkeypatch):
+    """Both writers started from the same run and both saw it current; the one that claims it first is published."""
+    base = f"{folder}/s"
+    snapshots.write_snapshot(spark.range(3), base)
+    rename, inner = snapshots.point_to, []
+
+    def overtaken(*args):
+        if not inner:  # the first writer has claimed and not yet renamed: a whole second write happens here
+            inner.append(1)
+            with pytest.raises(RuntimeError, match="claimed"):
+                snapshots.write_snapshot(spark.range(7), base)
+        rename(*args)
+
+    monkeypatch.setattr(snapshots, "point_to", overtaken)
+    snapshots.write_snapshot(spark.range(5), base)
+    assert inner and snapshots.read_snapshot(spark, base).count() == 5
+
+
+def test_claim_of_a_dead_writer_is_released(spark, folder, monkeypatch):
+    base = f"{folder}/s"
+    snapshots.write_snapshot(spark.range(3), base)
+    monkeypatch.setattr(snapshots, "point_to", lambda *_: (_ for _ in ()).throw(KeyError("died")))
+    with pytest.raises(KeyError):
+        snapshots.write_snapshot(spark.range(5), base)
+    monkeypatch.undo()
+    with pytest.raises(RuntimeError, match="claimed"):
+        snapshots.write_snapshot(spark.range(6), base)
+    assert snapshots.read_snapshot(spark, base).count() == 3
+    assert snapshots.release_claim(spark, base) is not None and snapshots.release_claim(spark, base) is None
+    snapshots.write_snapshot(spark.range(6), base)
+    assert snapshots.read_snapshot(spark, base).count() == 6
+
+
+def size(folder):
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(folder) for f in names)
+
+
+def test_keyed_snapshot_rewrites_what_changed(spark, folder):
+    base = f"{folder}/k"
+    rows = spark.range(300_000).select("id", F.lit(1).alias("v"), F.sha1(F.col("id").cast("string")).alias("x"))
+    keyed.merge(rows, base, ["id"], "v", buckets=1024)
+    whole = size(base)
+    changes = spark.range(10).select((F.col("id") * 29_000).alias("id"), F.lit(2).alias("v"), F.lit("new").alias("x"))
+    run = keyed.merge(changes.unionByName(spark.sql("SELECT 999999L AS id, 5 AS v, 'more' AS x")), base, ["id"], "v")
+    assert size(f"{base}/run={run}") < 0.05 * whole and len(os.listdir(f"{base}/run={run}")) < 30
+    now = keyed.read(spark, base)
+    assert now.count() == 300_001 and now.filter("v = 2").count() == 10 and keyed.mark(spark, base) == "5"
+    assert now.filter("v = 1").agg(F.count_distinct("id")).first()[0] == 299_990
+    # a point read opens the files of one bucket
+    one = keyed.read_touched(spark, base, spark.sql("SELECT 29000L AS id"))
+    assert one.select(F.input_file_name()).distinct().count() == 1 and "_bucket" in one._jdf.queryExecution().toString().split("PartitionFilters: ")[1].split("]")[0]
+    assert one.filter("id = 29000").first()["x"] == "new"
+    # nothing to merge changes nothing, and runs that are still read from do not expire
+    assert keyed.merge(changes.filter("false"), base, ["id"], "v") is None and keyed.mark(spark, base) == "5"
+    keyed.merge(changes, base, ["id"], "v")
+    keyed.expire_runs(spark, base, keep=0, hours=0)
+    assert keyed.read(spark, base).count() == 300_001
+
+
+def test_keyed_snapshot_of_awkward_keys(spark, folder):
+    base = f"{folder}/k"
+    kind = "a string, b int, v int"
+    keyed.merge(spark.createDataFrame([(None, 1, 1), ("x", None, 1), (None, None, 1)], kind), base, ["a", "b"], "v", buckets=4)
+    keyed.merge(spark.createDataFrame([(None, 1, 2), ("x", None, 0), ("y", 1, None)], kind), base, ["a", "b"], "v")
+    assert sorted(map(str, map(tuple, keyed.read(spark, base).collect()))) == sorted(map(str, [(None, 1, 2), ("x", None, 1), (None, None, 1), ("y", 1, None)]))
+    with pytest.raises(ValueError):
+        keyed.create(spark.createDataFrame([], kind), base, ["a"])
+    empty = f"{folder}/e"
+    assert keyed.read(spark, empty) is None and keyed.mark(spark, empty) is None
+    keyed.merge(spark.createDataFrame([], kind), empty, ["a", "b"], "v", buckets=4)
+    assert keyed.read(spark, empty).count() == 0 and keyed.read(spark, empty).schema == spark.createDataFrame([], kind).schema
+    with pytest.raises(ValueError):
+        keyed.rewrite(spark.createDataFrame([], kind), f"{folder}/none", lambda rows, _: rows)
+
+
 def test_old_runs_expire_but_not_the_current_one(spark, folder):
     base = f"{folder}/s"
     first = snapshots.write_snapshot(spark.range(1), base)
@@ -158,7 +233,7 @@ def test_stream_takes_only_new_files_and_merging_twice_changes_nothing(spark, fo
     def go():
         stream = incremental.arrivals(spark, f"{folder}/in", spark.createDataFrame([], "k int, v int").schema)
         incremental.keep_merged(stream, f"{folder}/out", f"{folder}/cp", ["k"], "v")
-        return {tuple(r) for r in snapshots.read_snapshot(spark, f"{folder}/out").collect()}
+        return {tuple(r) for r in keyed.read(spark, f"{folder}/out").collect()}
 
     drop([(1, 1), (2, 5), (1, 3)], "a")
     assert go() == {(1, 3), (2, 5)}
@@ -168,7 +243,7 @@ def test_stream_takes_only_new_files_and_merging_twice_changes_nothing(spark, fo
     assert go() == {(1, 3), (2, 5), (3, 1)} and snapshots.current_run(spark, f"{folder}/out") == run
     batch = spark.createDataFrame([(2, 4), (3, 1)], "k int, v int")
     incremental.merge_batch(batch, f"{folder}/out", ["k"], "v")
-    assert {tuple(r) for r in snapshots.read_snapshot(spark, f"{folder}/out").collect()} == {(1, 3), (2, 5), (3, 1)}
+    assert {tuple(r) for r in keyed.read(spark, f"{folder}/out").collect()} == {(1, 3), (2, 5), (3, 1)}
 
 
 def test_partitions_not_written_stay(spark, folder):

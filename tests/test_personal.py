@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sievework.operators.cleaning import redact_text
 from sievework.plans import order_quality
-from sievework.sinks.snapshots import read_snapshot
+from sievework.sinks import keyed
 from sievework.streaming.incremental import load_new
 
 CASES = [
@@ -55,4 +55,4 @@ def test_rows_of_the_marks_own_time_are_not_missed(spark, tmp_path, late):
     more = first.union(spark.createDataFrame([(3, late, "c")], first.schema))
     assert load_new(more, base, ["k"], "v") == 5
     assert load_new(more, base, ["k"], "v") == max(5, late)
-    assert sorted(map(tuple, read_snapshot(spark, base).collect())) == [(1, 5, "a"), (2, 3, "b"), (3, late, "c")]
+    assert sorted(map(tuple, keyed.read(spark, base).collect())) == [(1, 5, "a"), (2, 3, "b"), (3, late, "c")]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sievework.functions import scalars
 from sievework.operators import grouping, integrity, upsert
-from sievework.plans import order_quality, reports
+from sievework.plans import order_quality, order_state, reports
 from sievework.session import shared_folder, stage
 from sievework.sinks.tables import publish_view, write_bucketed
 
@@ -114,6 +114,34 @@ def monthly_by_computed_total(t):
     return _money(reports.monthly_revenue(orders, DONE), "total_revenue")
 
 
+@query("q8_fact_after_changes", FACT_SQL)
+def fact_after_changes(t):
+    """An order fact kept by changes: it starts with the orders of the first years, some of them wrong, and with items
+    and orders that were never placed; one batch corrects, deletes and adds, and comes twice."""
+    base = shared_folder(t.spark, "q8")
+    orders, items = shop_orders(t), shop_items(t).select("order_id", "product_id", "amount", (F.col("line_number") % 4).alias("kind"))
+    late = dt.datetime(1996, 1, 1)
+    early_items = items.join(orders.filter(F.col("order_date") < late).select("order_id"), "order_id", "left_semi")
+    wrong = early_items.filter("kind = 1").withColumn("amount", (F.col("amount") + 1).cast("decimal(18,2)"))
+    never = early_items.filter("kind = 2").withColumn("product_id", -F.col("product_id"))
+    ghosts = orders.filter(F.col("order_date") < late).withColumn("order_id", -F.col("order_id"))
+    open_ = F.when(F.col("status") == "F", "O").otherwise(F.col("status"))
+    past = orders.filter(F.col("order_date") < late)
+    order_state.start(
+        past.withColumn("status", open_).unionByName(ghosts), early_items.filter("kind <> 1").unionByName(wrong).unionByName(never),
+        base, "first", F.col("amount"), buckets=16,
+    )
+    right = early_items.filter("kind = 1")
+    new = items.join(orders.filter(F.col("order_date") >= late).select("order_id"), "order_id", "left_semi")
+    gone, come = wrong.unionByName(never).withColumn("sign", F.lit(-1)), right.unionByName(new).withColumn("sign", F.lit(1))
+    now = past.filter("status = 'F'").unionByName(orders.filter(F.col("order_date") >= late)).withColumn("deleted", F.lit(False))
+    for _ in range(2):
+        order_state.apply(
+            gone.unionByName(come), now.unionByName(ghosts.withColumn("deleted", F.lit(True))), base, "second", amount=F.col("amount")
+        )
+    return _money(order_state.read(t.spark, base), "computed_order_total", "recorded_order_total", "order_total_diff")
+
+
 RANK_SQL = """
 SELECT n_name AS country, c_custkey AS customer_id, c_name AS customer_name,
        CAST(sum({total}) AS DECIMAL(18,2)) AS total_revenue,

@@ -7,11 +7,9 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from sievework.contracts import Contract
-from sievework.operators.grouping import pick_per_key
-from sievework.operators.upsert import upsert
 from sievework.plans import ingest
 from sievework.session import shared_folder
-from sievework.sinks import snapshots
+from sievework.sinks import keyed, snapshots
 from sievework.sinks.tables import publish_view, read_back, verify_write, write_table
 from sievework.sources.files import identify_files, load_typed_csv, read_table, read_text_csv
 from sievework.streaming import incremental
@@ -169,8 +167,8 @@ def stream_upsert(t):
     events = t.events.select("user_id", "ts", "event_type", "value")
     events.repartition(4, "event_type").write.parquet(f"{where}/in")
     stream = incremental.arrivals(t.spark, f"{where}/in", events.schema, files_per_batch=2)
-    incremental.keep_merged(stream, f"{where}/users", f"{where}/progress", ["user_id"], "ts")
-    return snapshots.read_snapshot(t.spark, f"{where}/users")
+    incremental.keep_merged(stream, f"{where}/users", f"{where}/progress", ["user_id"], "ts", buckets=16)
+    return keyed.read(t.spark, f"{where}/users")
 
 
 @query("q1_load_from_stored_mark", NEWEST_SQL)
@@ -179,18 +177,26 @@ def load_from_stored_mark(t):
     base = shared_folder(t.spark, "q1")
     events = t.events.select("user_id", "ts", "event_type", "value")
     for source in (events.filter(F.col("ts") <= dt.datetime(2024, 1, 15)), events, events):
-        incremental.load_new(source, base, ["user_id"], "ts")
-    return snapshots.read_snapshot(t.spark, base)
+        incremental.load_new(source, base, ["user_id"], "ts", buckets=16)
+    return keyed.read(t.spark, base)
+
+
+def _two_loads(t, base, times=1):
+    """The events up to a high-water mark, then those past it, as often as asked."""
+    events = t.events.select("user_id", "ts", "event_type", "value")
+    mark = dt.datetime(2024, 1, 15)
+    for part in (events.filter(F.col("ts") <= mark), *[events.filter(F.col("ts") > mark)] * times):
+        keyed.merge(part, base, ["user_id"], "ts", buckets=16)
+    return keyed.read(t.spark, base)
 
 
 @query("q2_snapshot_upsert", NEWEST_SQL)
 def snapshot_upsert(t):
     """The same as two batch loads around a high-water mark."""
-    base = shared_folder(t.spark, "q2")
-    events = t.events.select("user_id", "ts", "event_type", "value")
-    mark = dt.datetime(2024, 1, 15)
-    first = pick_per_key(events.filter(F.col("ts") <= mark), ["user_id"], [F.col("ts")], newest=True)
-    snapshots.write_snapshot(first, base)
-    changes = events.filter(F.col("ts") > mark)
-    snapshots.write_snapshot(upsert(snapshots.read_snapshot(t.spark, base), changes, ["user_id"], "ts"), base)
-    return snapshots.read_snapshot(t.spark, base)
+    return _two_loads(t, shared_folder(t.spark, "q2"))
+
+
+@query("q2_twice", NEWEST_SQL)
+def snapshot_upsert_twice(t):
+    """The second load comes twice."""
+    return _two_loads(t, shared_folder(t.spark, "q2"), 2)
