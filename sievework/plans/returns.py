@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import cache
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -23,8 +23,9 @@ from ..operators import exceptions as ex
 from ..operators.cleaning import in_order, null_sentinels, redact, redact_text
 from ..operators.flatten import narrow_decimals
 from ..operators.keys import number_rows
-from ..sinks.snapshots import ROUTE, point_to, write_routed
-from ..sinks.tables import write_table
+from ..sinks.snapshots import ROUTE, current_run, succeed, write_routed
+from ..sinks.tables import lay_table_over, read_back, write_table
+from ..sources.files import read_fitting_csv
 
 ITEMS = ex.ListSpec(layout.ARTICLE)
 OBJECT = ex.ObjectSpec(layout.CUSTOM_FIELDS)
@@ -167,7 +168,7 @@ def run(
     reconcile raises and leaves the previous run current, in ``base`` as in both targets.
     """
     spark = raw.sparkSession
-    run_id = uuid.uuid4().hex[:12]
+    run_id, previous = uuid.uuid4().hex[:12], current_run(spark, base)
     on_raw, on_nulled, on_final = Observation(), Observation(), Observation()
     sources = {**layout.TIMESTAMPS, **layout.DATES}
     retyped = [layout.PRICE, *layout.DAY_COUNTS]
@@ -222,10 +223,41 @@ def run(
     failed = [name for name, ok in out.checks.items() if not ok]
     if failed:
         raise RuntimeError(f"run {run_id} does not reconcile: {failed}")
-    bad = written.filter(F.col(ROUTE) == UNRESOLVED).select(*layout.DIAGNOSTIC_COLUMNS)
+    succeed(spark, base, run_id, previous)
+    refresh(written, base, exceptions_target, fmt, table)
+    return out
+
+
+def refresh(stored: DataFrame, base: str, exceptions_target: str, fmt: str = "parquet", table: str | None = None) -> None:
+    """Bring the exceptions table and the catalog table to the current run; ``stored`` is that run read as a whole.
+
+    The run is the truth, both are derived from it and refreshed behind the pointer's move: after a crash in between, call
+    this again. The catalog table is not a second copy; it lies over the run's published files.
+    """
+    spark = stored.sparkSession
+    bad = stored.filter(F.col(ROUTE) == UNRESOLVED).select(*layout.DIAGNOSTIC_COLUMNS)
     write_table(bad, exceptions_target, fmt)
     if table:
-        good = written.filter(F.col(ROUTE) == PUBLISHED).drop(ROUTE)
-        write_table(good, table=table, fmt=fmt)
-    point_to(spark, base, run_id)
-    return out
+        place = f"{base}/run={current_run(spark, base)}/{ROUTE}={PUBLISHED}"
+        lay_table_over(spark, table, place, stored.drop(ROUTE).schema, fmt)
+
+
+@dataclass
+class ReturnsBatch:
+    """What a batch of files came to: the run of those that fit (None if none did) and the faults of the others."""
+
+    done: ReturnsRun | None
+    set_aside: DataFrame
+
+
+def run_files(
+    spark: SparkSession, path: str | list[str], base: str, exceptions_target: str, rejects: str, multiline: bool = True, **options
+) -> ReturnsBatch:
+    """Process a batch of CSV files, each by its own header: a file whose layout does not fit is set aside and costs itself only.
+
+    ``rejects`` gets (file, rule, column) of the files that were left out; their rows stay where they are and come with
+    a later batch, once the file or the layout is mended. With no fitting file the previous run stays current.
+    """
+    raw, faults = read_fitting_csv(spark, path, [c for c in layout.RAW_COLUMNS if c != layout.ROW_KEY], multiline)
+    write_table(faults, rejects)
+    return ReturnsBatch(None if raw is None else run(raw, base, exceptions_target, **options), read_back(spark, rejects))

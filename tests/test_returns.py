@@ -102,3 +102,33 @@ def test_a_failed_check_leaves_the_old_run_current(spark, feed, folder, monkeypa
         returns.run(feed.withColumn("id", F.lit("new")), f"{folder}/out", f"{folder}/e")
     assert snapshots.current_run(spark, f"{folder}/out") == first.run
     assert spark.read.parquet(f"{folder}/e").filter("id = 'new'").isEmpty()
+
+
+def test_one_bad_file_costs_itself(spark, feed, folder):
+    """Other column orders and further columns are read right; a file without a required column is set aside."""
+    write = lambda df, name: df.coalesce(1).write.option("header", True).option("escape", '"').csv(f"{folder}/in/{name}")
+    text = feed.select(*[c for c in feed.columns if c in layout.RAW_COLUMNS])
+    write(text.filter("id = '6a24'"), "plain")
+    write(text.filter("id = 'cut'").select(*text.columns[::-1], F.lit("new").alias("added")), "turned")
+    write(text.filter("id = 'loose'").drop("articles"), "bad")
+    batch = returns.run_files(spark, f"{folder}/in/*", f"{folder}/out", f"{folder}/e", f"{folder}/aside", table="returns_by_file")
+    published = {r["id"]: r for r in spark.read.parquet(batch.done.path()).collect()}
+    assert set(published) == {"6a24", "cut"} and published["cut"]["added"] == "new" and published["6a24"]["added"] is None
+    assert [(r["file"].split("/")[-2], r["rule"], r["column"]) for r in batch.set_aside.collect()] == [("bad", "missing_column", "articles")]
+    assert {r["id"] for r in spark.table("returns_by_file").collect()} == {"6a24", "cut"}
+    none = returns.run_files(spark, f"{folder}/in/bad", f"{folder}/out", f"{folder}/e", f"{folder}/aside2")
+    assert none.done is None and none.set_aside.count() == 1 and snapshots.current_run(spark, f"{folder}/out") == batch.done.run
+
+
+def test_derived_tables_follow_the_pointer(spark, feed, folder, monkeypatch):
+    """A crash behind the pointer's move leaves the run as the truth, and refresh brings the others to it."""
+    first = returns.run(feed.filter("id <> 'object'"), f"{folder}/out", f"{folder}/e", table="returns_refreshed")
+    monkeypatch.setattr(returns, "refresh", lambda *_: (_ for _ in ()).throw(KeyError("died")))
+    with pytest.raises(KeyError):
+        returns.run(feed, f"{folder}/out", f"{folder}/e", table="returns_refreshed")
+    monkeypatch.undo()
+    now = snapshots.current_run(spark, f"{folder}/out")
+    assert now != first.run and spark.read.parquet(f"{folder}/e").count() == 1
+    returns.refresh(spark.read.parquet(f"{folder}/out/run={now}"), f"{folder}/out", f"{folder}/e", table="returns_refreshed")
+    assert spark.read.parquet(f"{folder}/e").count() == 2 and spark.table("returns_refreshed").count() == 4
+    assert f"run={now}" in spark.table("returns_refreshed").inputFiles()[0]  # no second copy

@@ -327,6 +327,32 @@ def returns_from_files(t):
     return _published(t.spark.read.parquet(done.path()))
 
 
+@query(
+    "q4_returns_drift",
+    RETURNS_SQL
+    + """SELECT 'rows' AS file, 'published or unresolved' AS rule, NULL::VARCHAR AS column_name, count(*) AS n FROM g WHERE l_orderkey % 4 <> 3
+       UNION ALL SELECT 'three', 'missing_column', 'articles', 1 WHERE EXISTS (SELECT 1 FROM g WHERE l_orderkey % 4 = 3)""",
+)
+def returns_drift(t):
+    """The feed comes in four files: one as the layout says, one with its columns in another order, one with a column more, and
+    one whose list has another name. The last is set aside and costs its own rows only."""
+    where = shared_folder(t.spark, "drift")
+    feed = returns_feed(t).withColumn("quarter", F.substring("id", 3, 20).cast("long") % 4)
+    columns = [c for c in feed.columns if c in layout.RAW_COLUMNS]
+    shapes = {
+        "zero": columns, "one": columns[::-1], "two": [*columns, F.col("order_no").alias("added")],
+        "three": [F.col(c).alias("article_list") if c == "articles" else F.col(c) for c in columns],
+    }
+    for k, (name, shape) in enumerate(shapes.items()):
+        write_csv(feed.filter(F.col("quarter") == k).select(*shape), f"{where}/in/{name}")
+    batch = returns.run_files(t.spark, f"{where}/in/*", f"{where}/tables", f"{where}/exceptions", f"{where}/aside")
+    stored = t.spark.read.parquet(f"{where}/tables/run={batch.done.run}")
+    rows = stored.agg(F.lit("rows").alias("file"), F.lit("published or unresolved").alias("rule"), F.lit(None).cast("string").alias("column_name"), F.count("*").alias("n"))
+    label = F.regexp_extract("file", r"/(\w+)/[^/]*$", 1).alias("file")
+    faults = batch.set_aside.groupBy(label, "rule", F.col("column").alias("column_name")).agg((F.count("*") > 0).cast("long").alias("n"))
+    return rows.unionByName(faults)
+
+
 # Expected value of every published column; what is not listed is empty, or false for a flag.
 RAW_SQL = {
     "id": "'rt' || l_orderkey", "order_no": "order_no", "customer_no": "lpad(CAST(l_suppkey AS VARCHAR), 10, '0')",
