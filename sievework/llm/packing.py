@@ -31,7 +31,7 @@ END = 2
 #: full sequences a group holds on average
 GROUP_SEQUENCES = 512
 #: words whose ids a Python worker remembers; beyond that it forgets all of them
-REMEMBERED = 500_000
+REMEMBERED = 750_000
 TOKENIZER = "word_bpe_49k.json"
 
 OUT = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
@@ -40,6 +40,14 @@ OUT = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "o
 PLAIN = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-^`{-~]*)")
 
 
+def byte_letters() -> dict[int, str]:
+    """The printable character that stands for each byte in byte-level vocabularies: itself where it is printable
+    in Latin-1, else the next one from 256 on."""
+    shown = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b != 0xAD]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
 class Ids:
     """Token ids of texts as little-endian 16-bit strings, remembered by word.
 
@@ -51,29 +59,41 @@ class Ids:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merge, self.letters = self.tokenizer.model.tokenize, byte_letters()
         self.words: dict[str, bytes] = {}
         self.cores: dict[str, bytes] = {}
 
     def _learn(self, missing: set[str]) -> None:
-        if len(self.cores) + len(missing) > REMEMBERED:
-            self.cores.clear()
-        parts = {}
+        """Ids of new words. Letters up to y with dots are already normal and one piece, so they go to the merges
+        at once; everything else goes through the whole tokenizer."""
+        cores, words = self.cores, self.words
+        if len(cores) + len(missing) > REMEMBERED:
+            cores.clear()
+        cores.setdefault("", b"")
+        plain, other = [], set()
         for word in missing:
             m = PLAIN.fullmatch(word)
-            if m and m[1].isalpha() and max(m[1]) <= "ÿ":
-                parts[word] = (m[1].lower(), m[2])
+            if m and max(m[1]) <= "ÿ" and m[1].isalpha():
+                core, marks = m[1].lower(), m[2]
+                if core not in cores:
+                    text = core if core.isascii() else core.encode().decode("latin-1").translate(self.letters)
+                    cores[core] = np.array([t.id for t in self.merge(text)], "<u2").tobytes()
             else:
-                parts[word] = (word, "")
-        new = list({p for both in parts.values() for p in both if p and p not in self.cores})
-        if new:
+                core, marks = word, ""
+                if core not in cores:
+                    other.add(core)
+            if marks not in cores:
+                other.add(marks)
+            plain.append((word, core, marks))
+        if other:
+            new = list(other)
             found = self.tokenizer.encode(new, is_pretokenized=True, add_special_tokens=False)
             ids, owner = np.array(found.ids, "<u2"), np.array(found.word_ids, np.int64)
             ends = np.searchsorted(owner, np.arange(len(new) + 1))
             for k, piece in enumerate(new):
-                self.cores[piece] = ids[ends[k]:ends[k + 1]].tobytes()
-        self.cores.setdefault("", b"")
-        for word, (core, marks) in parts.items():
-            self.words[word] = self.cores[core] + self.cores[marks]
+                cores[piece] = ids[ends[k]:ends[k + 1]].tobytes()
+        for word, core, marks in plain:
+            words[word] = cores[core] + cores[marks]
 
     def of(self, text: str) -> np.ndarray:
         words = text.replace("\n", " ").replace("\t", " ").split(" ")
