@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import Contract
+from ..sinks.snapshots import ROUTE, write_routed
 from .barriers import where_computed
 from .grouping import repeated_keys
 from .keys import fingerprint
@@ -72,6 +73,9 @@ def with_violations(df: DataFrame, contract: Contract, name: str = "violations")
     return out.join(again, "_digest", "left").select(*df.columns, listed.alias(name))
 
 
+ACCEPTED, REJECTED = "accepted", "rejected"
+
+
 def split_by_contract(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
     """(accepted rows, rejected rows with their violations)."""
     checked = with_violations(df, contract)
@@ -79,6 +83,19 @@ def split_by_contract(df: DataFrame, contract: Contract) -> tuple[DataFrame, Dat
     return where_computed(checked, clean).drop("violations"), where_computed(checked, ~clean)
 
 
+def split_written(df: DataFrame, contract: Contract, base: str, run: str) -> tuple[DataFrame, DataFrame]:
+    """``split_by_contract`` in one evaluation: the verdict is a column, and one job writes both sides by it.
+
+    The input is scanned once and its key grouped once, whoever reads the sides and how often; each side is read
+    from its own files below ``base``.
+    """
+    checked = with_violations(df, contract)
+    verdict = F.when(F.array_size("violations") == 0, ACCEPTED).otherwise(REJECTED)
+    written = write_routed(checked.withColumn(ROUTE, verdict), base, run)
+    good, bad = (written.filter(F.col(ROUTE) == side).drop(ROUTE) for side in (ACCEPTED, REJECTED))
+    return good.drop("violations"), bad
+
+
 def violations_summary(checks: Mapping[str, DataFrame | tuple[DataFrame, Sequence[str]]]) -> DataFrame:
     """(check_name, violations) over frames that each list the offenders of one check."""
     parts = [

@@ -34,23 +34,28 @@ def misshapen(col: Column, pattern: str, sentinels: Iterable[str] = text.NULL_TE
 def shape_audit(df: DataFrame, patterns: Mapping[str, str], samples: int = 5) -> DataFrame:
     """(column_name, misshapen, samples): count of bad values, and the first few of them in text order.
 
-    The samples come from a top-k per column over the distinct bad values, of which each
-    task passes on only ``samples``; a column that is bad throughout stays cheap.
+    One grouping by column and bad value feeds both: its counts add up to the total, and a top-k per column, of which
+    each task passes on only ``samples`` values, gives the first ones. A bad value that a third of the rows have is a
+    row per task there, and the input is read once, as both sides start with the same exchange.
     """
     bad = {c: misshapen(F.col(c), p) for c, p in patterns.items()}
-    counts = tally(df, bad, value="misshapen")
     values = F.array(*[
         F.when(p, F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value"))) for c, p in bad.items()
     ])
-    distinct = df.select(F.inline(F.filter(values, lambda v: v.isNotNull()))).distinct()
+    found = df.select(F.inline(F.filter(values, lambda v: v.isNotNull()))).groupBy("column_name", "value").agg(F.count("*").alias("_n"))
+    counts = found.groupBy("column_name").agg(F.sum("_n").alias("misshapen"))
     first = Window.partitionBy("column_name").orderBy("value")
     shown = (
-        distinct.withColumn("place", F.row_number().over(first))
+        found.filter("_n > 0")  # keeps the counts in the exchange, which so is the one that the sums read
+        .withColumn("place", F.row_number().over(first))
         .filter(F.col("place") <= samples)
         .groupBy("column_name")
         .agg(F.sort_array(F.collect_list("value")).alias("samples"))
     )
-    return counts.join(shown, "column_name", "left")
+    audited = df.sparkSession.createDataFrame([(c,) for c in patterns], "column_name string")
+    return audited.join(counts, "column_name", "left").join(shown, "column_name", "left").select(
+        "column_name", F.coalesce("misshapen", F.lit(0)).cast("long").alias("misshapen"), "samples"
+    )
 
 
 def null_reconciliation(df: DataFrame, cleaned: Mapping[str, Column], expected: Mapping[str, Column]) -> DataFrame:

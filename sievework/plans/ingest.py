@@ -13,8 +13,8 @@ from ..contracts import Contract
 from ..functions import scalars, text
 from ..layouts.shop import ORDERS_LOADED, PRODUCTS_LOADED
 from ..operators.cleaning import standard_names
-from ..operators.integrity import split_by_contract
-from ..session import stage
+from ..operators.integrity import split_written
+from ..session import shared_folder, stage
 from ..sinks.relational import reload_table
 from ..sinks.tables import write_table
 from ..sources.files import read_text_csv
@@ -60,14 +60,15 @@ def load(df: DataFrame, contract: Contract, deliver: Callable[[DataFrame], int],
     """Deliver the rows that meet the contract; write the others, with what they violate, to ``rejects``.
 
     A batch whose columns differ from the contract is set aside whole instead of failing the run.
-    The batch is staged first: checking and delivering read it more than once, and a source
-    that changes in between would lose or repeat rows.
+    The batch is checked once: one job marks its rows and writes both sides to the shared folder, and delivery and rejects
+    read them there. A source that changes in between, or a delivery that is tried again, loses and repeats nothing.
     """
-    df = stage(df, contract.name)
     drift = tuple(contract.drift(df.schema))
     if drift:
         return Loaded(0, write_table(df, rejects), drift)
-    good, bad = split_by_contract(df, contract)
+    if contract.key:  # the key is grouped beside the rows it is joined back to, and both must be of one read of the source
+        df = stage(df, contract.name)
+    good, bad = split_written(df, contract, shared_folder(df.sparkSession, contract.name), "checked")
     return Loaded(deliver(good), write_table(bad, rejects))
 
 

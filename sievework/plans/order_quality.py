@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.grouping import pick_per_key, repeated_keys, repeated_members
-from ..operators.integrity import childless, orphans, violations_summary
+from ..operators.integrity import ACCEPTED, REJECTED, childless, orphans, violations_summary
+from ..sinks.snapshots import ROUTE, write_routed
 from .reports import item_amount, item_totals
 
 
@@ -58,8 +59,8 @@ def surviving_customers(customers: DataFrame) -> DataFrame:
     return pick_per_key(own, ["email", "_own"], [F.col("signup_date"), F.col("customer_id")]).drop("_own")
 
 
-def quarantine(orders: DataFrame, customers: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(usable orders, orders with an unknown customer or no items, with the reasons)."""
+def with_reasons(orders: DataFrame, customers: DataFrame, items: DataFrame) -> DataFrame:
+    """Orders with what holds them back: an unknown customer, no items, or nothing (an empty text)."""
     known = customers.select(F.col("customer_id").alias("_c")).distinct()
     filled = items.select(F.col("order_id").alias("_o")).distinct()
     seen = orders.join(known, F.col("customer_id") == F.col("_c"), "left").join(
@@ -70,11 +71,25 @@ def quarantine(orders: DataFrame, customers: DataFrame, items: DataFrame) -> tup
         F.when(F.col("_c").isNull(), F.lit("unknown_customer")),
         F.when(F.col("_o").isNull(), F.lit("no_items")),
     )
-    marked = seen.select(*orders.columns, reasons.alias("quarantine_reason"))
-    return (
-        marked.filter("quarantine_reason = ''").drop("quarantine_reason"),
-        marked.filter("quarantine_reason <> ''"),
-    )
+    return seen.select(*orders.columns, reasons.alias("quarantine_reason"))
+
+
+def quarantine(
+    orders: DataFrame, customers: DataFrame, items: DataFrame, base: str | None = None, run: str = "checked"
+) -> tuple[DataFrame, DataFrame]:
+    """(usable orders, orders with an unknown customer or no items, with the reasons).
+
+    With ``base`` the joins run once: one job writes both sides by the verdict, and each is read from its own files.
+    Without it both are branches of a plan, for a caller that takes one of them.
+    """
+    marked = with_reasons(orders, customers, items)
+    if base is None:
+        usable, held = marked.filter("quarantine_reason = ''"), marked.filter("quarantine_reason <> ''")
+    else:
+        side = F.when(F.col("quarantine_reason") == "", ACCEPTED).otherwise(REJECTED)
+        written = write_routed(marked.withColumn(ROUTE, side), base, run)
+        usable, held = (written.filter(F.col(ROUTE) == s).drop(ROUTE) for s in (ACCEPTED, REJECTED))
+    return usable.drop("quarantine_reason"), held
 
 
 def quality_findings(

@@ -3,6 +3,7 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sievework.contracts import Contract
 from sievework.functions import scalars, text
@@ -98,6 +99,21 @@ def test_fingerprint_tells_null_from_empty_and_shifted_text(spark):
     assert sorted(again) == sorted(got)
 
 
+def test_nested_drift_at_every_depth(spark):
+    layout = StructType.fromDDL("a struct<b:int, c:array<struct<d:string>>>, m map<string,boolean>, s string")
+    rows = [
+        '{"a":{"b":1,"c":[{"d":"x"},{"d":1},{"d":2,"e":null}]},"m":{"k":true,"j":"no"},"s":null}', '{"a":[1],"z":{"y":1}}',
+        '{"z":2,"z2":[]}', '{"a', None, '"text"', "", '{"a":{"b":"1"}}', '{"a":{"b":"1"}}', "{}", "null",
+    ]
+    found = flatten.nested_drift(spark.createDataFrame([(r, 1) for r in rows], "j string, path int"), "j", layout)
+    assert {tuple(r) for r in found.collect()} == {
+        ("$", "unreadable", None, 2), ("$", "type", "STRING", 1), ("$.a", "type", "ARRAY", 1), ("$.a.b", "type", "STRING", 2),
+        ("$.a.c[*].d", "type", "NUMBER", 1), ("$.a.c[*].e", "unknown_key", "VOID", 1), ("$.m.*", "type", "STRING", 1),
+        ("$.z", "unknown_key", "OBJECT", 1), ("$.z", "unknown_key", "NUMBER", 1), ("$.z2", "unknown_key", "ARRAY", 1),
+    }
+    assert flatten.nested_drift(spark.createDataFrame([], "j string"), "j", layout).count() == 0
+
+
 def test_profile_shapes_and_keys(spark):
     df = spark.createDataFrame([("null", "1"), (" null", "x"), ("a", None), ("a", "y"), ("b", "null")], "p string, q string")
     assert dict(profiling.sentinel_profile(df).collect()) == {"p": 2, "q": 1}

@@ -124,6 +124,31 @@ def test_samples_are_limited_in_every_task(t):
     assert "WindowGroupLimit" in plan and ", Partial" in plan
 
 
+def final_plan(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_shape_audit_reads_its_input_once(t, full_text):
+    plan = final_plan(profiling.shape_audit(t.documents, {"source": "^s", "lang": "^e"}))
+    assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
+
+
+def test_contract_and_quarantine_are_evaluated_once(spark, t, full_text, tmp_path):
+    """What is read of either side is its own files: no key grouping, no join."""
+    from sievework.plans import order_quality
+    from workload.columns import DOCUMENTS
+
+    sides = [
+        *integrity.split_written(t.documents, DOCUMENTS, str(tmp_path / "d"), "r"),
+        *order_quality.quarantine(shop_orders(t), t.customer.selectExpr("c_custkey AS customer_id"), shop_items(t), str(tmp_path / "q")),
+    ]
+    for side in sides:
+        plan = physical(side)
+        assert "Exchange" not in plan and "Join" not in plan and "PartitionFilters: [isnotnull(route" in plan
+    assert sides[0].count() + sides[1].count() == t.documents.count() and sides[2].count() + sides[3].count() == t.orders.count()
+
+
 def test_profile_is_one_pass(t, full_text):
     plan = physical(profiling.sentinel_profile(t.documents))
     assert plan.count("FileScan") == 1

@@ -276,6 +276,24 @@ def unknown_keys(t):
     return flatten.unknown_keys(_readable(t), "custom_fields", layout.custom_fields())
 
 
+@query(
+    "q5_nested_drift",
+    RETURNS_SQL + """, r AS (SELECT * FROM g WHERE NOT object_failed)
+SELECT '$' AS path, 'unreadable' AS rule, NULL::VARCHAR AS found, count(*) AS n_rows FROM g WHERE object_failed
+UNION ALL SELECT '$.key' || l_linenumber, 'unknown_key', 'NUMBER', count(*) FROM r GROUP BY 1
+UNION ALL SELECT '$.labelCost', 'type', 'NUMBER', count(*) FROM r
+UNION ALL SELECT '$.pickupWindow', 'type', 'OBJECT', count(*) FROM r
+UNION ALL SELECT '$.outboundCustomFields.' || unnest(['PaymentType', 'Extra', 'productRecommendations.*']), unnest(['type', 'unknown_key', 'type']),
+  unnest(['NUMBER', 'OBJECT', 'ARRAY']), count(*) FROM r WHERE l_linestatus = 'O' GROUP BY 1, 2, 3""",
+)
+def nested_drift(t):
+    """All rows of the feed; in those of open lines a nested value has another type, a nested key is new and a map holds a list."""
+    df = returns_feed(t)
+    changed = F.regexp_replace("custom_fields", '"PaymentType":"PO"', '"PaymentType":0,"Extra":{"deep":[1]}')
+    changed = F.regexp_replace(changed, '("Extra".*"primary_skn[0-9]+":)("[0-9]+")', "$1[$2]")
+    return flatten.nested_drift(df.select(changed.alias("custom_fields")), "custom_fields", StructType.fromDDL(layout.CUSTOM_FIELDS))
+
+
 PUBLISHED_SQL = (
     RETURNS_SQL
     + """SELECT 'rt' || l_orderkey AS id, order_no, article_number,

@@ -325,7 +325,7 @@ FROM (SELECT *, o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal >=
 
 def _quarantine(t):
     in_credit = t.customer.filter("c_acctbal >= 0").select(F.col("c_custkey").alias("customer_id"))
-    return order_quality.quarantine(shop_orders(t), in_credit, shop_items(t))
+    return order_quality.quarantine(shop_orders(t), in_credit, shop_items(t), shared_folder(t.spark, "q10"))
 
 
 @query("q10_quarantine", f"SELECT * FROM ({QUARANTINE_SQL}) WHERE quarantine_reason <> ''")
