@@ -125,6 +125,22 @@ def order_fact(
     )
 
 
+def product_sketches(items: DataFrame, lg_k: int = 12) -> DataFrame:
+    """A sketch of each order's products, to be stored beside the order fact: counts of distinct products cannot be
+    added up over orders, sketches can be merged. 2**lg_k registers at most; an order with few products takes a few bytes."""
+    return items.groupBy("order_id").agg(F.hll_sketch_agg("product_id", F.lit(lg_k)).alias("product_sketch"))
+
+
+def products_by(orders: DataFrame, sketches: DataFrame, *by: Column | str) -> DataFrame:
+    """Distinct products of the orders of each group, estimated from their sketches without reading the items.
+
+    The relative standard error is 1.04 / sqrt(2**lg_k), 1.6 % with the default; groups of few products are exact.
+    Orders without items count no product.
+    """
+    merged = F.hll_sketch_estimate(F.hll_union_agg("product_sketch"))
+    return orders.join(sketches, "order_id", "left").groupBy(*by).agg(F.coalesce(merged, F.lit(0)).cast("long").alias("distinct_products"))
+
+
 def fact_orders(fact: DataFrame, revenue: str = RECORDED) -> DataFrame:
     """A stored order fact as orders for the revenue reports, by recorded or computed total."""
     if revenue not in (RECORDED, ITEM_TOTAL):

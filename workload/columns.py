@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import itertools
 from collections.abc import Iterable
 
 from pyspark.sql import functions as F
@@ -11,7 +12,8 @@ from sievework.contracts import Contract
 from sievework.functions import scalars, text
 from sievework.layouts import returns as layout
 from sievework.operators import cleaning, integrity, keys, profiling
-from sievework.plans import ingest, returns
+from sievework.plans import candidate_keys, ingest, returns
+from sievework.sources.files import literal_rows
 
 from .feeds import MONEY, RETURNS_SQL, returns_feed
 from .registry import query
@@ -304,6 +306,27 @@ def corrupt_timestamps(t):
     return profiling.tally(returns_feed(t), {c: profiling.misshapen(F.col(c), scalars.DAY_MINUTE_SHAPE) for c in columns})
 
 
+LINE_COLUMNS = """l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag
+l_linestatus l_shipdate""".split()
+LINE_SETS = [(c,) for c in LINE_COLUMNS] + list(itertools.combinations(LINE_COLUMNS, 2))
+
+
+@query(
+    "m5_minimal_keys",
+    "WITH sets AS ("
+    + " UNION ALL ".join(
+        f"SELECT {list(s)} AS cols FROM lineitem HAVING count(DISTINCT row({', '.join(s)})) = count(*)"
+        for s in LINE_SETS
+    )
+    + """) SELECT array_to_string(cols, ',') AS key FROM sets s
+         WHERE NOT EXISTS (SELECT 1 FROM sets k WHERE len(k.cols) < len(s.cols) AND list_has_all(s.cols, k.cols))""",
+)
+def minimal_keys(t):
+    """Of all columns and pairs of columns of the line items."""
+    found = candidate_keys.minimal_keys(t.lineitem.select(*LINE_COLUMNS))
+    return literal_rows(t.spark, [(",".join(k),) for k in found], "key string")
+
+
 @query(
     "m5_key_uniqueness",
     """SELECT 'l_orderkey' AS key, count(*) AS n_rows, count(DISTINCT l_orderkey) AS n_distinct, false AS is_unique FROM lineitem

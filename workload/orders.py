@@ -172,6 +172,21 @@ def rank_by_computed_total(t):
     return _money(reports.customer_rank(shop_customers(t), orders, DONE), "total_revenue")
 
 
+@query(
+    "f3_products_by_month",
+    """SELECT strftime(o_orderdate, '%Y-%m') AS month, count(DISTINCT l_partkey) AS n_products, true AS within_error
+       FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1""",
+)
+def products_by_month(t):
+    """Distinct products by month from stored sketches, held against the exact count: within four standard errors."""
+    month = F.date_format("order_date", "yyyy-MM").alias("month")
+    orders, items = shop_orders(t), shop_items(t)
+    estimate = reports.products_by(orders, stage(reports.product_sketches(items), "sketches"), month)
+    exact = orders.join(items, "order_id", "left").groupBy(month).agg(F.count_distinct("product_id").alias("n_products"))
+    off = F.abs(F.col("distinct_products") - F.col("n_products"))
+    return exact.join(estimate, "month").select("month", "n_products", (off <= 4 * 1.04 / 64 * F.col("n_products")).alias("within_error"))
+
+
 MISMATCH_SQL = """
 SELECT o_orderkey AS order_id, CAST(o_totalprice AS DECIMAL(18,2)) AS recorded_order_total,
        CAST(coalesce(t, 0) AS DECIMAL(18,2)) AS computed_order_total,
