@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import functools
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -88,7 +89,7 @@ def bucketed_order_fact(t, buckets=8):
     where = shared_folder(t.spark, "bucketed")
     stored = {}
     for name, df in (("orders", shop_orders(t)), ("items", shop_items(t))):
-        table = f"sievework_bucketed_{name}"
+        table = f"bucketed_{name}_{uuid.uuid4().hex[:12]}"
         write_bucketed(df, table, ["order_id"], buckets, f"{where}/{name}")
         stored[name] = t.spark.table(table)
     return reports.order_fact(stored["orders"], stored["items"], F.col("amount"))
@@ -258,7 +259,7 @@ def orders_without_items(t):
        FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""",
 )
 def duplicate_keys(t):
-    df = grouping.repeated_members(t.lineitem, ["l_orderkey", "l_linenumber"], "l_partkey")
+    df = grouping.repeated_members(t.lineitem, ["l_orderkey", "l_linenumber"], "l_partkey", spread_by=["l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"])
     return df.withColumn("members", F.array_join("members", ","))
 
 
@@ -315,7 +316,10 @@ def one_row_per_key(t):
 
 @query("f8_any_row_per_key", "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem")
 def any_row_per_key(t):
-    return grouping.any_per_key(t.lineitem, ["l_orderkey", "l_linenumber"]).select("l_orderkey", "l_linenumber")
+    """The keys of the rows picked; a row that is none of its group's would meet nothing and be missing."""
+    member = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+    picked = grouping.any_per_key(t.lineitem, ["l_orderkey", "l_linenumber"]).select(*member)
+    return picked.join(t.lineitem.select(*member).distinct(), member, "left_semi").select("l_orderkey", "l_linenumber")
 
 
 @query(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -11,7 +12,7 @@ from sievework.plans import ingest
 from sievework.session import shared_folder
 from sievework.sinks import keyed, snapshots
 from sievework.sinks.tables import publish_view, read_back, verify_write, write_table
-from sievework.sources.files import identify_files, load_typed_csv, read_table, read_text_csv
+from sievework.sources.files import identify_files, literal_rows, load_typed_csv, read_table, read_text_csv
 from sievework.streaming import incremental
 
 from .columns import DOCUMENTS
@@ -38,13 +39,26 @@ def text_csv(t):
 @query("a4_catalog_table", "SELECT * FROM customer WHERE c_acctbal > 0")
 def catalog_table(t):
     """A table known by name only; the filter still reaches its files."""
-    publish_view(t.customer, "customers_by_name")
-    return read_table(t.spark, "customers_by_name").filter("c_acctbal > 0")
+    name = f"customers_{uuid.uuid4().hex[:12]}"
+    publish_view(t.customer, name)
+    return read_table(t.spark, name).filter("c_acctbal > 0")
+
+
+@query(
+    "a6_literal_rows",
+    """SELECT o_orderstatus AS status, CASE o_orderstatus WHEN 'F' THEN 'finished' WHEN 'O' THEN 'open' ELSE 'in part' END AS meaning,
+              count(*) AS n_orders FROM orders GROUP BY 1""",
+)
+def literal_meanings(t):
+    """Rows written out in code, beside what the table holds."""
+    rows = literal_rows(t.spark, [("F", "finished"), ("O", "open"), ("P", "in part")], "status string, meaning string")
+    orders = t.orders.groupBy(F.col("o_orderstatus").alias("status")).agg(F.count("*").alias("n_orders"))
+    return orders.join(rows, "status")
 
 
 @query("b2_catalog_table_overwritten", "SELECT * FROM supplier")
 def catalog_table_overwritten(t):
-    name, path = "sievework_supplier", shared_folder(t.spark, "b2")
+    name, path = f"supplier_{uuid.uuid4().hex[:12]}", shared_folder(t.spark, "b2")
     n = 0
     for df in (t.supplier.filter("s_acctbal < 0"), t.supplier):
         n = write_table(df, path, table=name)
