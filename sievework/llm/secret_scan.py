@@ -1,16 +1,23 @@
 """Secret scans: character Markov models of random strings and ordinary identifiers.
 
-Rules find the usual forms of credentials. What they find, over all documents, is the labelled sample of
-random strings, and the characters outside of it are the sample of ordinary identifiers; two first-order
-Markov models are counted from them, one row per pair of characters. Any other long run of identifier
-characters is then a secret if the mean log-likelihood ratio of the two models says so.
-
-A NULL text counts as an empty one and has no span. Repeated rows are scanned each for itself.
+Rules find the usual forms of credentials. Every other run of identifier characters, of any length, and what a
+rule's match leaves of a run, is scored by first-order Markov models: one of ordinary identifiers, and one of random
+strings for each alphabet they are drawn from, mixed with equal weights. A run is a secret if the sum of its
+log-likelihood ratio is above ``MARGIN``, so that length and unlikeliness decide together.
+
+The models are trained from labelled samples that a seed draws (``labelled``): random strings of each alphabet, and
+identifiers, paths, numbers, dates and rules of the usual shapes. The ordinary model is, up to one half, that of the text of all documents
+outside of the rules' matches, so that the words of the corpus are ordinary in any language.
+
+A NULL text counts as an empty one and has no span. Repeated rows are scanned each for itself. An empty table gives
+none, and as a corpus it leaves the labelled samples. Very long texts are scored in blocks that end between runs. Further columns are not
+read, and kept by ``redact``.
 """
 
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 
 import numpy as np
@@ -32,18 +39,76 @@ KEYWORDS = ("passw", "secret", "token", "apikey", "api_key")
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 STATES = len(ALPHABET)
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-LETTER, DIGIT = re.compile(r"[A-Za-z]"), re.compile(r"[0-9]")
-#: nats per character by which the random model has to be likelier
-MARGIN = 1.0
-#: share of the uniform distribution in each model: random strings may use letters that the sample lacks
-UNIFORM_RANDOM, UNIFORM_ORDINARY = 0.5, 0.001
-
-CLASSES = np.full(256, STATES, np.int64)
+OUTSIDE = re.compile(r"[^A-Za-z0-9+/_=-]")
+#: nats by which a run has to be likelier as a random string
+MARGIN = 18.0
+#: share of the uniform distribution in the models of random strings and of ordinary identifiers
+UNIFORM_RANDOM, UNIFORM_ORDINARY = 0.02, 0.002
+#: strings of each kind that the models are trained from
+LABELLED, SEED = 4000, 17
+#: the corpus weighs less behind a character that it has about so often, or more rarely
+RARE = 1000
+BLOCK = 1 << 20
+
+# Alphabets of random strings.
+UPPER, LOWER, DIGITS = ALPHABET[:26], ALPHABET[26:52], ALPHABET[52:62]
+RANDOM_ALPHABETS = (
+    UPPER + LOWER + DIGITS, UPPER + LOWER + DIGITS + "+/", UPPER + LOWER + DIGITS + "-_", UPPER + DIGITS, LOWER + DIGITS,
+    DIGITS + "abcdef", DIGITS + "ABCDEF", LOWER, UPPER, UPPER + LOWER,
+)
+# Words that identifiers are made of.
+PARTS = (
+    "user name profile settings config backup file path index page list item order customer account session request response "
+    "server client service manager handler factory builder controller model view table column field value key type status state "
+    "error warning message event queue worker thread process system network address port host domain image video audio document "
+    "report summary article chapter section header footer content template style script module package version release update "
+    "create delete insert select read write open close start stop load save send receive parse format convert validate check test "
+    "data base store cache memory buffer stream input output source target local remote global public private default custom "
+    "first last next previous current total count number size length width height time date year month week day hour minute "
+    "api sql xml json yaml csv pdf html css cpu gpu url uri id uid utf sha md rfc http ftp ssh tls dns ip tcp udp app db io ui os "
+    "home about contact product category search result blog news how to build garden spring example com org www http https html"
+).split()
+
+CLASSES = np.full(256, STATES, np.uint8)
 for _i, _c in enumerate(ALPHABET):
     CLASSES[ord(_c)] = _i
 
 
+def labelled(n: int = LABELLED, seed: int = SEED) -> tuple[list[str], list[list[str]]]:
+    """Ordinary identifiers, and random strings of each alphabet."""
+    draw = random.Random(seed)
+
+    def number(most: int) -> str:
+        return "".join(draw.choice(DIGITS) for _ in range(draw.randint(1, most)))
+
+    def date() -> str:
+        return draw.choice(("{:04}-{:02}-{:02}", "{:04}/{:02}/{:02}", "{:04}{:02}{:02}", "{:04}_{:02}_{:02}")).format(
+            draw.randint(1950, 2049), draw.randint(1, 12), draw.randint(1, 28)
+        )
+
+    def identifier() -> str:
+        words = draw.choices(PARTS, k=draw.randint(1, 6))
+        if draw.random() < 0.3:
+            words.insert(draw.randint(1, len(words)), draw.choice(("v", "", "")) + number(4) + draw.choice(("", "", "", draw.choice(LOWER))))
+        shape = draw.randrange(9)
+        if shape == 0:
+            return "".join(w.capitalize() for w in words)
+        if shape == 1:
+            return words[0] + "".join(w.capitalize() for w in words[1:])
+        if shape == 2:
+            return "_".join(words).upper()
+        if shape == 3:
+            return "/" * draw.randint(0, 2) + "/".join([*words, date()][draw.randint(0, 1):])
+        if shape == 4:
+            return "/".join(["-".join(words), number(8), "_".join(draw.choices(PARTS, k=2))])
+        if shape == 5:
+            return draw.choice((date(), number(24), draw.choice("-_=+/") * draw.randint(2, 60), words[0] + "=" + words[-1]))
+        return ("_", "-", "")[shape - 6].join(words)
+
+    strings = [["".join(draw.choices(a, k=draw.randint(8, 48))) for _ in range(n)] for a in RANDOM_ALPHABETS]
+    return [identifier() for _ in range(4 * n)], strings
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, end, kind) of the rules' matches, in code points; a match that fails its length is used up."""
     spans = []
@@ -56,66 +121,88 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
-def transitions(text: str) -> np.ndarray:
+def classes(text: str) -> np.ndarray:
+    """The class of each code point; what is not in the alphabet has class ``STATES``."""
+    return CLASSES[np.minimum(np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32), 255)]
+
+
+def transitions(codes: np.ndarray) -> np.ndarray:
     """Counts of neighbouring characters of the alphabet, row-major."""
-    codes = CLASSES[np.frombuffer(text.encode("ascii", "replace"), np.uint8)]
     both = (codes[:-1] < STATES) & (codes[1:] < STATES)
-    return np.bincount((codes[:-1] * STATES + codes[1:])[both], minlength=STATES * STATES)
+    return np.bincount((codes[:-1].astype(np.int64) * STATES + codes[1:])[both], minlength=STATES * STATES)
 
 
-def samples(text: str) -> tuple[list[str], str]:
-    """The random strings of a text, and the rest of it."""
-    random, rest, at = [], [], 0
-    for start, end, kind in base_spans(text):
-        found = text[start:end]
-        random.append(ASSIGN.match(found)[2] if kind == 0 else found)
-        rest.append(text[at:max(at, start)])
-        at = max(at, end)
-    return random, "\n".join([*rest, text[at:]])
+def blocks(text: str):
+    """(start, part) of a text; a part ends where a run does."""
+    at = 0
+    while at < len(text):
+        end = OUTSIDE.search(text, at + BLOCK)
+        end = end.end() if end else len(text)
+        yield at, text[at:end]
+        at = end
+
+
+def without(codes: np.ndarray, at: int, spans: list[tuple[int, int, int]]) -> np.ndarray:
+    """The classes of a part that starts at this place, with the spans outside of the alphabet."""
+    for start, end, _ in spans:
+        codes[max(0, start - at):max(0, end - at)] = STATES
+    return codes
+
+
+def chances(counts: np.ndarray, uniform: float) -> np.ndarray:
+    counts = counts.reshape(STATES, STATES).astype(float)
+    totals = counts.sum(1, keepdims=True)
+    seen = np.divide(counts, totals, out=np.full_like(counts, 1 / STATES), where=totals > 0)
+    return (1 - uniform) * seen + uniform / STATES
 
 
 def fit(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """Log-likelihood ratios (random to ordinary) of character pairs, counted over all documents."""
+    """Log-likelihood ratios of character pairs: a row per pair of classes, a column per model of random strings."""
 
     def count(batches):
-        sums = np.zeros((2, STATES * STATES), np.int64)
+        sums = np.zeros(STATES * STATES, np.int64)
         for part in row_slices(batches):
             for one in part.column(0).to_pylist():
-                if one:
-                    random, rest = samples(one)
-                    sums[0] += transitions("\n".join(random))
-                    sums[1] += transitions(rest)
-        which, pair = np.nonzero(sums)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(which), pa.array(pair), pa.array(sums[which, pair])], names=["which", "pair", "n"]
-        )
-
-    counted = docs.select(F.col(text).cast("string")).mapInArrow(count, "which long, pair long, n long")
-    sums = np.zeros((2, STATES * STATES))
-    # one row per model and pair of characters: twice 67 * 67 at most
-    for row in counted.groupBy("which", "pair").agg(F.sum("n").alias("n")).collect():
-        sums[row.which, row.pair] = row.n
-    logs = []
-    for counts, uniform in zip(sums.reshape(2, STATES, STATES), (UNIFORM_RANDOM, UNIFORM_ORDINARY), strict=True):
-        totals = counts.sum(1, keepdims=True)
-        seen = np.divide(counts, totals, out=np.full_like(counts, 1 / STATES), where=totals > 0)
-        logs.append(np.log((1 - uniform) * seen + uniform / STATES))
-    return (logs[0] - logs[1]).ravel()
+                found = base_spans(one or "")
+                for at, some in blocks(one or ""):
+                    sums += transitions(without(classes(some), at, found))
+        pair = np.nonzero(sums)[0]
+        yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(sums[pair])], names=["pair", "n"])
+
+    counted = docs.select(F.col(text).cast("string")).mapInArrow(count, "pair long, n long")
+    corpus = np.zeros(STATES * STATES)
+    # a row per pair of characters: 67 * 67 at most
+    for row in counted.groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        corpus[row.pair] = row.n
+    identifiers, strings = labelled()
+    ordinary = chances(transitions(classes("\n".join(identifiers))), UNIFORM_ORDINARY)
+    followed = corpus.reshape(STATES, STATES).sum(1, keepdims=True)
+    share = 0.5 * followed / (followed + RARE)
+    ordinary = (1 - share) * ordinary + share * chances(corpus, UNIFORM_ORDINARY)
+    ratios = np.zeros((STATES + 1, STATES + 1, len(strings)))
+    for k, some in enumerate(strings):
+        ratios[:-1, :-1, k] = np.log(chances(transitions(classes("\n".join(some))), UNIFORM_RANDOM) / ordinary)
+    return ratios.reshape(-1, len(strings))
 
 
 def spans_of(text: str, ratios: np.ndarray) -> list[tuple[int, int, int]]:
     """All spans of a text: the rules' and those that only the models find."""
     found = base_spans(text)
     more = []
-    for m in CANDIDATE.finditer(text):
-        run = m[0]
-        if not (LETTER.search(run) and DIGIT.search(run)):
-            continue
-        if any(s < m.end() and m.start() < e for s, e, _ in found):
-            continue
-        codes = CLASSES[np.frombuffer(run.encode("ascii"), np.uint8)]
-        if ratios[codes[:-1] * STATES + codes[1:]].mean() > MARGIN:
-            more.append((m.start(), m.end(), 3))
+    highest = ratios.max(1)
+    for at, part in blocks(text):
+        codes = without(classes(part), at, found)
+        inside = np.concatenate([[0], codes < STATES, [0]]).astype(np.int8)
+        edges = np.flatnonzero(np.diff(inside))
+        starts, ends = edges[::2], edges[1::2]
+        pairs = codes[:-1].astype(np.int32) * (STATES + 1) + codes[1:]
+        sums = np.concatenate([[0.0], np.cumsum(highest[pairs])])
+        # no model's sum is above that of the highest ratios
+        for k in np.flatnonzero(sums[ends - 1] - sums[starts] > MARGIN):
+            start, end = int(starts[k]), int(ends[k])
+            each = ratios[pairs[start:end - 1]].sum(0)
+            if np.logaddexp.reduce(each) - np.log(len(each)) > MARGIN:
+                more.append((at + start, at + end, 3))
     return sorted(found + more)
 
 
