@@ -33,10 +33,6 @@ def op2_html_crf(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return line_dedup.repeats(table(spark, folder, "documents"), line_dedup.MIN_WORDS)
-
-
-def op3_line_dedup_whole(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.repeats(table(spark, folder, "documents"))
 
 
