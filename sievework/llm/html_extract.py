@@ -6,8 +6,9 @@ marks, capitals, digits). Two states, main text and the rest, are scored by a li
 was trained on labelled pages and is decoded with Viterbi. The labelled pages come from ``labelled_pages``,
 a seeded grammar of page layouts in which every block is marked; the weights depend on nothing else.
 
-A NULL or empty page has an empty text, as has a page without main text. Repeated rows are read each for
-itself.
+A NULL or empty page has an empty text, as has a page without main text; an empty table gives none. Repeated rows
+are read each for itself, long and deep pages whole, and further columns are left out. A quoted value that never
+closes ends with its tag; of the elements whose content is no text only ``svg`` and ``math`` may close themselves.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from __future__ import annotations
 import html as entities
 import random
 import re
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
@@ -26,6 +28,7 @@ from .common import row_slices
 
 # What HTML says about elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+SELF_CLOSING = frozenset(("svg", "math"))
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template svg math".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
@@ -42,7 +45,8 @@ SCOPES = frozenset("ul ol dl table select article section div body aside nav mai
 TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
-    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
+    r"|<([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*\"|'[^']*'|(?![\"'])))*+)(?:>|\Z)"
+    r"|<([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)",  # a value whose quote never closes
     re.DOTALL,
 )
 ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
@@ -57,7 +61,8 @@ def blocks_of(page: str) -> list[tuple[str, list[str], int]]:
     out: list[tuple[str, list[str], int]] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     texts: list[str] = []
-    links, in_link, at, quiet = 0, 0, 0, ""
+    links, in_link, at = 0, 0, 0
+    inside: Counter[str] = Counter()  # features of all ancestors, and how many have each
 
     def flush():
         nonlocal links
@@ -67,24 +72,29 @@ def blocks_of(page: str) -> list[tuple[str, list[str], int]]:
                 path = ["at:" + next((t for t, _ in reversed(stack) if t in BLOCKS), "")]
                 holder, names = next(((t, w) for t, w in reversed(stack) if t in HOLDERS), ("", ()))
                 path += ["own:" + holder + w[2:] for w in names] or ["own:" + holder]
-                for tag, words in stack:
-                    path.append("in:" + tag)
-                    path.extend(words)
-                out.append((text, path, links))
+                out.append((text, [*path, *inside], links))
             texts.clear()
         links = 0
 
+    def leave(k: int):
+        while len(stack) > k:
+            tag, words = stack.pop()
+            for name in ("in:" + tag, *words):
+                inside[name] -= 1
+                if not inside[name]:
+                    del inside[name]
+
     def pop(tags, within=SCOPES):
         for k in range(len(stack) - 1, -1, -1):
             if stack[k][0] in tags:
-                del stack[k:]
+                leave(k)
                 return
             if stack[k][0] in within:
                 return
 
     def add(raw: str):
         nonlocal links
-        if raw and not quiet:
+        if raw:
             text = entities.unescape(raw)
             texts.append(text)
             if in_link:
@@ -97,7 +107,7 @@ def blocks_of(page: str) -> list[tuple[str, list[str], int]]:
             break
         add(page[at:m.start()])
         at = m.end()
-        close, opened = m[1], m[2]
+        close, opened, attributes = m[1], m[2] or m[4], m[3] or m[5] or ""
         if close:
             tag = close.lower()
             if tag == "a":
@@ -109,14 +119,14 @@ def blocks_of(page: str) -> list[tuple[str, list[str], int]]:
             if tag in BLOCKS or tag in ("a", "b", "i", "span", "em", "strong"):
                 for k in range(len(stack) - 1, -1, -1):
                     if stack[k][0] == tag:
-                        del stack[k:]
+                        leave(k)
                         break
                     if tag not in BLOCKS and stack[k][0] in BLOCKS:
                         break
         elif opened:
             tag = opened.lower()
             if tag in RAW:  # its content is no text of the page
-                if not m[3].rstrip().endswith("/"):
+                if tag not in SELF_CLOSING or not attributes.rstrip().endswith("/"):
                     end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.IGNORECASE).search(page, at)
                     at = end.end() if end else len(page)
                 continue
@@ -131,15 +141,15 @@ def blocks_of(page: str) -> list[tuple[str, list[str], int]]:
                 if tag in CLOSES and tag != "p":
                     pop(CLOSES[tag])
                 if tag in HEADINGS and stack and stack[-1][0] in HEADINGS:
-                    stack.pop()
+                    leave(len(stack) - 1)
             if tag in VOID:
                 continue
             if tag in BLOCKS or tag in ("span", "a", "b", "i", "em", "strong"):
                 words = []
-                if m[3]:
-                    for a in ATTRIBUTE.finditer(m[3]):
-                        words += ["is:" + w.lower() for w in WORD.findall(a[2] or a[3] or a[4] or "")]
-                stack.append((tag if tag in BLOCKS else "inline", tuple(words)) if tag in BLOCKS else (tag, tuple(words)))
+                for a in ATTRIBUTE.finditer(attributes):
+                    words += ["is:" + w.lower() for w in WORD.findall(a[2] or a[3] or a[4] or "")]
+                stack.append((tag, tuple(words)))
+                inside.update(("in:" + tag, *words))
     flush()
     return out
 
