@@ -3,11 +3,12 @@
 A document's bytes are cut into overlapping chunks that cover all of it. Learned filters run over the
 embedded bytes of each chunk, each filter keeps its largest response in the chunk, and the means of these
 over the chunks, weighted and summed, give one probability. It is fitted on a bounded sample of labelled
-documents (``TRAIN_DOCS``, drawn by hash of the id); of each, ``TRAIN_CHUNKS`` chunks spread over the whole
-text are used. Scoring reads every byte.
+documents (``TRAIN_DOCS``, drawn by hash of the id), each with all its chunks. Scoring reads every byte. Very
+long texts go through the filters in blocks of ``CHUNKS_AT_ONCE`` chunks, in training as in scoring.
 
-A NULL text counts as an empty one, which has one empty chunk. Several labels of an id are averaged. Where
-there is no labelled document that may be learned from, every score is 0.5.
+A NULL text counts as an empty one, which has one empty chunk. Several labels of an id are averaged; of several
+texts of a labelled id the least is learned from. Repeated rows are scored each for itself. Where there is no
+labelled document that may be learned from, as with an empty table, every score is 0.5. Further columns are not read.
 """
 
 from __future__ import annotations
@@ -21,8 +22,8 @@ from .common import row_slices, sampled
 
 CHUNK, HOP, STRIDE = 512, 448, 4
 EMBED, FILTERS = 8, 32
-#: labelled documents that are learned from at most, and chunks of each
-TRAIN_DOCS, TRAIN_CHUNKS = 3000, 8
+#: labelled documents that are learned from at most, each with all its chunks
+TRAIN_DOCS = 3000
 EPOCHS, BATCH, RATE = 8, 64, 0.01
 CHUNKS_AT_ONCE = 512
 SPAN = STRIDE * EMBED  # floats of a half window; a window is two halves
@@ -82,23 +83,24 @@ class Network:
 
     def step(self, chunks: np.ndarray, owner: np.ndarray, labels: np.ndarray) -> list[np.ndarray]:
         """Gradients of the mean log loss of some documents; owner: document of each chunk."""
-        top, place = self.pooled(chunks, places=True)
+        blocks = [slice(at, at + CHUNKS_AT_ONCE) for at in range(0, len(chunks), CHUNKS_AT_ONCE)]
+        top, place = (np.concatenate(x) for x in zip(*(self.pooled(chunks[b], places=True) for b in blocks), strict=True))
         share = 1 / np.bincount(owner, minlength=len(labels))
         mean = np.zeros((len(labels), FILTERS))
         np.add.at(mean, owner, top * share[owner, None])
         wrong = (1 / (1 + np.exp(-np.clip(mean @ self.out + self.shift, -30, 30))) - labels) / len(labels)
         back = (wrong[owner] * share[owner])[:, None] * self.out * (top > 0)
-        offsets = place[:, :, None] * STRIDE + np.arange(2 * STRIDE)
-        window = chunks[np.arange(len(chunks))[:, None, None], offsets]  # chunk, filter, byte of the window
-        inside = self.embed[window].reshape(len(chunks), FILTERS, 2 * SPAN)
-        d_filters = np.einsum("cf,cfk->kf", back, inside)
-        d_inside = (back[:, :, None] * self.filters.T[None]).reshape(-1, EMBED)
-        d_embed = np.stack(
-            [np.bincount(window.ravel(), d_inside[:, e], minlength=256) for e in range(EMBED)], axis=1
-        )
+        d_filters, d_embed = np.zeros((2 * SPAN, FILTERS)), np.zeros((256, EMBED))
+        for b in blocks:
+            offsets = place[b][:, :, None] * STRIDE + np.arange(2 * STRIDE)
+            window = chunks[b][np.arange(len(offsets))[:, None, None], offsets]  # chunk, filter, byte of the window
+            inside = self.embed[window].reshape(len(offsets), FILTERS, 2 * SPAN)
+            d_filters += np.einsum("cf,cfk->kf", back[b], inside)
+            d_inside = (back[b][:, :, None] * self.filters.T[None]).reshape(-1, EMBED)
+            d_embed += np.stack([np.bincount(window.ravel(), d_inside[:, e], minlength=256) for e in range(EMBED)], axis=1)
         return [d_embed, d_filters, back.sum(0), mean.T @ wrong, np.array([wrong.sum()])]
 
-    def train(self, documents: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 11) -> None:
+    def train(self, documents: list[bytes], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 11) -> None:
         draw = np.random.default_rng(seed)
         first = [np.zeros_like(p, dtype=np.float64) for p in self.parameters()]
         second = [np.zeros_like(p, dtype=np.float64) for p in self.parameters()]
@@ -107,8 +109,9 @@ class Network:
             order = draw.permutation(len(documents))
             for at in range(0, len(order), BATCH):
                 batch = order[at:at + BATCH]
-                owner = np.repeat(np.arange(len(batch)), [len(documents[i]) for i in batch])
-                grads = self.step(np.concatenate([documents[i] for i in batch]), owner, labels[batch])
+                cut = [chunks_of(documents[i]) for i in batch]
+                owner = np.repeat(np.arange(len(batch)), list(map(len, cut)))
+                grads = self.step(np.concatenate(cut), owner, labels[batch])
                 count += 1
                 rate = RATE * (1 - count / (steps + 1))
                 for p, g, a, b in zip(self.parameters(), grads, first, second, strict=True):
@@ -128,25 +131,12 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, train_docs: int =
         F.broadcast(marks), "doc_id"
     )
 
-    def some(batches):
-        for part in row_slices(batches):
-            packed = []
-            for text in part.column(1).to_pylist():
-                every = chunks_of(text.encode("utf-8", "replace"))
-                packed.append(every[np.unique(np.linspace(0, len(every) - 1, TRAIN_CHUNKS).astype(int))].tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(packed, pa.binary()), part.column(2)], names=["doc_id", "chunks", "label"]
-            )
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    drawn = drawn.mapInArrow(some, f"doc_id {kind}, chunks binary, label double")
     # one row of an id, so repeated ids cannot outgrow the bound
-    rows = drawn.groupBy("doc_id").agg(F.min("chunks").alias("chunks"), F.first("label").alias("label")).collect()
+    rows = drawn.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label")).collect()
     rows.sort(key=lambda r: str(r["doc_id"]))
     network = Network()
     if rows:
-        documents = [np.frombuffer(r["chunks"], np.uint8).reshape(-1, CHUNK) for r in rows]
-        network.train(documents, np.array([r["label"] for r in rows]))
+        network.train([r["text"].encode("utf-8", "replace") for r in rows], np.array([r["label"] for r in rows]))
     else:
         network.out[:] = 0
     return network
