@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import regex as rx
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -75,8 +76,53 @@ def test_secret_model_finds_random_strings_only(spark, documents):
     assert masked[3].text == "key [secret] here" and masked[3].n_chars == len(masked[3].text) and masked[1].row == "x"
 
 
+def test_secret_models_by_length_and_alphabet(spark, documents):
+    """Recall of planted strings from 16 characters, precision on identifiers of words that the models were not given."""
+    draw = random.Random(8)
+    ratios = secret_scan.fit(documents([(1, prose(4000, 2))]))
+    for alphabet in secret_scan.RANDOM_ALPHABETS:
+        for n in (16, 20, 32):
+            texts = ["key " + "".join(draw.choices(alphabet, k=n)) + " here" for _ in range(100)]
+            hits = sum(any(s <= 4 and e >= 4 + n for s, e, _ in secret_scan.spans_of(t, ratios)) for t in texts)
+            assert hits >= 90, (alphabet, n, hits)
+    words = "weather forecast temperature humidity quantity warehouse shipping invoice payment gateway tracker deployment repository".split()
+    wrong = 0
+    for _ in range(1000):
+        some = draw.choices(words, k=draw.randint(1, 5))
+        name = draw.choice(("_".join(some), "-".join(some), "/".join(some), "".join(w.capitalize() for w in some), "_".join(some).upper(), "".join(some)))
+        wrong += bool(secret_scan.spans_of(name + draw.choice(("", "", "_v2", "-01", "/2024/05/17", "123")), ratios))
+    assert wrong <= 2
+    for text in ("example.com/articles/2024/how-to-build-a-garden-in-spring", "user_profile_settings_v2_backup_file", "2024-01-31T12:33:01Z", "-" * 400):
+        assert secret_scan.spans_of(text, ratios) == []
+
+
+def test_secret_models_score_what_rules_leave_of_a_run(spark, documents):
+    ratios = secret_scan.fit(documents([]))
+    text = "see qZ8xK2vW9pLm4RtY/" + "0123456789abcdef" * 2 + " there"
+    assert secret_scan.written(secret_scan.spans_of(text, ratios)) == "model:4:21,hex:21:53"
+    long = ("word " * 300_000) + "qZ8xK2vW9pLm4RtY7bNc1Q" + " word" * 300_000
+    assert secret_scan.written(secret_scan.spans_of(long, ratios)) == f"model:{5 * 300_000}:{5 * 300_000 + 22}"
+    assert secret_scan.scan(documents([]), ratios).count() == 0 == secret_scan.redact(documents([]), ratios).count()
+
+
 # --- language
 
+def test_texts_of_a_language_left_out_are_unsure(spark, documents):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held_out = held(docs["doc_id"], 5, 0)
+    learned = language_id.fit(docs, ~held_out)
+    sure = F.col("score") >= 0.5
+    right = language_id.predict(docs, learned, held_out).filter("held_out AND lang_pred <> 'und'")
+    assert right.filter(~sure).count() <= 0.01 * right.count()
+    for lang in ("fr", "de"):
+        model = language_id.fit(docs.filter(f"lang <> '{lang}'"), F.lit(True))
+        out = language_id.predict(docs.filter(f"lang = '{lang}'"), model, F.lit(True)).filter("lang_pred <> 'und'")
+        assert out.filter(~sure).count() >= 0.9 * out.count()
+    draw = random.Random(3)
+    noise = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz0123456789 ", k=200)) for _ in range(50)]
+    assert all(s < 0.5 for _, s in language_id.judged([*noise, "for (int i = 0; i < n; i++) { if (a[i] > max) max = a[i]; }", "Все люди рождаются свободными"], learned))
+
+
 def test_language_on_held_out_and_awkward_rows(spark, documents):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     held_out = held(F.col("doc_id"), 5, 0)
@@ -95,7 +141,8 @@ def test_language_with_little_to_learn(spark, documents):
     none = language_id.fit(docs, F.lit(False))
     assert {r.lang_pred for r in language_id.predict(docs, none, F.lit(True)).collect()} == {"und"}
     one = language_id.fit(docs, F.lit(True))
-    assert {(r.lang_pred, r.score) for r in language_id.predict(docs, one, F.lit(True)).collect()} == {("fr", 1.0)}
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language_id.predict(docs, one, F.lit(True)).collect()}
+    assert {p for p, _ in got.values()} == {"fr"} and got[2][1] > 0.9 > 0.5 > got[1][1] >= 0
     assert language_id.predict(documents([]), language_id.fit(documents([]), F.lit(True)), F.lit(True)).count() == 0
 
 
@@ -109,6 +156,7 @@ def test_quality_on_held_out_and_awkward_rows(spark, documents):
     assert both.filter("predicted = quality").count() >= 0.9 * both.count()
     rows = quality.score(documents(ROWS), network, held_out).collect()
     assert len(rows) == len(ROWS) and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in rows)
+    assert quality.score(documents([]), network, held_out).count() == 0
     nothing = quality.fit(docs, labels.limit(0), ~held_out)
     assert {r.score for r in quality.score(documents(ROWS), nothing, held_out).collect()} == {0.5}
 
@@ -123,8 +171,41 @@ def test_quality_chunks_cover_every_byte():
         assert bytes(joined[:n]) == data
 
 
+def test_quality_learns_from_every_chunk():
+    """What sets the classes apart stands late in long texts, and blocks of chunks give the gradient of all."""
+    filler = "plain words of no great meaning " * 400
+    texts = [(filler + ("good sense " * 300 if i % 2 else "BAD!!1 CLICK ") * (1 + i % 3)).encode() for i in range(40)]
+    network = quality.Network()
+    chunks = [quality.chunks_of(t) for t in texts[:4]]
+    owner, labels = np.repeat(np.arange(4), list(map(len, chunks))), np.array([0.0, 1, 0, 1])
+    whole = network.step(np.concatenate(chunks), owner, labels)
+    old, quality.CHUNKS_AT_ONCE = quality.CHUNKS_AT_ONCE, 7
+    parts = network.step(np.concatenate(chunks), owner, labels)
+    quality.CHUNKS_AT_ONCE = old
+    assert all(np.allclose(a, b, rtol=1e-3, atol=1e-6) for a, b in zip(whole, parts, strict=True))
+
+
 # --- pages
 
+def test_markup_with_faults():
+    texts = lambda page: [t for t, *_ in html_extract.blocks_of(page)]
+    assert texts("<p>one<script src=/a.js/>var x = 1;</script><p>two") == ["one", "two"]
+    assert texts('<p title="abc>first</p><p>second</p>') == ["first", "second"]
+    assert texts("<p data=it's>Don't</p><p>that's</p>") == ["Don't", "that's"]
+    assert texts('<p title="a > b">x</p><svg/><p>y') == ["x", "y"]
+    deep = "<div class='Box'>" * 20_000 + "inner" + "</div>" * 20_000 + "<p>outer"
+    blocks = html_extract.blocks_of(deep)
+    assert [t for t, *_ in blocks] == ["inner", "outer"] and "is:box" in blocks[0][1] and "is:box" not in blocks[1][1]
+
+
+def test_extraction_of_awkward_tables(spark):
+    long = "<article>" + "<p>A sentence of the story that goes on and on.</p>" * 20_000 + "</article>"
+    rows = spark.createDataFrame([(1, "u", long, 5), (1, "u", long, 5), (None, None, "<p>", None)], "page_id long, url string, html string, text long")
+    got = html_extract.extract(rows).collect()
+    assert len(got) == 3 and got[0].text == got[1].text and got[0].text.count("story") == 20_000
+    assert html_extract.extract(rows.limit(0)).count() == 0
+
+
 def test_extraction(spark):
     pages = [
         (1, "u", None), (2, "u", ""), (3, "u", "<p>"),
@@ -169,6 +250,17 @@ def test_short_lines_and_scripts_without_blanks_repeat_too(spark, documents):
     assert got == {(2, "all  rights reserved.\n", 1), (2, "版权所有，侵权必究。\n", 1)}
 
 
+def test_repeats_are_removed_and_hot_lines_kept_once(spark, documents):
+    rows = [*((i, f"common line\nown {i}\n" + ("pair of two\n" if i < 2 else "")) for i in range(2000)), (5001, ""), (5000, None)]
+    docs = documents(rows)
+    got = {r.doc_id: r for r in line_dedup.deduplicated(docs).collect()}
+    assert len(got) == 2000 + 2 and line_dedup.deduplicated(docs).columns == [*docs.columns, "kept_spans"]
+    assert got[0].text == "common line\nown 0\npair of two\n" and got[1500].text == "own 1500\n" and got[1500].row == "x"
+    assert got[1500].kept_spans == [(12, 21)] and got[5000].text is None and got[5000].kept_spans is None
+    assert line_dedup.repeats(docs).filter("doc_id BETWEEN 10 AND 1999").count() == 1990
+    assert line_dedup.deduplicated(documents([])).count() == 0
+
+
 # --- packing
 
 def test_packing_is_a_whole_round_trip(spark, documents):
@@ -278,14 +370,6 @@ def test_pair_probabilities_sum_to_one(spark):
     assert math.isclose(sum(p for (u, _), p in got.items() if u == b"cd"), 1, rel_tol=1e-9)
 
 
-def test_spelling_keeps_its_order_whatever_the_vocabulary(spark, documents, monkeypatch):
-    docs = documents([(i, prose(60, i)) for i in range(12)])
-    want = {r.doc_id: r.score for r in pitman_yor.score(docs, F.col("doc_id") < 3).collect()}
-    monkeypatch.setattr(pitman_yor, "SPELL_ROWS", 1, raising=False)
-    got = {r.doc_id: r.score for r in pitman_yor.score(docs, F.col("doc_id") < 3).collect()}
-    assert all(math.isclose(got[i], want[i], rel_tol=0.02) for i in want)
-
-
 def test_staged_spelling_sums_to_one(spark):
     words = spark.createDataFrame([(bytearray(w.encode()), 1 + len(w)) for w in WORDS], "word binary, tables long")
     letters = pitman_yor.Letters()
@@ -328,6 +412,79 @@ def test_inconsistent_slots_are_no_copy(spark, documents):
     assert got == {1}
 
 
+def plain_template(text):
+    """Tokens of (literal, types, values), written anew with another engine."""
+    text = rx.sub("[\x01-\x04]", " ", text or "")
+    if rx.search(r"[0-9]", text):
+        units = template_windows.UNITS
+        text = rx.sub(rf"(?i)(?<![\p{{L}}\p{{N}}])([0-9]+(?:[.,:][0-9]+)*)(?=(?:{units})?(?![\p{{L}}\p{{N}}]))", "\x01\\1", text)
+        text = rx.sub(rf"(?i)\x01([0-9.,:]*[0-9]) ?({units})(?![\p{{L}}\p{{N}}])", "\x01\\1 \x02\\2", text)
+        text = rx.sub(r"(?<=[0-9])[.,:](?=[0-9])", "\x04", text)
+    text = rx.sub(r"(?<=[\p{Ll}\p{Nd},;] )(\p{Lu}\p{Ll}+)", "\x03\\1", text)
+    out = []
+    for word in rx.sub(r"[^\p{L}\p{N}\x01-\x04]+", " ", text).lower().split():
+        if word[0] in "\x01\x02\x03":
+            if out:
+                out[-1][1].append(word)
+        else:
+            at = next((i for i, c in enumerate(word) if c in "\x01\x02\x03"), len(word))
+            out.append((word[:at], []))
+            out[-1][1].extend(rx.findall("[\x01-\x03][^\x01-\x03]*", word[at:]))
+    return out
+
+
+def plain_windows(tokens, n):
+    for i in range(len(tokens) - n + 1):
+        some = tokens[i:i + n]
+        yield i, (*((w, *(v[0] for v in vs)) for w, vs in some[:-1]), some[-1][0]), [v for _, vs in some[:-1] for v in vs]
+
+
+def plain_matches(doc, item):
+    tw, want = template_windows, plain_template(item)
+    got, n = plain_template(doc), len(plain_template(item))
+    size = n + sum(len(v) for _, v in want)
+    for length in range(tw.LEAST_LITERAL, tw.WINDOW + 1):
+        windows = [w for w in plain_windows(want, length) if length == tw.WINDOW or (w[0] + length == n and w[0] <= 1 and size - w[0] >= tw.LEAST_WORDS)]
+        spots = defaultdict(list)
+        for i, shape, values in plain_windows(got, length):
+            for k, other, own in windows:
+                if shape == other:
+                    spots[i - k].append((k, list(zip(own, values))))
+        for some in spots.values():
+            pairs = {p for _, ps in some for p in ps}
+            cover = {k + x for k, _ in some for x in range(length)}
+            if len(pairs) == len({a for a, _ in pairs}) and len(cover) >= min(tw.ENOUGH, math.ceil(n * tw.SHARE)):
+                return True
+    return False
+
+
+ITEMS = [
+    "What is 12 plus 15 minus 4", "every planet has seven moons and rings", "name the river that runs through the old capital city",
+    "In der Stadt Berlin kauft Anna 12 Äpfel und gibt 5 davon ihrem Bruder Karl der in Hamburg bei Maria wohnt",
+    "please write a short summary of the following text about how glaciers shape valleys over many thousands of years and carry rocks to the sea",
+    "Pay 1,234.50 dollars or 120km fuel to Anna at 10:30 with 5 kg of rice and 7 litres of milk before noon", ITEM, None, "", "too short", "12 13 14",
+]
+
+
+def test_decontamination_against_brute_force_at_every_alignment(spark, documents):
+    draw, texts, copies = random.Random(4), [], []
+    for k, item in enumerate(ITEMS[:7]):
+        for before in range(4):
+            changed = re.sub(r"[0-9]+", lambda m: str(int(m[0]) + 3), item)
+            for form in (item, changed):
+                texts.append("so " * before + form + " and so on it goes")
+                copies.append((len(texts), k + 1))
+        texts.append(" ".join(draw.sample(item.split(), len(item.split()))))
+        half = item.split()
+        texts += [" ".join(half[: len(half) // 3]) + " something else", " ".join(half[len(half) // 3:])]
+    texts.append("dear friend " * 20 + "please write a short summary of the following " + "letter words here " * 20)
+    texts += ["too short", "", None, prose(3000, 9), "12 13 14"]
+    bench = spark.createDataFrame([(k + 1, t) for k, t in enumerate(ITEMS)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in template_windows.report(documents(list(enumerate(texts, 1))), bench).collect()}
+    assert got == {(i, k) for i, t in enumerate(texts, 1) for k, item in enumerate(ITEMS, 1) if plain_matches(t, item)}
+    assert set(copies) <= got and not any(i == len(texts) - 5 for i, _ in got)
+
+
 # --- near duplicates
 
 def brute_classes(rows):
@@ -373,13 +530,27 @@ def test_query_runs(spark, name):
     assert queries.QUERIES[name](spark, FOLDER).count() > 0
 
 
-def test_pipeline(spark, documents):
-    bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+def test_pipeline(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     for name, work in corpus_pipeline.STAGES[:-1]:
         after = work(spark, docs, FOLDER)
         assert after.columns == docs.columns and 0 < after.count() <= docs.count(), name
         docs = after
-    assert bench.count() == 1
     kept = {r.doc_id for r in docs.select("doc_id").collect()}
     assert {r.doc_id for r in corpus_pipeline.run(spark, FOLDER).select("doc_id").collect()} == kept
+
+
+def test_pipeline_on_awkward_rows(spark, documents, tmp_path):
+    given = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text", "lang").limit(60).collect()
+    noise = "".join(random.Random(3).choices("abcdefghijklmnopqrstuvwxyz0123456789 ", k=400))
+    english = next(r.text for r in given if r.lang == "en" and len(r.text) > 400)
+    rows = [(r.doc_id + 1000, r.text, r.lang) for r in given]
+    rows += [(1, None, "en"), (2, "", None), (3, " \n", "en"), (4, english * 300, "en"), (5, english, "en"), (5, english, "en"), (None, english, "en"), (6, noise, "en"), (7, f"{english} {ITEM}.", "en")]
+    documents(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, ITEM), (2, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    ids = {r.doc_id for r in packed}
+    assert 4 in ids and not ids & {1, 2, 3, 6, 7} and sum(r.length for r in packed if r.doc_id == 4) > 10_000
+    documents([]).write.parquet(f"{tmp_path}/empty/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/empty/benchmark.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/empty").count() == 0
