@@ -1,6 +1,7 @@
 """The returns feed from a CSV file to its tables."""
 
 import csv
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from sievework.operators import exceptions as ex
 from sievework.plans import returns
 from sievework.sinks import snapshots
 from sievework.sources.files import read_text_csv
+from workload.feeds import write_csv
 
 GOOD = {
     "id": "6a24", "order_no": "007", "customer_no": "0000012467", "tracking_number": "1.5502E+13", "is_cancelled": "t",
@@ -132,3 +134,16 @@ def test_derived_tables_follow_the_pointer(spark, feed, folder, monkeypatch):
     returns.refresh(spark.read.parquet(f"{folder}/out/run={now}"), f"{folder}/out", f"{folder}/e", table="returns_refreshed")
     assert spark.read.parquet(f"{folder}/e").count() == 2 and spark.table("returns_refreshed").count() == 4
     assert f"run={now}" in spark.table("returns_refreshed").inputFiles()[0]  # no second copy
+
+
+def test_packed_feed_and_tables(spark, feed, folder):
+    """A feed is read packed as it is plain, and takes little of the disk; the run's tables are packed too."""
+    many = feed.crossJoin(spark.range(200).select())
+    for packing in ("none", "gzip"):
+        write_csv(many.coalesce(1), f"{folder}/{packing}", packing)
+    size = {packing: sum(f.stat().st_size for f in Path(folder, packing).glob("part-*")) for packing in ("none", "gzip")}
+    assert size["gzip"] < size["none"] / 5
+    assert read_text_csv(spark, f"{folder}/gzip").exceptAll(many).isEmpty()
+    batch = returns.run_files(spark, f"{folder}/gzip", f"{folder}/out", f"{folder}/e", f"{folder}/aside")
+    assert batch.done.summary["Total input rows"] == 1200 and batch.set_aside.isEmpty()
+    assert all(f.name.endswith(".zstd.parquet") for f in Path(batch.done.path()).glob("part-*"))
