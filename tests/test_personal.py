@@ -56,3 +56,13 @@ def test_rows_of_the_marks_own_time_are_not_missed(spark, tmp_path, late):
     assert load_new(more, base, ["k"], "v") == 5
     assert load_new(more, base, ["k"], "v") == max(5, late)
     assert sorted(map(tuple, keyed.read(spark, base).collect())) == [(1, 5, "a"), (2, 3, "b"), (3, late, "c")]
+
+
+def test_texts_are_cleared_once(spark):
+    """Each name's pattern is in the plan once, and a deep or hidden member is treated as ever."""
+    texts = ['{"a":{"N":"x"},"M":[1]}', '{"N":"x"}', '{"b":"N"}', r'{"\u004e":"x"}', "{", None]
+    df = spark.createDataFrame([(t, t != "{") for t in texts], "t string, ok boolean")
+    cleared = df.select(redact_text(F.col("t"), ["N", "M"], F.col("ok")).alias("t"))
+    assert [r["t"] for r in cleared.collect()] == [None, '{"N":null}', '{"b":"N"}', None, None, None]
+    plan = cleared._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(") == 2
