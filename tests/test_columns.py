@@ -99,6 +99,16 @@ def test_fingerprint_tells_null_from_empty_and_shifted_text(spark):
     assert sorted(again) == sorted(got)
 
 
+def test_nested_drift_counts_a_place_once_for_its_text(spark):
+    """Also where a key with a dot names the same place as a nested one; outermost places are not shuffled by row."""
+    layout = StructType.fromDDL("a struct<b string>, c string")
+    df = spark.createDataFrame([('{"a.b":1,"a":{"b":1},"c":1}',), ('{"c":1}',)], "j string")
+    drift = flatten.nested_drift(df, "j", layout)
+    assert {(r["path"], r["rule"], r["found"]): r["n_rows"] for r in drift.collect()} == {
+        ("$.a.b", "type", "NUMBER"): 1, ("$.c", "type", "NUMBER"): 2,
+    }
+
+
 def test_nested_drift_at_every_depth(spark):
     layout = StructType.fromDDL("a struct<b:int, c:array<struct<d:string>>>, m map<string,boolean>, s string")
     rows = [

@@ -11,6 +11,8 @@ from sievework.operators import exceptions as ex
 from sievework.operators import grouping, integrity, profiling, upsert
 from sievework.plans import reports, returns
 from workload.feeds import returns_feed, shop_customers, shop_items, shop_orders, shop_products
+from sievework.session import estimated_bytes
+from sievework.sinks import tables
 from workload.orders import bucketed_order_fact
 from workload.registry import Tables
 
@@ -89,6 +91,12 @@ def test_order_fact_from_buckets_moves_nothing(t, no_broadcast, full_text):
     assert "Exchange" not in plan and "SortMergeJoin" in plan
 
 
+def test_buckets_grow_with_the_tables(t, monkeypatch):
+    assert tables.buckets_for(t.orders, t.lineitem) == 8
+    monkeypatch.setattr(tables, "BUCKET_BYTES", estimated_bytes(t.orders, t.lineitem) // 19)
+    assert tables.buckets_for(t.orders, t.lineitem) in (19, 20)
+
+
 def test_customer_sums_are_made_before_the_join(t, no_broadcast, full_text):
     plan = physical(reports.customer_revenue(shop_customers(t), shop_orders(t), "F"))
     assert "partial_sum(order_total" in plan.replace("partial_sum(", "partial_sum(")
