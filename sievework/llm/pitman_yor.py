@@ -13,12 +13,17 @@ predictive probabilities the customers of each dish are seated one after the oth
 parents' customers: those of contexts in the word restaurant, those of words in the spelling restaurants. After
 ``BURN`` sweeps, the predictive probabilities of ``SAMPLES`` sweeps are averaged.
 
-What grows with the corpus is a table that Spark counts, seats and joins in every sweep: pairs of a context and a
-word, words, and the spelling restaurants of two and three bytes, partitioned by their last two bytes, which hold
-whole restaurants of both lengths. The driver seats the restaurants of at most one byte, 257 * 258 dishes at most.
+What grows with the corpus is dealt by Spark in blocks: words and their pairs by a hash of the word, so that a block
+holds whole word vocabularies and is merged, seated and scored by one task. A block knows its contexts by their hash;
+what a context has in all blocks is summed by ranges of that hash, and each block is told the sums it needs. The
+spelling restaurants of two and three bytes are a table partitioned by their last two bytes, which hold whole
+restaurants of both lengths. The driver seats the restaurants of at most one byte, 257 * 258 dishes at most.
 
-Frequent pairs (at most ``HEAD`` of them) are looked up in memory while texts are read; all other pairs of
-the documents are joined to the table of pairs, and summed by document.
+A dish with one customer always has one table. Such pairs (four fifths of them) take part in all sums, but only
+the others are seated again in the sweeps. What a sweep has written is deleted when the next one has read it.
+
+Where a pair occurs goes with its block; sums by block and text are added up by text. Words are hashed to 63 bits;
+every context but the start is a word too, so a block sees it when two words share a hash, and another seed is taken.
 
 A NULL text is an empty one: the end alone. A row without an id is held out. Without any training token
 there is one outcome, and every score is 0. Repeated rows are scored each for itself.
@@ -26,15 +31,22 @@ there is one outcome, and every score is 0. Repeated rows are scored each for it
 
 from __future__ import annotations
 
+import pickle
+import uuid
 from collections import defaultdict
+from collections.abc import Callable, Iterator
+from itertools import count
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute
+import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.session import stage
+from sievework.session import discard, release, shared_folder, stage
 
 from .common import row_slices
 
@@ -42,10 +54,9 @@ ORDER = 3
 BURN, SAMPLES = 4, 3
 WORD_STRENGTH = 1.0
 DISCOUNTS, STRENGTH = (0.3, 0.5, 0.7, 0.8), 1.0
-HEAD = 200_000
 #: context lengths whose restaurants the driver seats
 TOP = 1
-#: tokens a task gathers before it passes the counts of their pairs on
+#: tokens a task gathers before it deals their pairs to the blocks
 GATHERED = 4_000_000
 NUMBER_BITS = 28
 STOP, PAD, SYMBOLS, BITS = 256, 257, 257, 9
@@ -188,63 +199,193 @@ class Tokens:
         self.numbers.default_factory = self.numbers.__len__
         self.numbers[b""]
 
-    def pairs(self, text: str | None) -> np.ndarray:
-        """The numbers of context and word of every token of a text, in one long."""
+    def numbered(self, text: str | None) -> np.ndarray:
+        """The numbers of the start, the words and the end of a text."""
         words = words_of(text)
-        ids = np.zeros(len(words) + 2, np.int64)
-        ids[1:-1] = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
-        return ids[:-1] << NUMBER_BITS | ids[1:]
-
-    def sides(self, pairs: np.ndarray) -> list[pa.Array]:
-        """The context and the word of each pair."""
-        words = pa.array(list(self.numbers), pa.binary())
-        return [words.take(pa.array(x)) for x in (pairs >> NUMBER_BITS, pairs & ((1 << NUMBER_BITS) - 1))]
-
-
-def count_pairs(docs: DataFrame, learns: Column) -> DataFrame:
-    """context, word, c (training tokens) and n (all tokens) of every pair that occurs."""
-
-    def gather(batches):
-        tokens, found, size = Tokens(), {True: [], False: []}, 0
-
-        def flush():
-            for learn, parts in found.items():
-                if parts:
-                    pairs, n = np.unique(np.concatenate(parts), return_counts=True)
-                    c = n if learn else np.zeros(len(n), np.int64)
-                    yield pa.RecordBatch.from_arrays([*tokens.sides(pairs), pa.array(c), pa.array(n)], names=["context", "word", "c", "n"])
-
-        for part in row_slices(batches):
-            for text, learn in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                pairs = tokens.pairs(text)
-                found[learn].append(pairs)
-                size += len(pairs)
-                if size > GATHERED or len(tokens.numbers) > GATHERED // 8:
-                    yield from flush()
-                    tokens, found, size = Tokens(), {True: [], False: []}, 0
-        yield from flush()
+        ids = np.zeros(len(words) + 2, np.int32)
+        ids[1:-1] = np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words))
+        return ids
+
+
+#: what a row of MAIL holds: a block's seating, offers to contexts and what they answer, dishes of words, sums, a sample
+STATE, OFFER, ANSWER, DISHES, SUMS, SAMPLE = range(6)
+TOLD = -1
+MAIL = "kind int, block long, part long, body binary, customers long, tables long, spelled double"
+MAIL_SCHEMA = pa.schema([("kind", pa.int32()), ("block", pa.int64()), ("part", pa.int64()), ("body", pa.binary()), ("customers", pa.int64()), ("tables", pa.int64()), ("spelled", pa.float64())])
+#: the second of two numbers in one long
+LOW = (1 << NUMBER_BITS) - 1
+
+
+def packed(*arrays) -> bytes:
+    """Arrays as one value, whole numbers in as few bytes as hold them."""
+    slim = [x.astype(np.min_scalar_type(int(x.max()))) if isinstance(x, np.ndarray) and x.dtype.kind == "i" and len(x) and x.min() >= 0 else x for x in arrays]
+    return zstandard.compress(pickle.dumps(slim, 5), 1)
+
+
+def unpacked(body: bytes) -> list:
+    return pickle.loads(zstandard.decompress(body))
+
+
+def mail(kind: int, block: int, part: int, body: bytes | None, customers: int = 0, tables: int = 0, spelled: float = 0.0) -> tuple:
+    return kind, block, part, body, customers, tables, spelled
+
+
+def letter(rows: list[tuple], schema: pa.Schema = MAIL_SCHEMA) -> pa.Table:
+    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True) if rows else [[]] * len(schema), schema, strict=True)], schema=schema)
+
 
-    rows = docs.select(F.col("text").cast("string"), learns)
-    summed = rows.mapInArrow(gather, "context binary, word binary, c long, n long")
-    return summed.groupBy("context", "word").agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
+def hashed(words: list[bytes], seed: int) -> np.ndarray:
+    """63 bits of every word."""
+    if not words:
+        return np.zeros(0, np.int64)
+    return (pd.util.hash_array(np.array(words, object), hash_key=f"{seed:016d}", categorize=False) >> np.uint64(1)).astype(np.int64)
 
 
-def seats(rows: DataFrame, customers: str, base: str, strength: Column, discount: float, sweep: int, to: str) -> DataFrame:
-    """The rows with a column ``to``: the tables of each dish, newly seated."""
-    rows = rows.withColumn("_strength", strength)
-    names = rows.columns
-    kept = [n for n in names if n != "_strength"]
+def joined(words: list[bytes]) -> tuple[np.ndarray, bytes]:
+    return np.array([len(w) for w in words], np.int64), b"".join(words)
 
-    def seat(batches):
-        task = TaskContext.get().partitionId()
-        for k, part in enumerate(row_slices(batches, 1 << 14)):
-            columns = dict(zip(names, part.columns, strict=True))
-            c, p, strengths = (columns[x].to_numpy() for x in (customers, base, "_strength"))
-            tables = seated(c, p, strengths, discount, np.random.default_rng([sweep, task, k]))
-            yield pa.RecordBatch.from_arrays([*(columns[n] for n in kept), pa.array(tables)], names=[*kept, to])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in kept)
-    return rows.mapInArrow(seat, f"{schema}, `{to}` long")
+def parted(lengths: np.ndarray, text: bytes) -> list[bytes]:
+    ends = np.cumsum(lengths, dtype=np.int64)
+    return [text[a:b] for a, b in zip((ends - lengths).tolist(), ends.tolist(), strict=True)]
+
+
+def dealt(words: list[bytes], texts: list[np.ndarray], learned: np.ndarray, blocks: int, seed: int) -> Iterator[tuple[int, bytes]]:
+    """Blocks with words, contexts, pairs and in which texts these occur; ``texts`` (numbers of words) is emptied.
+
+    learned: how often the tokens of a text count in training.
+    """
+    h = hashed(words, seed)
+    block = h % blocks
+    by_block, by_hash = np.lexsort((h, block)), np.argsort(h)
+    rank, context_rank = np.empty(len(h), np.int64), np.empty(len(h), np.int64)
+    rank[by_block], context_rank[by_hash] = np.arange(len(h)) << NUMBER_BITS, np.arange(len(h))
+    contexts = h[by_hash]
+    sizes = [len(ids) - 1 for ids in texts]
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
+    keys, done = np.empty(len(owner), np.int64), 0
+    for ids, size in zip(texts, sizes, strict=True):
+        np.bitwise_or(rank[ids[1:]], context_rank[ids[:-1]], out=keys[done:done + size])
+        done += size
+    texts.clear()
+    at = np.argsort(keys, kind="stable")
+    keys, owner = keys[at], owner[at]
+    del at
+    # the same pair in the same text
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])
+    new = np.nonzero(new)[0]
+    times, keys, owner = np.diff(new, append=len(keys)).astype(np.int32), keys[new], owner[new]
+    del new
+    first = np.nonzero(np.diff(keys, prepend=-1))[0]
+    c, keys, ends = np.add.reduceat(times * learned[owner], first), keys[first], np.append(first, len(keys))
+    edges = np.searchsorted(block[by_block], np.arange(blocks + 1))
+    cuts = np.searchsorted(keys >> NUMBER_BITS, edges)
+    for b in range(blocks):
+        (w0, w1), (p0, p1) = edges[b:b + 2].tolist(), cuts[b:b + 2].tolist()
+        if p0 < p1:
+            used, of = np.unique(keys[p0:p1] & LOW, return_inverse=True)
+            per_word = np.bincount((keys[p0:p1] >> NUMBER_BITS) - w0, minlength=w1 - w0)
+            q0, q1 = ends[p0], ends[p1]
+            yield b, packed(
+                *joined([words[i] for i in by_block[w0:w1]]), per_word, np.diff(contexts[used], prepend=0), of, c[p0:p1],
+                np.diff(ends[p0:p1 + 1]), owner[q0:q1].astype(np.int64), times[q0:q1],
+            )
+
+
+STORED = "block long, body binary, places binary, tokens long, types long, once long, twice long, contexts_once long, contexts_twice long, pairs long, clashes long, chunk long, row long, held_out boolean, n_tokens long"
+
+
+def merged(block: int, chunks: list[int], bodies: list[bytes], seed: int) -> tuple:
+    """One block of what the tasks have dealt: its row of STORED, up to the columns of the documents."""
+    words, per_word, contexts, of, c, places, owner, times = ([] for _ in range(8))
+    for body in bodies:
+        lengths, text, *rest = unpacked(body)
+        words.extend(parted(lengths.astype(np.int64), text))
+        rest[1] = np.cumsum(rest[1], dtype=np.int64)
+        for into, x in zip((per_word, contexts, of, c, places, owner, times), rest, strict=True):
+            into.append(x.astype(np.int64))
+    _, first, word_of = np.unique(hashed(words, seed), return_index=True, return_inverse=True)
+    clashes = sum(words[a] != w for a, w in zip(first[word_of].tolist(), words, strict=True))
+    hashes, context_of = np.unique(np.concatenate(contexts), return_inverse=True)
+    shift = np.cumsum([0, *(len(x) for x in contexts[:-1])])
+    of = context_of[np.concatenate([x + k for x, k in zip(of, shift, strict=True)])]
+    keys, pair_of = np.unique(np.repeat(word_of, np.concatenate(per_word)) << 32 | of, return_inverse=True)
+    # sums of whole numbers, exact in doubles below 2 ** 53
+    c = np.bincount(pair_of, np.concatenate(c)).astype(np.int64)
+    places = np.concatenate(places)
+    by_pair = np.argsort(np.repeat(pair_of, places), kind="stable")
+    texts, owner = np.unique(np.concatenate([x | k << 32 for k, x in enumerate(owner)]), return_inverse=True)
+    words = [words[i] for i in first.tolist()]
+    word, mine = keys >> 32, c > 0
+    in_training = np.bincount(word, mine, minlength=len(words)).astype(np.int64)
+    body = packed(*joined(words), np.bincount(word, minlength=len(words)), np.diff(hashes, prepend=0), keys & 0xFFFFFFFF, c)
+    where = packed(np.bincount(pair_of, places).astype(np.int64), chunks, texts >> 32, texts & 0xFFFFFFFF, owner[by_pair], np.concatenate(times)[by_pair])
+    counts = (c.sum(), (in_training > 0).sum(), (c == 1).sum(), (c == 2).sum(), (in_training == 1).sum(), (in_training == 2).sum(), mine.sum(), clashes)
+    return block, body, where, *map(int, counts)
+
+
+class Block:
+    """The pairs of a block: word, context (in ``hashes``) and training count of each, and the words in training."""
+
+    def __init__(self, body: bytes):
+        lengths, text, per_word, hashes, context, c = unpacked(body)
+        self.words = parted(lengths.astype(np.int64), text)
+        self.word = np.repeat(np.arange(len(per_word)), per_word)
+        self.hashes, self.context, self.c = np.cumsum(hashes, dtype=np.int64), context.astype(np.int64), c.astype(np.int64)
+        self.word_c = np.bincount(self.word, self.c, minlength=len(self.words)).astype(np.int64)
+        self.number = np.cumsum(self.word_c > 0) - 1  # of a word in training
+
+    def by_context(self, values: np.ndarray) -> np.ndarray:
+        return np.bincount(self.context, values, minlength=len(self.hashes)).astype(np.int64)
+
+
+def offers(block: int, sweep: int, parts: int, hashes: np.ndarray, values: list[np.ndarray], wanted: np.ndarray | None = None) -> Iterator[tuple]:
+    """Rows with what a block adds to contexts and which contexts it asks for (none given: the same), by ranges of the hash."""
+    edges = [(k << 63) // parts for k in range(1, parts)]
+    cuts = [0, *np.searchsorted(hashes, edges).tolist(), len(hashes)]
+    asks = cuts if wanted is None else [0, *np.searchsorted(wanted, edges).tolist(), len(wanted)]
+    for k in range(parts):
+        a, b = cuts[k:k + 2]
+        own = None if wanted is None else np.diff(wanted[asks[k]:asks[k + 1]], prepend=0)
+        if a < b or own is not None and len(own):
+            yield mail(OFFER, block, k, packed(np.diff(hashes[a:b], prepend=0), [v[a:b].astype(np.int32) if v.max(initial=0) < 1 << 31 else v[a:b] for v in values], own), customers=sweep)
+
+
+def answers(rows: DataFrame, width: int, place: dict[int, tuple[tuple[int, ...], ...]]) -> DataFrame:
+    """The sums by context for the blocks of the first sweep in ``place``, which has the columns each value is added to."""
+    to = next(iter(place))
+
+    def answer(table):
+        hashes, asked, sums = [], [], []
+        for block, part, body, sweep in zip(*(table.column(n).to_pylist() for n in ("block", "part", "body", "customers")), strict=True):
+            at, values, wanted = unpacked(body)
+            at = np.cumsum(at, dtype=np.int64)
+            own = np.zeros((width, len(at)), np.int64)
+            for v, columns in zip(values, place[sweep], strict=True):
+                for k in columns:
+                    own[k] = v
+            hashes.append(at)
+            sums.append(own)
+            if sweep == to:
+                asked.append((block, part, at if wanted is None else np.cumsum(wanted, dtype=np.int64)))
+        unique, back = np.unique(np.concatenate(hashes), return_inverse=True)
+        total = [np.bincount(back, x).astype(np.int64) for x in np.concatenate(sums, axis=1)]
+        rows = []
+        for block, part, wanted in asked:
+            at = np.searchsorted(unique, wanted)
+            rows.append(mail(ANSWER, block, part, packed(*(x[at] for x in total))))
+        return letter(rows)
+
+    return rows.filter((F.col("kind") == OFFER) & F.col("customers").isin(list(place))).groupBy("part").applyInArrow(answer, MAIL)
+
+
+def told(table: pa.Table, width: int) -> list[np.ndarray]:
+    """The sums by context that a block was answered, in the order it asked."""
+    rows = sorted((part, body) for kind, part, body in zip(*(table.column(n).to_pylist() for n in ("kind", "part", "body")), strict=True) if kind == ANSWER)
+    parts = [unpacked(body) for _, body in rows]
+    return [np.concatenate([p[k].astype(np.int64) for p in parts]) if parts else np.zeros(0, np.int64) for k in range(width)]
+
 
 
 class Letters:
@@ -252,11 +393,12 @@ class Letters:
 
     A row of the table is a dish of ``ORDER`` bytes with its probability as ``x + y * p``, where p is that of its
     ancestor of ``TOP`` bytes; or a dish of ``ORDER - 1`` bytes, for its tables. All restaurants that share
-    their last two bytes are in one partition.
+    their last two bytes are in one partition. For every block that sent dishes there is a row of level ``TOLD``
+    with their x and y.
     """
 
-    FIELDS = "level long, key long, customers long, tables long, x double, y double"
-    NAMES = ("level", "key", "customers", "tables", "x", "y")
+    FIELDS = "level long, key long, customers long, tables long, x double, y double, block long, body binary"
+    NAMES = ("level", "key", "customers", "tables", "x", "y", "block", "body")
 
     def __init__(self):
         self.state: DataFrame | None = None
@@ -268,6 +410,12 @@ class Letters:
         back = np.searchsorted(self.top[0].keys, shortened(self.top[1].keys, 0))
         return [p, self.top[1].predictive(self.top[1].keys, p[back])]
 
+    @staticmethod
+    def rows(level: int, keys: np.ndarray, customers, tables=None, x=None, y=None, block: int = -1) -> pa.RecordBatch:
+        n, none = len(keys), np.zeros(len(keys))
+        columns = (np.full(n, level), keys, customers, none.astype(np.int64) if tables is None else tables, none if x is None else x, none if y is None else y)
+        return pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(np.full(n, block)), pa.nulls(n, pa.binary())], names=Letters.NAMES)
+
     def sweep(self, words: DataFrame, number: int) -> None:
         """Seat all restaurants, with the tables of the words (word, tables) as customers."""
 
@@ -275,23 +423,33 @@ class Letters:
             for part in row_slices(batches, 1 << 14):
                 keys, owner = grams(part.column(0).to_pylist(), ORDER)
                 unique, back = np.unique(keys, return_inverse=True)
-                n = np.bincount(back, part.column(1).to_numpy()[owner]).astype(np.int64)
-                none = np.zeros(len(unique))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.zeros(len(unique), np.int64)), pa.array(unique), pa.array(n), *[pa.array(none.astype(np.int64))], pa.array(none), pa.array(none)], names=Letters.NAMES
-                )
-
-        rows = words.select("word", "tables").mapInArrow(spell, Letters.FIELDS)
-        if self.state is not None:
-            rows = rows.unionByName(self.state.filter(F.col("level") > TOP))
+                yield Letters.rows(0, unique, np.bincount(back, part.column(1).to_numpy()[owner]).astype(np.int64))
+
+        self.seat(words.select("word", "tables").mapInArrow(spell, Letters.FIELDS), number)
+
+    def sweep_blocks(self, mail: DataFrame, number: int) -> None:
+        """The same with the dishes that the blocks have summed up."""
+
+        def dishes(batches):
+            for part in row_slices(batches, 1):
+                for block, body in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                    keys, customers = unpacked(body)
+                    yield Letters.rows(0, np.cumsum(keys, dtype=np.int64), customers.astype(np.int64), block=block)
+
+        self.seat(mail.filter(F.col("kind") == DISHES).select("block", "body").mapInArrow(dishes, Letters.FIELDS), number)
+
+    def seat(self, rows: DataFrame, number: int) -> None:
+        old = self.state
+        if old is not None:
+            rows = rows.unionByName(old.filter(F.col("level") > TOP))
         middle = F.shiftright("key", BITS).bitwiseAND((1 << (2 * BITS)) - 1)
         top = None if self.top is None else (self.top[1].keys, self.probabilities()[1])
 
         def seat(batches):
-            parts = [[c.to_numpy() for c in b.columns[:4]] for b in batches if b.num_rows]
+            parts = [[b.column(i).to_numpy() for i in (0, 1, 2, 3, 6)] for b in batches if b.num_rows]
             if not parts:
                 return
-            level, key, n, tables = (np.concatenate(c) for c in zip(*parts, strict=True))
+            level, key, n, tables, block = (np.concatenate(c) for c in zip(*parts, strict=True))
             keys, at = np.unique(key[level == 0], return_inverse=True)
             deep = Level(keys, np.bincount(at, n[level == 0]).astype(np.int64), DISCOUNTS[ORDER])
             parents, up = np.unique(shortened(keys, ORDER - 1), return_inverse=True)
@@ -322,14 +480,20 @@ class Letters:
             (x, y), (x_, y_) = terms
             firsts, to = np.unique(shortened(parents, TOP), return_inverse=True)
             new = np.bincount(to, above.tables).astype(np.int64)
-            for which, one, x, y in ((ORDER, deep, x + y * x_[up], y * y_[up]), (ORDER - 1, above, x_, y_)):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(one.keys), which)), pa.array(one.keys), pa.array(one.customers), pa.array(one.tables), pa.array(x), pa.array(y)], names=Letters.NAMES
-                )
-            none = np.zeros(len(firsts))
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(firsts), TOP)), pa.array(firsts), pa.array(new), pa.array(new), pa.array(none), pa.array(none)], names=Letters.NAMES)
+            x, y = x + y * x_[up], y * y_[up]
+            yield Letters.rows(ORDER, deep.keys, deep.customers, deep.tables, x, y)
+            yield Letters.rows(ORDER - 1, above.keys, above.customers, above.tables, x_, y_)
+            yield Letters.rows(TOP, firsts, new, new)
+            by_block = np.lexsort((at, block[level == 0]))
+            owners, starts = np.unique(block[level == 0][by_block], return_index=True)
+            for b, dishes in zip(owners.tolist(), np.split(by_block, starts[1:]), strict=True):
+                if b >= 0:
+                    own = at[dishes]
+                    body = packed(np.diff(keys[own], prepend=0), x[own], y[own])
+                    yield pa.RecordBatch.from_arrays([pa.array([TOLD]), *(pa.array([0]) for _ in range(3)), pa.array([0.0]), pa.array([0.0]), pa.array([b]), pa.array([body], pa.binary())], names=Letters.NAMES)
 
         self.state = stage(rows.repartition(middle).mapInArrow(seat, Letters.FIELDS), "spelling")
+        discard(old)
         # 257 * 257 rows at most
         first = self.state.filter(F.col("level") == TOP).groupBy("key").agg(F.sum("customers").alias("n")).orderBy("key").collect()
         keys, n = np.array([r["key"] for r in first], np.int64), np.array([r["n"] for r in first], np.int64)
@@ -362,175 +526,307 @@ class Letters:
 
         return self.state.filter(F.col("level") == ORDER).select("key", "x", "y").mapInArrow(answer, "key long, log_p double")
 
-    def words(self, letters: DataFrame) -> DataFrame:
-        """word and spelled: the probability of the spelling of each word of ``letters`` (word, key)."""
-        return letters.join(self.symbols(), "key").groupBy("word").agg(F.exp(F.sum("log_p")).alias("spelled"))
-
-
-def letters_of(words: DataFrame) -> DataFrame:
-    """word and key of every byte and stop of the words."""
-
-    def spell(batches):
-        for part in row_slices(batches, 1 << 13):
-            keys, owner = grams(part.column(0).to_pylist(), ORDER)
-            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(owner)), pa.array(keys)], names=["word", "key"])
-
-    return words.select("word").mapInArrow(spell, "word binary, key long")
-
 
 def discount_of(once: int | None, twice: int | None) -> float:
     once, twice = once or 0, twice or 0
     return min(0.95, max(0.05, once / max(1, once + 2 * twice)))
 
 
-def counts_of_counts(column: str) -> list[Column]:
-    return [F.sum((F.col(column) == k).cast("long")).alias(name) for k, name in ((1, "once"), (2, "twice"))]
-
+def stored(rows: DataFrame, gather: Callable, kind: str, blocks: int) -> tuple[str, dict]:
+    """The blocks of what ``gather`` deals out, as a table bucketed by block, and the sums of their counts."""
+    spark = rows.sparkSession
+    fields = f"block long, chunk long, body binary, row long, doc_id {kind}, held_out boolean, n_tokens long"
+    own_schema = [(n, {"long": pa.int64(), "binary": pa.binary(), "boolean": pa.bool_()}[t]) for n, t in (f.split(" ") for f in STORED.split(", "))]
+    def merging(seed):
+        def merge(table):
+            schema = pa.schema([*own_schema, ("doc_id", table.schema.field("doc_id").type)])
+            from_docs = table.filter(pa.compute.is_null(table.column("body")))
+            out = {f: from_docs.column(f) for f in ("block", "chunk", "row", "doc_id", "held_out", "n_tokens")}
+            table = table.filter(pa.compute.is_valid(table.column("body")))
+            if not table.num_rows:
+                return pa.table([out.get(f.name, pa.nulls(from_docs.num_rows, f.type)) for f in schema], schema=schema)
+            order = sorted(zip(table.column("chunk").to_pylist(), table.column("body").to_pylist(), strict=True))
+            row = merged(table.column("block")[0].as_py(), [x for x, _ in order], [x for _, x in order], seed)
+            own = dict(zip(schema.names, row, strict=False))
+            return pa.table([pa.concat_arrays([pa.array([own.get(f.name)], f.type), *(out[f.name].chunks if f.name in out else [pa.nulls(from_docs.num_rows, f.type)])]) for f in schema], schema=schema)
+
+        return merge
+
+    for seed in count():
+        dealt_out = rows.mapInArrow(gather(blocks, seed), fields)
+        name = f"pitman_yor_{uuid.uuid4().hex}"
+        whole = dealt_out.groupBy("block").applyInArrow(merging(seed), f"{STORED}, doc_id {kind}")
+        whole.write.format("parquet").bucketBy(blocks, "block").option("path", shared_folder(spark, name)).saveAsTable(name)
+        table = spark.table(name)
+        sums = table.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in ("tokens", "types", "once", "twice", "contexts_once", "contexts_twice", "pairs", "clashes")]).first().asDict()
+        if not sums["clashes"]:
+            return name, sums
+        dropped(spark, name)
+
+
+def dropped(spark: SparkSession, name: str) -> None:
+    """Remove a stored table and its files."""
+    files = spark.table(name)
+    discard(files)
+    spark.sql(f"DROP TABLE {name}")
+
+
+def word_predictive(c, t, spelled, discount: float, customers: int, tables: int):
+    return (c - discount * t + (WORD_STRENGTH + discount * tables) * spelled) / (WORD_STRENGTH + customers)
+
+
+def sums_of(name: str, about: dict, spark: SparkSession, blocks: int) -> DataFrame:
+    """(chunk, body): known tokens, base and score of the texts of a chunk, as far as one block has them."""
+    pair_discount, word_discount = discount_of(about["once"], about["twice"]), discount_of(about["contexts_once"], about["contexts_twice"])
+    tokens, types = about["tokens"], about["types"]
+    table = spark.table(name).filter("body IS NOT NULL")
+
+    def places_of(block: Block, places: bytes, base: np.ndarray, model: np.ndarray) -> Iterator[tuple]:
+        each, chunks, chunk, text, owner, times = unpacked(places)
+        pair = np.repeat(np.arange(len(each)), each)
+        known = (block.word_c > 0)[block.word].astype(float)
+        sums = [np.bincount(owner, times * x[pair], minlength=len(text)) for x in (known, base, model)]
+        starts = np.searchsorted(chunk, np.arange(len(chunks) + 1)).tolist()
+        for k, own in enumerate(chunks):
+            a, b = starts[k:k + 2]
+            yield own, packed(text[a:b], sums[0][a:b].astype(np.int64), sums[1][a:b], sums[2][a:b])
 
-def model_of(counted: DataFrame) -> DataFrame:
-    """context, word, n, known (0 or 1), base and model (logarithms to base 10) of every pair that occurs."""
-    known = stage(counted.filter("c > 0").select("context", "word", "c"), "known")
-    about = known.agg(F.sum("c").alias("tokens"), *counts_of_counts("c")).first()
-    tokens, pair_discount = about["tokens"] or 0, discount_of(about["once"], about["twice"])
-    vocabulary = stage(known.groupBy("word").agg(F.sum("c").alias("c"), F.count("*").alias("contexts")), "vocabulary")
-    about = vocabulary.agg(F.count("*").alias("types"), *counts_of_counts("contexts")).first()
-    types, word_discount = about["types"], discount_of(about["once"], about["twice"])
     if not tokens:
-        return counted.select("context", "word", "n", F.lit(0).cast("long").alias("known"), F.lit(0.0).alias("base"), F.lit(0.0).alias("model"))
 
-    letters, spelling = stage(letters_of(vocabulary), "letters"), Letters()
-    # at first every dish has one table
-    pairs = known.select("*", F.lit(1).cast("long").alias("tables"), *[F.lit(0).cast("long").alias(f"t{i}") for i in range(SAMPLES)])
-    kept = [f"{x}{i}" for x in ("c", "t", "s") for i in range(SAMPLES)]
-    words = vocabulary.select("word", F.col("contexts").alias("customers"), F.lit(1).cast("long").alias("tables"), *[F.lit(0.0).alias(k) for k in kept])
-    all_customers, all_tables = known.count(), types
-    spelling.sweep(words, 0)
-    anew, inside = [], []
+        def nothing(batches):
+            for part in row_slices(batches, 1):
+                block = Block(part.column(0)[0].as_py())
+                zeros = np.zeros(len(block.c))
+                for own, body in places_of(block, part.column(1)[0].as_py(), zeros, zeros):
+                    yield pa.RecordBatch.from_arrays([pa.array([own]), pa.array([body], pa.binary())], names=["chunk", "body"])
 
-    def word_predictive(c: Column, t: Column, spelled: Column, customers: int, tables: int) -> Column:
-        return (c - word_discount * t + (WORD_STRENGTH + word_discount * tables) * spelled) / (WORD_STRENGTH + customers)
+        return stage(table.select("body", "places").mapInArrow(nothing, "chunk long, body binary"), "sums")
 
+    def dishes(words: list[bytes], tables: np.ndarray) -> bytes:
+        keys, owner = grams(words, ORDER)
+        unique, back = np.unique(keys, return_inverse=True)
+        return packed(np.diff(unique, prepend=0), np.bincount(back, tables[owner]).astype(np.int64))
+
+    def begin(batches):
+        # at first every dish has one table
+        for part in row_slices(batches, 1):
+            number, body = part.column(0)[0].as_py(), part.column(1)[0].as_py()
+            block = Block(body)
+            words = [w for w, c in zip(block.words, block.word_c.tolist(), strict=True) if c]
+            if not words:
+                continue
+            again, once = block.c > 1, block.c == 1
+            contexts, context = np.unique(block.context[again], return_inverse=True)
+            singles = np.bincount(block.number[block.word[once]], minlength=len(words)).astype(np.int64)
+            word, one = block.number[block.word[again]], np.ones(len(words), np.int64)
+            state = packed(*joined(words), singles, word, context, block.c[again], np.diff(block.hashes[contexts], prepend=0), None, singles + np.bincount(word, minlength=len(words)), one)
+            rows = [
+                mail(STATE, number, 0, state), mail(DISHES, number, 0, dishes(words, one)),
+                *offers(number, 0, blocks, block.hashes, [block.by_context(once), block.by_context(again)], block.hashes[contexts]),
+            ]
+            yield from letter(rows).to_batches()
+
+    def sweep_of(sweep: int, all_customers: int, all_tables: int, top: tuple[np.ndarray, np.ndarray]) -> Callable:
+        def seat(left, right):
+            if not left.num_rows:
+                return letter([])
+            number = left.column("block")[0].as_py()
+            lengths, text, singles, word, context, c, hashes, context_singles, customers, tables = unpacked(left.column("body")[0].as_py())
+            words, singles, word, context, c, customers = parted(lengths.astype(np.int64), text), *(x.astype(np.int64) for x in (singles, word, context, c, customers))
+            hashes = np.cumsum(hashes, dtype=np.int64)
+            if context_singles is None:
+                context_singles, again = told(right, 2)
+            else:
+                again = told(right, 1)[0]
+            spelling = [unpacked(body) for kind, body in zip(right.column("kind").to_pylist(), right.column("body").to_pylist(), strict=True) if kind == TOLD]
+            keys = np.concatenate([np.cumsum(k, dtype=np.int64) for k, _, _ in spelling])
+            x, y = (np.concatenate([s[k] for s in spelling]) for k in (1, 2))
+            log_p = np.log(x + y * top[1][np.searchsorted(top[0], shortened(keys, TOP))])
+            by_key = np.argsort(keys)
+            own, owner = grams(words, ORDER)
+            spelled = np.exp(np.bincount(owner, log_p[by_key[np.searchsorted(keys, own, sorter=by_key)]], minlength=len(words)))
+
+            draw = np.random.default_rng([sweep, number])
+            p = word_predictive(customers, tables.astype(np.int64), spelled, word_discount, all_customers, all_tables)
+            old = context_singles.astype(np.int64) + again
+            own_tables = seated(c, p[word], WORD_STRENGTH + pair_discount * old[context], pair_discount, draw)
+            customers = singles + np.bincount(word, own_tables, minlength=len(words)).astype(np.int64)
+            tables = seated(customers, spelled, np.full(len(words), WORD_STRENGTH + word_discount * all_tables), word_discount, draw)
+            served = np.bincount(context, own_tables, minlength=len(hashes)).astype(np.int64)
+            rows = [
+                mail(SUMS, number, 0, None, int(customers.sum()), int(tables.sum()), float(spelled.sum())),
+                *offers(number, sweep, blocks, hashes, [served]),
+            ]
+            if sweep > BURN:
+                rows.append(mail(SAMPLE, number, sweep, packed(own_tables, customers, tables, spelled)))
+            if sweep < BURN + SAMPLES:
+                rows.append(mail(STATE, number, 0, packed(lengths, text, singles, word, context, c, np.diff(hashes, prepend=0), context_singles, customers, tables)))
+                rows.append(mail(DISHES, number, 0, dishes(words, tables)))
+            return letter(rows)
+
+        return seat
+
+    last = stage(table.select("block", "body").mapInArrow(begin, MAIL), "seats")
+    spelling = Letters()
+    spelling.sweep_blocks(last, 0)
+    all_customers, all_tables = about["pairs"], types
+    samples, anew, inside = [], [], []
     for sweep in range(1, BURN + SAMPLES + 1):
-        words = stage(words.join(spelling.words(letters), "word"), "words")
-        above = words.select("word", word_predictive(F.col("customers"), F.col("tables"), F.col("spelled"), all_customers, all_tables).alias("p"))
-        contexts = pairs.groupBy("context").agg(F.sum("tables").alias("all_tables"))
-        met = pairs.drop("tables").join(above, "word").join(contexts.withColumnRenamed("all_tables", "old"), "context")
-        pairs = seats(met, "c", "p", WORD_STRENGTH + pair_discount * F.col("old"), pair_discount, sweep, "tables")
-        sample = sweep - BURN - 1
-        if sample >= 0:
-            pairs = pairs.withColumn(f"t{sample}", F.col("tables"))
-        pairs = stage(pairs.drop("p", "old"), "pairs")
-        served = pairs.groupBy("word").agg(F.sum("tables").alias("customers"))
-        words = words.drop("customers", "tables").join(served, "word")
-        words = seats(words, "customers", "spelled", F.lit(WORD_STRENGTH + word_discount * all_tables), word_discount, sweep, "tables")
-        if sample >= 0:
-            for name, of in (("c", "customers"), ("t", "tables"), ("s", "spelled")):
-                words = words.withColumn(f"{name}{sample}", F.col(of).cast("double"))
-        words = stage(words.drop("spelled"), "words")
-        sums = words.agg(F.sum("customers").alias("c"), F.sum("tables").alias("t"), F.sum(F.col(f"s{max(sample, 0)}")).alias("s")).first()
-        all_customers, all_tables = sums["c"], sums["t"]
-        if sample >= 0:
+        sums = answers(last, 2, {0: ((0,), (1,))}) if sweep == 1 else answers(last, 1, {sweep - 1: ((0,),)})
+        spelled = spelling.state.filter(F.col("level") == TOLD).select(F.lit(TOLD).alias("kind"), "block", F.lit(0).cast("long").alias("part"), "body")
+        seat = sweep_of(sweep, all_customers, all_tables, (spelling.top[1].keys, spelling.probabilities()[1]))
+        states = last.filter(F.col("kind") == STATE).select("block", "body")
+        told_of = sums.select("kind", "block", "part", "body").unionByName(spelled)
+        now = stage(states.groupBy("block").cogroup(told_of.groupBy("block")).applyInArrow(seat, MAIL), "seats")
+        if sweep == 1 or sweep - 1 <= BURN:
+            discard(last)
+        last = now
+        got = now.filter(F.col("kind") == SUMS).agg(F.sum("customers").alias("c"), F.sum("tables").alias("t"), F.sum("spelled").alias("s")).first()
+        all_customers, all_tables = got["c"], got["t"]
+        if sweep > BURN:
+            samples.append(now)
             anew.append((all_customers, all_tables))
-            inside.append(sums["s"])
+            inside.append(got["s"])
         if sweep < BURN + SAMPLES:
-            spelling.sweep(words, sweep)
+            spelling.sweep_blocks(now, sweep)
+    discard(spelling.state)
 
     # rounding, or a vocabulary that takes all spellings, must not leave nothing
     unknown = [(WORD_STRENGTH + word_discount * t) / (WORD_STRENGTH + c) * max(1 - s, 1e-9) for (c, t), s in zip(anew, inside, strict=True)]
-    plain = [word_predictive(F.col(f"c{i}"), F.col(f"t{i}"), F.col(f"s{i}"), *anew[i]).alias(f"p{i}") for i in range(SAMPLES)]
-    served = words.join(vocabulary.select("word", F.col("c").alias("word_c")), "word").select("word", "word_c", *plain)
-    backs = pairs.groupBy("context").agg(F.sum("c").alias("all_c"), *[F.sum(f"t{i}").alias(f"all_t{i}") for i in range(SAMPLES)])
-    every = (
-        counted.select("context", "word", "n")
-        .join(pairs.select("context", "word", "c", *[f"t{i}" for i in range(SAMPLES)]), ["context", "word"], "left")
-        .join(served, "word", "left").join(backs, "context", "left")
-    )
-    zero, total = F.lit(0), F.lit(0.0)
-    for i in range(SAMPLES):
-        own = F.coalesce("c", zero) - pair_discount * F.coalesce(f"t{i}", zero)
-        back = WORD_STRENGTH + pair_discount * F.coalesce(f"all_t{i}", zero)
-        total = total + (own + back * F.coalesce(f"p{i}", F.lit(unknown[i]))) / (WORD_STRENGTH + F.coalesce("all_c", zero))
-    return every.select(
-        "context", "word", "n", F.col("word_c").isNotNull().cast("long").alias("known"),
-        F.log10((F.coalesce("word_c", zero) + 1.0) / (tokens + types + 1.0)).alias("base"), F.log10(total / SAMPLES).alias("model"),
+
+    def totals(batches):
+        for part in row_slices(batches, 1):
+            number, body = part.column(0)[0].as_py(), part.column(1)[0].as_py()
+            block = Block(body)
+            # a pair with one customer has one table; the tables of the others come from the samples
+            yield from letter([*offers(number, 0, blocks, block.hashes, [block.by_context(block.c), block.by_context(block.c == 1)])]).to_batches()
+
+    def finish(left, right):
+        rows = []
+        for body, places in zip(left.column("body").to_pylist(), left.column("places").to_pylist(), strict=True):
+            block = Block(body)
+            all_c, *all_t = told(right, 1 + SAMPLES)
+            trained = block.word_c > 0
+            again = block.c > 1
+            taken = {part: body for kind, part, body in zip(*(right.column(n).to_pylist() for n in ("kind", "part", "body")), strict=True) if kind == SAMPLE}
+            total = np.zeros(len(block.c))
+            for i in range(SAMPLES):
+                p, tables = np.full(len(block.words), unknown[i]), np.minimum(block.c, 1)
+                if trained.any():
+                    own_tables, customers, word_tables, spelled = unpacked(taken[BURN + 1 + i])
+                    p[trained] = word_predictive(customers.astype(np.int64), word_tables.astype(np.int64), spelled, word_discount, *anew[i])
+                    tables[again] = own_tables
+                back = WORD_STRENGTH + pair_discount * all_t[i][block.context]
+                total += (block.c - pair_discount * tables + back * p[block.word]) / (WORD_STRENGTH + all_c[block.context])
+            base = np.log10((block.word_c + 1.0) / (tokens + types + 1.0))[block.word]
+            rows.extend(places_of(block, places, base, np.log10(total / SAMPLES)))
+        return letter(rows, pa.schema([("chunk", pa.int64()), ("body", pa.binary())]))
+
+    sampled = samples[0]
+    for more in samples[1:]:
+        sampled = sampled.unionByName(more)
+    place = {0: ((0,), tuple(range(1, SAMPLES + 1)))} | {BURN + 1 + i: ((1 + i,),) for i in range(SAMPLES)}
+    asked = table.select("block", "body").mapInArrow(totals, MAIL).unionByName(sampled)
+    told_of = answers(asked, 1 + SAMPLES, place).unionByName(sampled.filter(F.col("kind") == SAMPLE)).select("kind", "block", "part", "body")
+    scores = table.select("block", "body", "places").groupBy("block").cogroup(told_of.groupBy("block")).applyInArrow(finish, "chunk long, body binary")
+    scores = stage(scores, "sums")
+    for sample in samples:
+        discard(sample)
+    return scores
+
+
+def by_text(rows: DataFrame, gather: Callable, kind: str) -> tuple[DataFrame, int]:
+    """doc_id, held_out, n_tokens, n_known, base_score and score of every text dealt out, and the tokens in training."""
+    spark = rows.sparkSession
+    blocks = min(100_000, max(8, 2 * rows.rdd.getNumPartitions()))
+    name, about = stored(rows, gather, kind, blocks)
+    release(spark)
+    sums = sums_of(name, about, spark, blocks)
+    docs = stage(spark.table(name).filter("row IS NOT NULL").select("chunk", "row", "doc_id", "held_out", "n_tokens", F.lit(None).cast("binary").alias("body")), "texts")
+    dropped(spark, name)
+
+    def add(table):
+        own = pa.compute.is_valid(table.column("row"))
+        docs, bodies = table.filter(own), table.filter(pa.compute.invert(own)).column("body").to_pylist()
+        row = docs.column("row").to_numpy()
+        totals = [np.zeros(row.max(initial=-1) + 1, t) for t in (np.int64, float, float)]
+        for body in bodies:
+            at, *parts = unpacked(body)
+            for total, part in zip(totals, parts, strict=True):
+                total[at] += part.astype(total.dtype)  # a text comes once in a block
+        return pa.table([*(docs.column(n) for n in ("doc_id", "held_out", "n_tokens")), *(pa.array(x[row]) for x in totals)], names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+
+    every = docs.unionByName(sums, allowMissingColumns=True)
+    return every.groupBy("chunk").applyInArrow(add, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"), about["tokens"]
+
+
+def rows_out(block: int, chunk: int, body: bytes | None, rows: np.ndarray | None, doc_ids, held_out, n_tokens, kind: pa.DataType) -> pa.RecordBatch:
+    n = 1 if rows is None else len(rows)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.full(n, block)), pa.array(np.full(n, chunk)), pa.array([body] * n, pa.binary()), pa.nulls(n, pa.int64()) if rows is None else pa.array(rows),
+            pa.nulls(n, kind) if rows is None else doc_ids, pa.nulls(n, pa.bool_()) if rows is None else held_out, pa.nulls(n, pa.int64()) if rows is None else pa.array(n_tokens),
+        ],
+        names=["block", "chunk", "body", "row", "doc_id", "held_out", "n_tokens"],
     )
 
 
+def model_of(counted: DataFrame) -> DataFrame:
+    """context, word, n, known (0 or 1), base and model (logarithms to base 10) of every pair of (context, word, c, n), c of them in training."""
+    counted = stage(counted.select("context", "word", "c", "n", F.monotonically_increasing_id().alias("id")), "pairs")
+
+    def gather(blocks, seed):
+        def pairs(batches):
+            task = TaskContext.get().partitionId()
+            for k, part in enumerate(row_slices(batches, 1 << 14)):
+                tokens = Tokens()
+                sides = [np.fromiter((tokens.numbers[bytes(w)] for w in part.column(i).to_pylist()), np.int32, part.num_rows) for i in (0, 1)]
+                chunk, rows = task << 20 | k, np.arange(part.num_rows)
+                for b, body in dealt(list(tokens.numbers), list(np.stack(sides, axis=1)), part.column(2).to_numpy(), blocks, seed):
+                    yield rows_out(b, chunk, body, None, None, None, None, pa.int64())
+                yield rows_out(chunk % blocks, chunk, None, rows, part.column(3), pa.array([False] * len(rows)), np.ones(len(rows), np.int64), pa.int64())
+
+        return pairs
+
+    scored, _ = by_text(counted.select("context", "word", "c", "id"), gather, "bigint")
+    found = scored.select(F.col("doc_id").alias("id"), F.col("n_known").alias("known"), F.col("base_score").alias("base"), F.col("score").alias("model"))
+    return counted.join(found, "id").select("context", "word", "n", "known", "base", "model")
+
+
 def score(docs: DataFrame, held_out: Column) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"), held_out.alias("held_out"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    counted = stage(count_pairs(docs, ~F.col("held_out")), "counted")
-    train_tokens = counted.agg(F.sum("c").alias("c")).first()["c"] or 0
-    table = stage(model_of(counted), "model")
-
-    # pairs by their power of two, to find how frequent a pair must be to belong to the head
-    power = F.floor(F.log2("n")).cast("int").alias("power")
-    sizes = {r["power"]: r["count"] for r in table.groupBy(power).count().collect()}
-    least, held_pairs = 64, 0
-    while least > 0 and held_pairs + sizes.get(least - 1, 0) <= HEAD:
-        least -= 1
-        held_pairs += sizes.get(least, 0)
-    frequent = F.floor(F.log2("n")) >= least
-    top = table.filter(frequent).collect()
-    numbers: dict[bytes, int] = {}
-    pairs = [numbers.setdefault(bytes(r["context"]), len(numbers)) << NUMBER_BITS | numbers.setdefault(bytes(r["word"]), len(numbers)) for r in top]
-    order = np.argsort(np.array(pairs, np.int64))
-    head = np.array(pairs, np.int64)[order]
-    values = [np.array([r[name] for r in top], float)[order] for name in ("known", "base", "model")]
-    del top, pairs
-
-    fields = f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double, context binary, word binary, times long"
-    names = [f.split(" ")[0] for f in fields.split(", ")]
-
-    def read(batches):
-        row = TaskContext.get().partitionId() << 40
-        for part in row_slices(batches):
-            tokens = Tokens()
-            counts = [np.unique(tokens.pairs(text), return_counts=True) for text in part.column(1).to_pylist()]
-            owner = np.repeat(np.arange(part.num_rows), [len(n) for _, n in counts])
-            pairs, times = (np.concatenate(x) for x in zip(*counts, strict=True))
-            known = np.array([numbers.get(w, -1) for w in tokens.numbers], np.int64)
-            context, word = known[pairs >> NUMBER_BITS], known[pairs & ((1 << NUMBER_BITS) - 1)]
-            keys = np.where((context >= 0) & (word >= 0), context << NUMBER_BITS | word, -1)
-            at = np.minimum(np.searchsorted(head, keys), max(0, len(head) - 1))
-            hit = head[at] == keys if len(head) else np.zeros(len(keys), bool)
-            sums = [np.bincount(owner[hit], times[hit] * v[at[hit]], minlength=part.num_rows) for v in values]
-            total = np.bincount(owner, times, minlength=part.num_rows).astype(np.int64)
-            none, rare = int((~hit).sum()), ~hit
-            zeros = np.zeros(none)
-            ids = np.arange(row, row + part.num_rows)
-            columns = [np.append(x, zeros.astype(x.dtype)) for x in (total, sums[0].round().astype(np.int64), sums[1], sums[2])]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.append(ids, ids[owner[rare]])),
-                    pa.concat_arrays([part.column(0), pa.nulls(none, part.column(0).type)]),
-                    pa.concat_arrays([part.column(2), pa.nulls(none, pa.bool_())]),
-                    *(pa.array(x) for x in columns),
-                    *(pa.concat_arrays([pa.nulls(part.num_rows, pa.binary()), x]) for x in tokens.sides(pairs[rare])),
-                    pa.array(np.append(np.zeros(part.num_rows, np.int64), times[rare])),
-                ],
-                names=names,
-            )
-            row += part.num_rows
-
-    read_rows = stage(docs.mapInArrow(read, fields), "scored")
-    tail = (
-        read_rows.filter("word IS NOT NULL")
-        .select("row", "context", "word", "times")
-        .join(table.filter(~frequent).drop("n"), ["context", "word"])
-        .select(
-            "row", F.lit(None).cast(kind).alias("doc_id"), F.lit(None).cast("boolean").alias("held_out"), F.lit(0).cast("long").alias("n_tokens"),
-            (F.col("known") * F.col("times")).alias("n_known"), (F.col("base") * F.col("times")).alias("base_score"), (F.col("model") * F.col("times")).alias("score"),
-        )
-    )
-    return (
-        read_rows.filter("word IS NULL").drop("context", "word", "times").unionByName(tail)
-        .groupBy("row")
-        .agg(
-            F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.sum("n_tokens").alias("n_tokens"),
-            F.sum("n_known").alias("n_known"), F.lit(train_tokens).cast("long").alias("train_tokens"),
-            F.sum("base_score").alias("base_score"), F.sum("score").alias("score"),
-        )
-        .drop("row")
-    )
+
+    def gather(blocks, seed):
+        def deal(batches):
+            task = TaskContext.get().partitionId()
+            tokens, found, learns, slices, chunk = Tokens(), [], [], [], task << 20
+
+            def flush():
+                sizes = np.array([len(x) - 1 for x in found], np.int64)
+                for b, body in dealt(list(tokens.numbers), found, np.array(learns, np.int32), blocks, seed):
+                    yield rows_out(b, chunk, body, None, None, None, None, slices[0].column(0).type)
+                at = 0
+                for part in slices:
+                    rows = np.arange(at, at + part.num_rows)
+                    at += part.num_rows
+                    yield rows_out(chunk % blocks, chunk, None, rows, part.column(0), part.column(2), sizes[rows], part.column(0).type)
+
+            size = 0
+            for part in row_slices(batches):
+                for text, held in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
+                    found.append(tokens.numbered(text))
+                    learns.append(not held)
+                    size += len(found[-1]) - 1
+                slices.append(pa.RecordBatch.from_arrays([part.column(0), pa.nulls(part.num_rows), part.column(2)], names=["doc_id", "text", "held_out"]))
+                if size > GATHERED or len(tokens.numbers) > GATHERED // 8:
+                    yield from flush()
+                    tokens, learns, slices, size, chunk = Tokens(), [], [], 0, chunk + 1
+            if slices:
+                yield from flush()
+
+        return deal
+
+    scored, train_tokens = by_text(docs, gather, kind)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(train_tokens).cast("long").alias("train_tokens"), "base_score", "score")

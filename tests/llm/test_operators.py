@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import random
 import re
 import zlib
@@ -18,6 +19,7 @@ from sievework.llm import (
     secret_scan, template_windows,
 )
 from sievework.llm.common import held
+from sievework.session import shared_root
 
 FOLDER = "/root/testdata/sf0.001"
 WORDS = "alpha bravo charlie delta echo foxtrot golf hotel india juliet kilo lima mike november oscar papa".split()
@@ -384,6 +386,45 @@ def test_staged_spelling_sums_to_one(spark):
     assert sorted(every) == keys.tolist() and max(every.values()) < 0
 
 
+def test_sweeps_leave_no_tables_behind(spark, documents):
+    root = shared_root(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    docs = documents([*((i, "the red fox sees the old dog") for i in range(1, 9)), (None, "no id"), (100, None), (100, "the red dog"), (100, "the red dog")])
+    got = pitman_yor.score(docs, F.coalesce(F.col("doc_id") >= 100, F.lit(True))).collect()
+    assert len(got) == 12 and len({r.score for r in got if r.n_tokens == 4}) == 1
+    assert {x.rpartition("-")[0] for x in set(os.listdir(root)) - before} <= {"sums", "texts"}
+
+
+def test_blocks_count_pairs_as_brute_force(monkeypatch):
+    texts = [(prose(300, 7), True), (prose(200, 8), False), ("", True), (prose(300, 7), True)]
+    mine, want, where = {}, Counter(), Counter()
+    for chunk, some in enumerate((texts[:2], texts[2:])):
+        tokens = pitman_yor.Tokens()
+        ids = [tokens.numbered(t) for t, _ in some]
+        for b, body in pitman_yor.dealt(list(tokens.numbers), ids, np.array([learn for _, learn in some], np.int32), 3, 0):
+            mine.setdefault(b, []).append((chunk, body))
+        for i, (t, learn) in enumerate(some):
+            words = [b"", *pitman_yor.words_of(t), b""]
+            for pair in zip(words, words[1:]):
+                want[pair] += learn
+                where[pair, chunk, i] += 1
+    names = {int(pitman_yor.hashed([w], 0)[0]): w for pair in want for w in pair}
+    got, found = Counter(), Counter()
+    for b, parts in mine.items():
+        _, body, places, *counts = pitman_yor.merged(b, [k for k, _ in parts], [x for _, x in parts], 0)
+        block = pitman_yor.Block(body)
+        pairs = [(names[int(block.hashes[u])], block.words[w]) for u, w in zip(block.context, block.word)]
+        got.update(dict(zip(pairs, block.c.tolist())))
+        each, chunks, chunk, text, owner, times = pitman_yor.unpacked(places)
+        for pair, at, n in zip(np.repeat(np.arange(len(each)), each).tolist(), owner.tolist(), times.tolist()):
+            found[pairs[pair], chunks[chunk[at]], int(text[at])] += n
+        assert counts[0] == block.c.sum() and counts[-1] == 0
+    assert dict(got) == dict(want) and found == where
+    bodies = [x for parts in mine.values() for _, x in parts]
+    monkeypatch.setattr(pitman_yor, "hashed", lambda words, seed: np.zeros(len(words), np.int64))
+    assert pitman_yor.merged(0, list(range(len(bodies))), bodies, 0)[-1] > 0
+
+
 # --- decontamination
 
 ITEM = "A train leaves Boston at 9 and travels 120 km in 2 hours while Anna waits for 30 minutes near the old station and reads a book"
