@@ -46,7 +46,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.session import discard, release, shared_folder, stage
+from sievework.session import discard, estimated_bytes, release, shared_folder, stage
 
 from .common import row_slices
 
@@ -58,6 +58,8 @@ DISCOUNTS, STRENGTH = (0.3, 0.5, 0.7, 0.8), 1.0
 TOP = 1
 #: tokens a task gathers before it deals their pairs to the blocks
 GATHERED = 4_000_000
+#: of the documents' files for each block, at least
+BLOCK_BYTES = 4 << 20
 NUMBER_BITS = 28
 STOP, PAD, SYMBOLS, BITS = 256, 257, 257, 9
 #: customers that are seated one by one; later ones in growing parties
@@ -738,7 +740,8 @@ def sums_of(name: str, about: dict, spark: SparkSession, blocks: int) -> DataFra
 def by_text(rows: DataFrame, gather: Callable, kind: str) -> tuple[DataFrame, int]:
     """doc_id, held_out, n_tokens, n_known, base_score and score of every text dealt out, and the tokens in training."""
     spark = rows.sparkSession
-    blocks = min(100_000, max(8, 2 * rows.rdd.getNumPartitions()))
+    # many small files need no more blocks: what blocks and contexts tell each other grows with the square of their number
+    blocks = min(100_000, max(8, min(2 * rows.rdd.getNumPartitions(), -(-estimated_bytes(rows) // BLOCK_BYTES))))
     name, about = stored(rows, gather, kind, blocks)
     release(spark)
     sums = sums_of(name, about, spark, blocks)
