@@ -22,7 +22,8 @@ restaurants of both lengths. The driver seats the restaurants of at most one byt
 A dish with one customer always has one table. Such pairs (four fifths of them) take part in all sums, but only
 the others are seated again in the sweeps. What a sweep has written is deleted when the next one has read it.
 
-Where a pair occurs goes with its block; sums by block and text are added up by text. Words are hashed to 63 bits;
+Where a pair occurs goes with its block, in parts of about ``PLACES`` places: the places of a very common word grow with the
+corpus, its pairs no faster than the vocabulary. Sums by block and text are added up by text. Words are hashed to 63 bits;
 every context but the start is a word too, so a block sees it when two words share a hash, and another seed is taken.
 
 A NULL text is an empty one: the end alone. A row without an id is held out. Without any training token
@@ -57,7 +58,9 @@ DISCOUNTS, STRENGTH = (0.3, 0.5, 0.7, 0.8), 1.0
 #: context lengths whose restaurants the driver seats
 TOP = 1
 #: tokens a task gathers before it deals their pairs to the blocks
-GATHERED = 4_000_000
+GATHERED = 2_000_000
+#: places of pairs that are in memory at once, beside a block's pairs; they are stored in parts of so many
+PLACES = 1_000_000
 #: of the documents' files for each block, at least
 BLOCK_BYTES = 4 << 20
 NUMBER_BITS = 28
@@ -295,36 +298,89 @@ def dealt(words: list[bytes], texts: list[np.ndarray], learned: np.ndarray, bloc
             )
 
 
+COUNTS = ("tokens", "types", "once", "twice", "contexts_once", "contexts_twice", "pairs", "clashes")
+#: a block has a row with its body and where its pairs are by number (in places), one for each part of its places, and some documents' own rows
 STORED = "block long, body binary, places binary, tokens long, types long, once long, twice long, contexts_once long, contexts_twice long, pairs long, clashes long, chunk long, row long, held_out boolean, n_tokens long"
 
 
+def numbered(known: np.ndarray, more: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Values with those of ``more`` that are new behind them; the place of each of ``more`` among them; where in ``more`` the new ones are."""
+    unique, first, back = np.unique(np.concatenate([known, more]), return_index=True, return_inverse=True)
+    new = first >= len(known)
+    number = first.copy()
+    number[new] = len(known) + np.arange(new.sum())
+    return np.concatenate([known, unique[new]]), number[back[len(known):]], first[new] - len(known)
+
+
+class Merging:
+    """One block of what the tasks have dealt, taken chunk by chunk: words, contexts and pairs are numbered as they come."""
+
+    def __init__(self, seed: int):
+        self.seed, self.clashes = seed, 0
+        self.words: list[bytes] = []
+        self.hashes = self.contexts = self.keys = self.c = np.zeros(0, np.int64)
+        self.waiting: list[tuple[int, list]] = []
+        self.size = 0
+
+    def add(self, chunk: int, body: bytes) -> bool:
+        """Whether there are now enough places for a part; they wait at least as long as the pairs have doubled."""
+        self.waiting.append((chunk, unpacked(body)))
+        self.size += len(self.waiting[-1][1][-1])
+        return self.size >= max(PLACES, len(self.keys))
+
+    def places(self) -> bytes:
+        """Where the pairs of the chunks that waited occur, in the order of the numbers the pairs have so far."""
+        self.waiting.sort(key=lambda x: x[0])
+        chunks = [chunk for chunk, _ in self.waiting]
+        words, per_word, contexts, of, c, places, owner, times = ([] for _ in range(8))
+        for _, (lengths, text, *rest) in self.waiting:
+            words.extend(parted(lengths.astype(np.int64), text))
+            rest[1] = np.cumsum(rest[1], dtype=np.int64)
+            for into, x in zip((per_word, contexts, of, c, places, owner, times), rest, strict=True):
+                into.append(x.astype(np.int64))
+        self.waiting, self.size = [], 0
+        self.hashes, word_of, new = numbered(self.hashes, hashed(words, self.seed))
+        self.words.extend(words[i] for i in new.tolist())
+        self.clashes += sum(self.words[a] != w for a, w in zip(word_of.tolist(), words, strict=True))
+        shift = np.cumsum([0, *(len(x) for x in contexts[:-1])])
+        self.contexts, context_of, _ = numbered(self.contexts, np.concatenate(contexts))
+        of = context_of[np.concatenate([x + k for x, k in zip(of, shift, strict=True)])]
+        self.keys, pair_of, _ = numbered(self.keys, np.repeat(word_of, np.concatenate(per_word)) << 32 | of)
+        # sums of whole numbers, exact in doubles below 2 ** 53
+        total = np.bincount(pair_of, np.concatenate(c), minlength=len(self.keys)).astype(np.int64)
+        total[:len(self.c)] += self.c
+        self.c, places = total, np.concatenate(places)
+        by_pair = np.argsort(np.repeat(pair_of, places), kind="stable")
+        texts, owner = np.unique(np.concatenate([x | k << 32 for k, x in enumerate(owner)]), return_inverse=True)
+        each = np.bincount(pair_of, places, minlength=len(self.keys)).astype(np.int64)
+        return packed(each, chunks, texts >> 32, texts & 0xFFFFFFFF, owner[by_pair], np.concatenate(times)[by_pair])
+
+    def done(self) -> tuple[bytes, bytes, tuple[int, ...]]:
+        """The block by word, its pairs' places in it by their numbers (None: they are in order), and its counts in STORED."""
+        ranks = []
+        for x in (self.hashes, self.contexts):
+            ranks.append(np.empty(len(x), np.int64))
+            ranks[-1][np.argsort(x)] = np.arange(len(x))
+        keys = ranks[0][self.keys >> 32] << 32 | ranks[1][self.keys & 0xFFFFFFFF]
+        order = np.argsort(keys)
+        keys, c, words = keys[order], self.c[order], [self.words[i] for i in np.argsort(self.hashes).tolist()]
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        word, mine = keys >> 32, c > 0
+        in_training = np.bincount(word, mine, minlength=len(words)).astype(np.int64)
+        body = packed(*joined(words), np.bincount(word, minlength=len(words)), np.diff(np.sort(self.contexts), prepend=0), keys & 0xFFFFFFFF, c)
+        counts = (c.sum(), (in_training > 0).sum(), (c == 1).sum(), (c == 2).sum(), (in_training == 1).sum(), (in_training == 2).sum(), mine.sum(), self.clashes)
+        return body, packed(None if (order[1:] > order[:-1]).all() else place), tuple(map(int, counts))
+
+
 def merged(block: int, chunks: list[int], bodies: list[bytes], seed: int) -> tuple:
-    """One block of what the tasks have dealt: its row of STORED, up to the columns of the documents."""
-    words, per_word, contexts, of, c, places, owner, times = ([] for _ in range(8))
-    for body in bodies:
-        lengths, text, *rest = unpacked(body)
-        words.extend(parted(lengths.astype(np.int64), text))
-        rest[1] = np.cumsum(rest[1], dtype=np.int64)
-        for into, x in zip((per_word, contexts, of, c, places, owner, times), rest, strict=True):
-            into.append(x.astype(np.int64))
-    _, first, word_of = np.unique(hashed(words, seed), return_index=True, return_inverse=True)
-    clashes = sum(words[a] != w for a, w in zip(first[word_of].tolist(), words, strict=True))
-    hashes, context_of = np.unique(np.concatenate(contexts), return_inverse=True)
-    shift = np.cumsum([0, *(len(x) for x in contexts[:-1])])
-    of = context_of[np.concatenate([x + k for x, k in zip(of, shift, strict=True)])]
-    keys, pair_of = np.unique(np.repeat(word_of, np.concatenate(per_word)) << 32 | of, return_inverse=True)
-    # sums of whole numbers, exact in doubles below 2 ** 53
-    c = np.bincount(pair_of, np.concatenate(c)).astype(np.int64)
-    places = np.concatenate(places)
-    by_pair = np.argsort(np.repeat(pair_of, places), kind="stable")
-    texts, owner = np.unique(np.concatenate([x | k << 32 for k, x in enumerate(owner)]), return_inverse=True)
-    words = [words[i] for i in first.tolist()]
-    word, mine = keys >> 32, c > 0
-    in_training = np.bincount(word, mine, minlength=len(words)).astype(np.int64)
-    body = packed(*joined(words), np.bincount(word, minlength=len(words)), np.diff(hashes, prepend=0), keys & 0xFFFFFFFF, c)
-    where = packed(np.bincount(pair_of, places).astype(np.int64), chunks, texts >> 32, texts & 0xFFFFFFFF, owner[by_pair], np.concatenate(times)[by_pair])
-    counts = (c.sum(), (in_training > 0).sum(), (c == 1).sum(), (c == 2).sum(), (in_training == 1).sum(), (in_training == 2).sum(), mine.sum(), clashes)
-    return block, body, where, *map(int, counts)
+    """One block of what the tasks have dealt, in one part: its row of STORED, up to the columns of the documents."""
+    whole = Merging(seed)
+    for chunk, body in zip(chunks, bodies, strict=True):
+        whole.add(chunk, body)
+    places = whole.places()
+    body, _, counts = whole.done()
+    return block, body, places, *counts
 
 
 class Block:
@@ -539,18 +595,33 @@ def stored(rows: DataFrame, gather: Callable, kind: str, blocks: int) -> tuple[s
     spark = rows.sparkSession
     fields = f"block long, chunk long, body binary, row long, doc_id {kind}, held_out boolean, n_tokens long"
     own_schema = [(n, {"long": pa.int64(), "binary": pa.binary(), "boolean": pa.bool_()}[t]) for n, t in (f.split(" ") for f in STORED.split(", "))]
+
     def merging(seed):
-        def merge(table):
-            schema = pa.schema([*own_schema, ("doc_id", table.schema.field("doc_id").type)])
-            from_docs = table.filter(pa.compute.is_null(table.column("body")))
-            out = {f: from_docs.column(f) for f in ("block", "chunk", "row", "doc_id", "held_out", "n_tokens")}
-            table = table.filter(pa.compute.is_valid(table.column("body")))
-            if not table.num_rows:
-                return pa.table([out.get(f.name, pa.nulls(from_docs.num_rows, f.type)) for f in schema], schema=schema)
-            order = sorted(zip(table.column("chunk").to_pylist(), table.column("body").to_pylist(), strict=True))
-            row = merged(table.column("block")[0].as_py(), [x for x, _ in order], [x for _, x in order], seed)
-            own = dict(zip(schema.names, row, strict=False))
-            return pa.table([pa.concat_arrays([pa.array([own.get(f.name)], f.type), *(out[f.name].chunks if f.name in out else [pa.nulls(from_docs.num_rows, f.type)])]) for f in schema], schema=schema)
+        def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            whole = schema = block = None
+
+            def rows(n: int, **columns) -> pa.RecordBatch:
+                return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(n, f.type)) for f in schema], schema=schema)
+
+            def row(**values) -> pa.RecordBatch:
+                return rows(1, **{n: pa.array([x], schema.field(n).type) for n, x in values.items()})
+
+            for part in row_slices(batches):
+                schema = schema or pa.schema([*own_schema, ("doc_id", part.schema.field("doc_id").type)])
+                body = part.column("body")
+                docs = part.filter(pa.compute.is_null(body))
+                if docs.num_rows:
+                    yield rows(docs.num_rows, **{f: docs.column(f) for f in ("block", "chunk", "row", "doc_id", "held_out", "n_tokens")})
+                for i in np.nonzero(body.is_valid().to_numpy(zero_copy_only=False))[0].tolist():
+                    if whole is None:
+                        whole, block = Merging(seed), part.column("block")[i].as_py()
+                    if whole.add(part.column("chunk")[i].as_py(), body[i].as_py()):
+                        yield row(block=block, places=whole.places())
+            if whole is not None:
+                if whole.waiting:
+                    yield row(block=block, places=whole.places())
+                body, numbers, counts = whole.done()
+                yield row(block=block, body=body, places=numbers, **dict(zip(COUNTS, counts, strict=True)))
 
         return merge
 
@@ -560,7 +631,7 @@ def stored(rows: DataFrame, gather: Callable, kind: str, blocks: int) -> tuple[s
         whole = dealt_out.groupBy("block").applyInArrow(merging(seed), f"{STORED}, doc_id {kind}")
         whole.write.format("parquet").bucketBy(blocks, "block").option("path", shared_folder(spark, name)).saveAsTable(name)
         table = spark.table(name)
-        sums = table.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in ("tokens", "types", "once", "twice", "contexts_once", "contexts_twice", "pairs", "clashes")]).first().asDict()
+        sums = table.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in COUNTS]).first().asDict()
         if not sums["clashes"]:
             return name, sums
         dropped(spark, name)
@@ -577,17 +648,17 @@ def word_predictive(c, t, spelled, discount: float, customers: int, tables: int)
     return (c - discount * t + (WORD_STRENGTH + discount * tables) * spelled) / (WORD_STRENGTH + customers)
 
 
-def sums_of(name: str, about: dict, spark: SparkSession, blocks: int) -> DataFrame:
-    """(chunk, body): known tokens, base and score of the texts of a chunk, as far as one block has them."""
+def sums_of(name: str, about: dict, spark: SparkSession, blocks: int) -> tuple[DataFrame, list[DataFrame]]:
+    """(chunk, body): known tokens, base and score of the texts of a chunk, as far as one block has them; and what it reads and is to be discarded after."""
     pair_discount, word_discount = discount_of(about["once"], about["twice"]), discount_of(about["contexts_once"], about["contexts_twice"])
     tokens, types = about["tokens"], about["types"]
     table = spark.table(name).filter("body IS NOT NULL")
 
-    def places_of(block: Block, places: bytes, base: np.ndarray, model: np.ndarray) -> Iterator[tuple]:
+    def places_of(places: bytes, values: tuple[np.ndarray, ...] | None) -> Iterator[tuple]:
+        """The sums of values of the pairs, by their numbers; none given: zeros."""
         each, chunks, chunk, text, owner, times = unpacked(places)
         pair = np.repeat(np.arange(len(each)), each)
-        known = (block.word_c > 0)[block.word].astype(float)
-        sums = [np.bincount(owner, times * x[pair], minlength=len(text)) for x in (known, base, model)]
+        sums = [np.bincount(owner, times * x[pair], minlength=len(text)) for x in values] if values else [np.zeros(len(text))] * 3
         starts = np.searchsorted(chunk, np.arange(len(chunks) + 1)).tolist()
         for k, own in enumerate(chunks):
             a, b = starts[k:k + 2]
@@ -597,12 +668,10 @@ def sums_of(name: str, about: dict, spark: SparkSession, blocks: int) -> DataFra
 
         def nothing(batches):
             for part in row_slices(batches, 1):
-                block = Block(part.column(0)[0].as_py())
-                zeros = np.zeros(len(block.c))
-                for own, body in places_of(block, part.column(1)[0].as_py(), zeros, zeros):
+                for own, body in places_of(part.column(0)[0].as_py(), None):
                     yield pa.RecordBatch.from_arrays([pa.array([own]), pa.array([body], pa.binary())], names=["chunk", "body"])
 
-        return stage(table.select("body", "places").mapInArrow(nothing, "chunk long, body binary"), "sums")
+        return spark.table(name).filter("body IS NULL AND places IS NOT NULL").select("places").mapInArrow(nothing, "chunk long, body binary"), []
 
     def dishes(words: list[bytes], tables: np.ndarray) -> bytes:
         keys, owner = grams(words, ORDER)
@@ -704,25 +773,31 @@ def sums_of(name: str, about: dict, spark: SparkSession, blocks: int) -> DataFra
             yield from letter([*offers(number, 0, blocks, block.hashes, [block.by_context(block.c), block.by_context(block.c == 1)])]).to_batches()
 
     def finish(left, right):
-        rows = []
-        for body, places in zip(left.column("body").to_pylist(), left.column("places").to_pylist(), strict=True):
-            block = Block(body)
+        rows, schema = [], pa.schema([("chunk", pa.int64()), ("body", pa.binary())])
+        bodies, places = left.column("body"), left.column("places")
+        parts = [i for i in range(left.num_rows) if not bodies[i].is_valid]
+        for i in sorted({*range(left.num_rows)} - {*parts}):
+            block, (numbers,) = Block(bodies[i].as_py()), unpacked(places[i].as_py())
             all_c, *all_t = told(right, 1 + SAMPLES)
             trained = block.word_c > 0
             again = block.c > 1
             taken = {part: body for kind, part, body in zip(*(right.column(n).to_pylist() for n in ("kind", "part", "body")), strict=True) if kind == SAMPLE}
             total = np.zeros(len(block.c))
-            for i in range(SAMPLES):
-                p, tables = np.full(len(block.words), unknown[i]), np.minimum(block.c, 1)
+            for k in range(SAMPLES):
+                p, tables = np.full(len(block.words), unknown[k]), np.minimum(block.c, 1)
                 if trained.any():
-                    own_tables, customers, word_tables, spelled = unpacked(taken[BURN + 1 + i])
-                    p[trained] = word_predictive(customers.astype(np.int64), word_tables.astype(np.int64), spelled, word_discount, *anew[i])
+                    own_tables, customers, word_tables, spelled = unpacked(taken[BURN + 1 + k])
+                    p[trained] = word_predictive(customers.astype(np.int64), word_tables.astype(np.int64), spelled, word_discount, *anew[k])
                     tables[again] = own_tables
-                back = WORD_STRENGTH + pair_discount * all_t[i][block.context]
+                back = WORD_STRENGTH + pair_discount * all_t[k][block.context]
                 total += (block.c - pair_discount * tables + back * p[block.word]) / (WORD_STRENGTH + all_c[block.context])
             base = np.log10((block.word_c + 1.0) / (tokens + types + 1.0))[block.word]
-            rows.extend(places_of(block, places, base, np.log10(total / SAMPLES)))
-        return letter(rows, pa.schema([("chunk", pa.int64()), ("body", pa.binary())]))
+            values = trained[block.word].astype(float), base, np.log10(total / SAMPLES)
+            if numbers is not None:
+                values = tuple(x[numbers] for x in values)
+            for k in parts:
+                rows.extend(places_of(places[k].as_py(), values))
+        return letter(rows, schema)
 
     sampled = samples[0]
     for more in samples[1:]:
@@ -730,11 +805,8 @@ def sums_of(name: str, about: dict, spark: SparkSession, blocks: int) -> DataFra
     place = {0: ((0,), tuple(range(1, SAMPLES + 1)))} | {BURN + 1 + i: ((1 + i,),) for i in range(SAMPLES)}
     asked = table.select("block", "body").mapInArrow(totals, MAIL).unionByName(sampled)
     told_of = answers(asked, 1 + SAMPLES, place).unionByName(sampled.filter(F.col("kind") == SAMPLE)).select("kind", "block", "part", "body")
-    scores = table.select("block", "body", "places").groupBy("block").cogroup(told_of.groupBy("block")).applyInArrow(finish, "chunk long, body binary")
-    scores = stage(scores, "sums")
-    for sample in samples:
-        discard(sample)
-    return scores
+    whole = spark.table(name).filter("places IS NOT NULL").select("block", "body", "places")
+    return whole.groupBy("block").cogroup(told_of.groupBy("block")).applyInArrow(finish, "chunk long, body binary"), samples
 
 
 def by_text(rows: DataFrame, gather: Callable, kind: str) -> tuple[DataFrame, int]:
@@ -744,23 +816,33 @@ def by_text(rows: DataFrame, gather: Callable, kind: str) -> tuple[DataFrame, in
     blocks = min(100_000, max(8, min(2 * rows.rdd.getNumPartitions(), -(-estimated_bytes(rows) // BLOCK_BYTES))))
     name, about = stored(rows, gather, kind, blocks)
     release(spark)
-    sums = sums_of(name, about, spark, blocks)
-    docs = stage(spark.table(name).filter("row IS NOT NULL").select("chunk", "row", "doc_id", "held_out", "n_tokens", F.lit(None).cast("binary").alias("body")), "texts")
-    dropped(spark, name)
+    sums, samples = sums_of(name, about, spark, blocks)
+    docs = spark.table(name).filter("row IS NOT NULL").select("chunk", "row", "doc_id", "held_out", "n_tokens", F.lit(None).cast("binary").alias("body"))
 
     def add(table):
         own = pa.compute.is_valid(table.column("row"))
-        docs, bodies = table.filter(own), table.filter(pa.compute.invert(own)).column("body").to_pylist()
+        docs, bodies = table.filter(own), table.select(["body"]).filter(pa.compute.invert(own)).column("body")
         row = docs.column("row").to_numpy()
         totals = [np.zeros(row.max(initial=-1) + 1, t) for t in (np.int64, float, float)]
         for body in bodies:
-            at, *parts = unpacked(body)
+            at, *parts = unpacked(body.as_py())
             for total, part in zip(totals, parts, strict=True):
                 total[at] += part.astype(total.dtype)  # a text comes once in a block
         return pa.table([*(docs.column(n) for n in ("doc_id", "held_out", "n_tokens")), *(pa.array(x[row]) for x in totals)], names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
     every = docs.unionByName(sums, allowMissingColumns=True)
-    return every.groupBy("chunk").applyInArrow(add, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"), about["tokens"]
+    fields = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+    # the sums by block and text are far more than the texts: they are shuffled to their texts, and only these are stored
+    found = stage(every.groupBy("chunk").applyInArrow(add, fields), "texts")
+    for sample in samples:
+        discard(sample)
+    dropped(spark, name)
+    return found, about["tokens"]
+
+
+def home(chunk: int, blocks: int) -> int:
+    """The block that the documents' own rows of a chunk lie beside; the numbers of tasks are the high bits of a chunk's."""
+    return ((chunk >> 20) + (chunk & 0xFFFFF) * 7919) % blocks
 
 
 def rows_out(block: int, chunk: int, body: bytes | None, rows: np.ndarray | None, doc_ids, held_out, n_tokens, kind: pa.DataType) -> pa.RecordBatch:
@@ -787,7 +869,7 @@ def model_of(counted: DataFrame) -> DataFrame:
                 chunk, rows = task << 20 | k, np.arange(part.num_rows)
                 for b, body in dealt(list(tokens.numbers), list(np.stack(sides, axis=1)), part.column(2).to_numpy(), blocks, seed):
                     yield rows_out(b, chunk, body, None, None, None, None, pa.int64())
-                yield rows_out(chunk % blocks, chunk, None, rows, part.column(3), pa.array([False] * len(rows)), np.ones(len(rows), np.int64), pa.int64())
+                yield rows_out(home(chunk, blocks), chunk, None, rows, part.column(3), pa.array([False] * len(rows)), np.ones(len(rows), np.int64), pa.int64())
 
         return pairs
 
@@ -814,7 +896,7 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
                 for part in slices:
                     rows = np.arange(at, at + part.num_rows)
                     at += part.num_rows
-                    yield rows_out(chunk % blocks, chunk, None, rows, part.column(0), part.column(2), sizes[rows], part.column(0).type)
+                    yield rows_out(home(chunk, blocks), chunk, None, rows, part.column(0), part.column(2), sizes[rows], part.column(0).type)
 
             size = 0
             for part in row_slices(batches):
@@ -822,7 +904,9 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
                     found.append(tokens.numbered(text))
                     learns.append(not held)
                     size += len(found[-1]) - 1
-                slices.append(pa.RecordBatch.from_arrays([part.column(0), pa.nulls(part.num_rows), part.column(2)], names=["doc_id", "text", "held_out"]))
+                # copies: a column of a batch holds on to the memory of all of it, the texts too
+                own = [part.column(k).take(pa.array(range(part.num_rows), pa.int64())) for k in (0, 2)]
+                slices.append(pa.RecordBatch.from_arrays([own[0], pa.nulls(part.num_rows), own[1]], names=["doc_id", "text", "held_out"]))
                 if size > GATHERED or len(tokens.numbers) > GATHERED // 8:
                     yield from flush()
                     tokens, learns, slices, size, chunk = Tokens(), [], [], 0, chunk + 1

@@ -425,6 +425,47 @@ def test_blocks_count_pairs_as_brute_force(monkeypatch):
     assert pitman_yor.merged(0, list(range(len(bodies))), bodies, 0)[-1] > 0
 
 
+def test_places_of_a_common_word_come_in_parts(monkeypatch):
+    """The places of a word that is everywhere are never together; pairs, counts and places are those of one part."""
+    monkeypatch.setattr(pitman_yor, "PLACES", 500)
+    texts = [" ".join(f"the w{(i * k) % 97}x{i % 13}" for i in range(150)) for k in range(1, 13)]
+    bodies, per_chunk = [], 0
+    for chunk in range(12):
+        tokens = pitman_yor.Tokens()
+        ids = [tokens.numbered(texts[chunk])]
+        (_, body), = pitman_yor.dealt(list(tokens.numbers), ids, np.array([chunk % 3 > 0], np.int32), 1, 0)
+        bodies.append((chunk, body))
+        per_chunk = max(per_chunk, len(pitman_yor.unpacked(body)[-1]))
+    _, want, together, *counts = pitman_yor.merged(0, [k for k, _ in bodies], [x for _, x in bodies], 0)
+
+    def where(block, places, numbers=None):
+        each, chunks, chunk, text, owner, times = pitman_yor.unpacked(places)
+        pair = np.repeat(np.arange(len(each)), each)
+        pair = pair if numbers is None else numbers[pair]
+        names = [(int(block.hashes[u]), block.words[w]) for u, w in zip(block.context, block.word)]
+        return Counter({(names[p], chunks[chunk[o]], int(text[o])): int(n) for p, o, n in zip(pair.tolist(), owner.tolist(), times.tolist())})
+
+    whole, parts = pitman_yor.Merging(0), []
+    for chunk, body in bodies:
+        if whole.add(chunk, body):
+            parts.append(whole.places())
+    parts += [whole.places()] if whole.waiting else []
+    body, numbers, got = whole.done()
+    assert body == want and list(got) == counts and len(parts) > 2
+    sizes = [len(pitman_yor.unpacked(p)[-1]) for p in parts]
+    assert max(sizes) < max(500, len(whole.keys)) + per_chunk < sum(sizes)
+    numbers, found = pitman_yor.unpacked(numbers)[0], Counter()
+    for part in parts:
+        found += where(pitman_yor.Block(body), part, numbers)
+    assert found == where(pitman_yor.Block(want), together)
+
+
+def test_rows_of_documents_lie_beside_many_blocks():
+    """A chunk's number begins with its task's, in steps of a power of two, as numbers of blocks often are."""
+    for blocks in (8, 64, 750):
+        assert len({pitman_yor.home(task << 20 | k, blocks) for task in range(blocks) for k in range(2)}) > blocks * 0.9
+
+
 # --- decontamination
 
 ITEM = "A train leaves Boston at 9 and travels 120 km in 2 hours while Anna waits for 30 minutes near the old station and reads a book"
