@@ -109,6 +109,19 @@ def test_nested_drift_counts_a_place_once_for_its_text(spark):
     }
 
 
+def test_nested_drift_tells_a_kind_once(spark):
+    """A value's schema is looked at where the value is met, once a level; outermost blanks, lists and plain values count as before."""
+    layout = StructType.fromDDL("a struct<b:int, c:array<string>>, n int")
+    rows = [' \t\n{"a":{"b":"x","c":[1,1]},"n":1.5}', "[1]", "7", '"t"', "null", "{", "", None]
+    drift = flatten.nested_drift(spark.createDataFrame([(r,) for r in rows], "j string"), "j", layout)
+    plan = drift._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("schemaOfVariant") == 4 and "regexp_extract" not in plan and "element_at" not in plan
+    assert {tuple(r) for r in drift.collect()} == {
+        ("$", "type", "ARRAY", 1), ("$", "type", "NUMBER", 1), ("$", "type", "STRING", 1), ("$", "unreadable", None, 2),
+        ("$.a.b", "type", "STRING", 1), ("$.a.c[*]", "type", "NUMBER", 1),
+    }
+
+
 def test_nested_drift_at_every_depth(spark):
     layout = StructType.fromDDL("a struct<b:int, c:array<struct<d:string>>>, m map<string,boolean>, s string")
     rows = [
