@@ -11,6 +11,7 @@ from sievework.operators.cleaning import redact_text
 from sievework.plans import order_quality
 from sievework.sinks import keyed
 from sievework.streaming.incremental import load_new
+from workload import catalog
 
 CASES = [
     ('{"Addr":"Elm 1","b":2}', '{"Addr":null,"b":2}'),
@@ -66,3 +67,20 @@ def test_texts_are_cleared_once(spark):
     assert [r["t"] for r in cleared.collect()] == [None, '{"N":null}', '{"b":"N"}', None, None, None]
     plan = cleared._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_replace(") == 2
+
+
+def test_redacted_run_joins_short_rows(spark, tmp_path):
+    """What is written is looked through before the join, so the join moves no written text."""
+    line = (7, 5, 3, 2, 4.0, 10.5, 0.0, 0.0, "R", "O", dt.datetime(2024, 3, 1))
+    lines = [line, (6, 9, 3, 1, *line[4:]), (8, 5, 4, 3, *line[4:])]
+    spark.createDataFrame(lines, (
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, "
+        "l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    )).write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = catalog.QUERIES["q11_redacted_run"](spark, str(tmp_path))
+    node = found._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() != "Join":
+        node = node.children().apply(0)
+    assert node.left().output().size() <= 6
+    rows = found.collect()
+    assert sorted(r["id"] for r in rows) == ["rt6", "rt7", "rt8"] and not any(r["leaks"] or r["listed"] for r in rows)

@@ -498,11 +498,13 @@ def redacted_run(t):
         F.col(layout.ROW_KEY).alias("_key"), F.lit(True).alias("_listed")
     )
     written = F.to_json(F.struct(*layout.published_columns()))
-    return rows.join(listed, F.col(layout.ROW_KEY) == F.col("_key"), "left").select(
-        "id", "order_no", F.col("custom_fields").isNull().alias("text_gone"), F.contains(written, F.lit("street ")).alias("leaks"),
+    # looked through before the join, which so moves a few short columns instead of all written ones
+    told = rows.select(
+        layout.ROW_KEY, "id", "order_no", F.col("custom_fields").isNull().alias("text_gone"), F.contains(written, F.lit("street ")).alias("leaks"),
         F.col("custom_fields_json_outboundCustomFields.InvoiceAddr").alias("hashed"),
-        F.coalesce("_listed", F.lit(False)).alias("listed"),
     )
+    joined = told.join(listed, F.col(layout.ROW_KEY) == F.col("_key"), "left")
+    return joined.select("id", "order_no", "text_gone", "leaks", "hashed", F.coalesce("_listed", F.lit(False)).alias("listed"))
 
 
 @query(
